@@ -13,7 +13,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS, SIZES, TABLE_ROWS = 4096, (3, 4, 5), 10_000
+BUCKETS, SIZES, TABLE_ROWS = 32_768, (3, 4, 5), 10_000
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Names of invented sites; the labelled table holds some addresses of each.
 BLOCKED = "big-casino casino-royal casino-win slots-casino free-bets bets-online sport-bets adult-pics adult-x adult-video spam-mail spam-farm link-spam poker-win poker-night free-pills cheap-pills diet-pills xxx-video xxx-cams warez-crack keygen-crack ads-track track-pixel popup-ads win-prize free-iphone phish-login malware-kit fake-bank"
@@ -63,7 +63,7 @@ def train(labelled: DataFrame, rounds: int = 250, rate: float = 20.0, decay: flo
         for k, v in change.items():
             w[k] += rate * (v - decay * w[k])
         b += rate * shift
-    return [round(x, 6) for x in w], round(b, 6)
+    return [round(x, 4) or 0 for x in w], round(b, 4)
 
 
 def probability(text: Column, model: tuple[list[float], float]) -> Column:
