@@ -34,7 +34,12 @@ def path(url: Column) -> Column:
 def grams(text: Column) -> Column:
     """Bucket of every character n-gram of a text with a mark at both ends."""
     marked = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.concat(*(F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1))), lambda i, n=n: F.pmod(F.xxhash64(F.substring(marked, i, F.lit(n))), F.lit(BUCKETS)).cast("int")) for n in SIZES))
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.substring(marked, i, F.lit(n))), F.lit(BUCKETS)).cast("int"))
+
+    return F.concat(*map(of, SIZES))
 
 
 def seed_table(spark: SparkSession) -> DataFrame:
