@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, exact_dedup, langid, minhash, packing
-from quarry.llm._shared import saved, table
+from quarry.llm._shared import bounded_batches, saved, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no known language (rejected, or without a letter)."""
+    bounded_batches(spark)
     return langid.keep_identified(docs, langid.train(docs.where(~langid.held_out())))
 
 

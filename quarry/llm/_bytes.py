@@ -10,7 +10,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MUL = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_MUL), -1, 1 << 64))
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles as one numpy buffer.
-BUFFER_BYTES = 2 << 20
+BUFFER_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,9 +21,16 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts by bytes rather than by 10,000 rows: bounds a Python worker's memory for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -48,6 +55,7 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
