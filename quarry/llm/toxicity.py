@@ -195,7 +195,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(words, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.int64()))], names=["doc_id", "toxic", "words", "near"])
 
     got = texts.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "doc_id bigint, toxic int, words array<bigint>, near array<bigint>").toArrow().sort_by("doc_id")
-    got = got.take(_one_of_each(got.column("near").to_pylist()))
+    got = got.take(pa.array(_one_of_each(got.column("near").to_pylist()), pa.int64()))
     words = got.column("words").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int64()))
     if isinstance(words, pa.ChunkedArray):
         words = words.chunk(0)
