@@ -21,8 +21,10 @@ def bucket(doc_id: Column) -> Column:
 
 def read_shards(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Documents of (gzip) NDJSON shards in either layout, and the lines that don't parse. A gzip shard is one task: repartition after."""
-    rows = spark.read.schema(RAW).option("columnNameOfCorruptRecord", "_corrupt").json(paths).withColumn("shard", F.col("_metadata.file_path"))
-    return rows.where("_corrupt is null").drop("_corrupt"), rows.where("_corrupt is not null").select("shard", F.col("_corrupt").alias("line"))
+    lines = spark.read.text(paths).where("trim(value) <> ''").select(F.col("_metadata.file_path").alias("shard"), "value")
+    rows = lines.select("shard", "value", F.from_json("value", RAW, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
+    good = rows.where("d._corrupt is null").select("d.*", "shard").drop("_corrupt")
+    return good, rows.where("d._corrupt is not null").select("shard", F.col("value").alias("line"))
 
 
 def read_strict(spark: SparkSession, paths: str | list[str]) -> DataFrame:
