@@ -5,7 +5,7 @@ the interpolated log probability. The language with the lowest cross-entropy per
 language, calibrated on a bounded sample of training rows, rejects texts that no model explains.
 
 Scale: counts are gathered from all training rows as partial sums per task and n-gram. What reaches the driver is the
-distinct n-grams; if they are more than ``MAX_GRAMS`` the order falls to 3, of which there are at most 2^21 a language.
+distinct n-grams: 2^24 a language at most by the width of a key, and in natural text some 100,000.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import saved
 
-#: Symbols of 7 bits: 0 for a run of other characters, 1-26 for a-z, further letters on 27-127 by code point.
-BITS, ORDER = 7, 4
-MAX_GRAMS = 4_000_000
+#: Symbols of 6 bits: 0 for a run of other characters, 1-26 for a-z, further letters on 27-63 by code point.
+BITS, ORDER = 6, 4
 #: Rows that calibrate the rejection, the lowest by a hash of doc_id among the training rows.
 CALIBRATION_ROWS = 5_000
 #: The largest deviation that the calibration rows show, or FLOOR if that is more, is widened by SLACK.
@@ -38,7 +38,7 @@ def _symbols() -> np.ndarray:
             c = chr(i)
             if c.isalpha():
                 low = ord(c.lower()[0])
-                t[i] = low - 96 if 97 <= low <= 122 else 27 + low % 101
+                t[i] = low - 96 if 97 <= low <= 122 else 27 + low % 37
         _table.append(t)
     return _table[0]
 
@@ -49,7 +49,7 @@ def encode(text: str) -> np.ndarray:
     s = _symbols()[np.minimum(points, 65535)]
     if len(points) and points.max() > 65535:
         big = np.flatnonzero(points > 65535)
-        s[big] = [27 + int(p) % 101 if chr(p).isalpha() else 0 for p in points[big]]
+        s[big] = [27 + int(p) % 37 if chr(p).isalpha() else 0 for p in points[big]]
     if not s.any():
         return np.zeros(0, np.uint8)
     s = np.concatenate([np.zeros(1, np.uint8), s, np.zeros(1, np.uint8)])
@@ -141,7 +141,6 @@ class Identifier:
     """Models by language, and per language the mean cross-entropy and the largest deviation that is not rejected."""
 
     models: dict[str, Model]
-    order: int
     limits: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
@@ -149,7 +148,7 @@ class Identifier:
         s = encode(text or "")
         if not len(s) or not self.models:
             return "und", 0.0, None, True
-        key, n = np.unique(grams(s, self.order), return_counts=True)
+        key, n = np.unique(grams(s), return_counts=True)
         total = int(n.sum())
         names = list(self.models)
         cross = np.array([-float(self.models[x].score(key).astype(np.float64) @ n) / total for x in names])
@@ -172,13 +171,12 @@ def train(rows: DataFrame) -> Identifier:
     """Fit on all ``rows`` (doc_id, text, lang); rows with a null text or lang teach nothing. No language: everything is ``und``."""
     rows = rows.where("lang is not null and text is not null")
     counts = saved(rows.select("lang", "text").mapInArrow(_counts, "lang string, key int, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")), "grams")
-    order = ORDER
-    if counts.count() > MAX_GRAMS:
-        order, counts = 3, counts.groupBy("lang", F.expr(f"key & {(1 << 3 * BITS) - 1}").alias("key")).agg(F.sum("n").alias("n"))
     got = counts.toArrow().sort_by([("lang", "ascending"), ("key", "ascending")])
-    lang, key, n = np.array(got.column("lang").to_pylist(), object), got.column("key").to_numpy(), got.column("n").to_numpy()
-    models = {x: Model.fit(key[lang == x], n[lang == x], order) for x in sorted(set(lang.tolist()))}
-    out = Identifier(models, order)
+    models = {}
+    for x in sorted(pc.unique(got.column("lang")).to_pylist()):
+        own = got.filter(pc.equal(got.column("lang"), x))
+        models[x] = Model.fit(own.column("key").to_numpy(), own.column("n").to_numpy())
+    out = Identifier(models)
     ids = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").limit(CALIBRATION_ROWS).select("doc_id").distinct()
     sample = _scored(rows.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text", F.col("lang").alias("extra")), out).where("lang_pred = extra").toArrow()
     by: dict[str, list[tuple[float, int]]] = {}

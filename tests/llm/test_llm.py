@@ -123,7 +123,7 @@ def test_language(spark, edge):
         context = int(m.contexts[3][0]) << langid.BITS
         import numpy as np
 
-        assert abs(np.exp(m.score(context + np.arange(128, dtype=np.int32)).astype(float)).sum() - 1) < 1e-3
+        assert abs(np.exp(m.score(context + np.arange(1 << langid.BITS, dtype=np.int32)).astype(float)).sum() - 1) < 1e-3
 
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
