@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,9 +87,9 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 def _near(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
     """Spans of up to NEAR terms on each side."""
-    left, low = [], start
+    left, low, step = [], start, 200
     while low > 0 and len(left) <= NEAR:
-        low = max(0, low - 200)
+        low, step = max(0, low - step), 2 * step
         left = [m.span() for m in _TERM.finditer(text, low, start)]
     yield from left[-NEAR:] if low == 0 else left[1:][-NEAR:]
     for i, m in enumerate(_TERM.finditer(text, end)):
@@ -97,6 +98,23 @@ def _near(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
         yield m.span()
 
 
+def _outside(spans: list[tuple[str, int, int]]):
+    """A test of whether a span meets none of ``spans``, in logarithmic time."""
+    begins, ends = [], []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
+
+    def free(a: int, b: int) -> bool:
+        k = bisect_left(begins, b)
+        return k == 0 or ends[k - 1] <= a
+
+    return free
+
+
 def _join(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -117,11 +135,11 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(text)
             row = {"doc_id": doc} | {f"n_{k}": sum(s[0] == k for s in spans) for k in KINDS}
             row |= {"base": _join(spans), "base_sha256": hashlib.sha256(_join(spans).encode()).hexdigest(), "entities": [], "terms": []}
-            taken = sorted((a, b) for _, a, b in spans)
+            free = _outside(spans)
             for k, a, b in spans:
                 entity = int.from_bytes(hashlib.blake2b(f"{k}:{text[a:b]}".encode(), digest_size=8).digest(), "big", signed=True)
                 row["entities"].append(entity)
-                near = [(x, y) for x, y in _near(text, a, b) if y - x > 2 and not text[x:y].isdigit() and all(y <= p or x >= q for p, q in taken)]
+                near = [(x, y) for x, y in _near(text, a, b) if y - x > 2 and not text[x:y].isdigit() and free(x, y)]
                 for h, (x, y) in zip(_hashes([text[x:y] for x, y in near]), near, strict=True):
                     row["terms"].append({"entity": entity, "term": h, "start": x, "stop": y})
             out.append(row)

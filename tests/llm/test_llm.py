@@ -152,6 +152,19 @@ def test_pii_base_is_the_patterns():
         assert pii.base_spans(t) == base_model(t), t
 
 
+def test_pii_outside_and_long_texts(spark):
+    rng = random.Random(3)
+    for _ in range(500):
+        spans = [("email", a, a + rng.randint(1, 6)) for a in rng.choices(range(40), k=rng.randint(0, 6))]
+        free = pii._outside(spans)
+        for a in range(45):
+            b = a + rng.randint(1, 5)
+            assert free(a, b) == all(b <= p or a >= q for _, p, q in spans)
+    text = "write to a@b.test or call now " * 20_000 + " " * 2_000_000 + "+49 171 2345678"
+    got = pii.find(spark.createDataFrame([(1, text), (2, "x")], DOC)).orderBy("doc_id").collect()
+    assert [(r.n_email, r.n_phone) for r in got] == [(20_000, 1), (0, 0)]
+
+
 def test_pii_terms(spark, edge):
     rows = [(i, f"call zorblax agent at bob{i % 3}@mail.test today please") for i in range(3)] * 2 + [(10 + i, f"please call agent number {i} today at noon") for i in range(30)]
     got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, DOC)).collect()}
