@@ -4,7 +4,7 @@ Bucket boundaries minimise the padding of the whole corpus: a dynamic program ov
 has at most ``max_tokens`` + 1 entries. Inside a bucket, sequences form batches of at most ``budget`` padded tokens.
 
 Scale: one partial aggregate gives the histogram; places inside a bucket come from counts per slice (a hash range of
-documents) and a rank within the slice, so no window ever spans a bucket.
+documents and parts) and a rank within the slice, so no window ever spans a bucket.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def pack(docs: DataFrame, length: Column | None = None, max_tokens: int = MAX_TO
     A document of more than ``max_tokens`` tokens becomes several parts of at most that many, numbered from 0, so no
     token is lost; any other document is one part, also an empty one (0 tokens) or one with null text. bucket is the
     padded length; a batch number counts within its bucket, and slot within the batch; batch_size * bucket <= budget
-    unless one sequence alone is longer. Ties are ordered by a hash of doc_id, doc_id and part; repeated rows are
+    unless one sequence alone is longer. Ties are ordered by a hash of doc_id and part, then by both; repeated rows are
     sequences of their own. An empty table gives an empty result. Columns besides doc_id and text aren't looked at.
     """
     n = F.coalesce((word_count(F.col("text")) if length is None else length).cast("long"), F.lit(0).cast("long"))
@@ -78,7 +78,7 @@ def pack(docs: DataFrame, length: Column | None = None, max_tokens: int = MAX_TO
     for b in reversed(bounds[:-1]):
         bucket = F.when(F.col("n_tokens") <= b, b).otherwise(bucket)
     slices = max(1, -(-total // SLICE_ROWS))
-    key = F.xxhash64("doc_id")
+    key = F.xxhash64("doc_id", "part")
     placed = parts.withColumn("bucket", bucket.cast("long")).withColumn("key", key).withColumn("slice", F.floor((F.col("key") / F.lit(2.0**64) + 0.5) * slices).cast("int"))
     # at most buckets * slices rows: 50,000 times fewer than sequences
     before = Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
