@@ -114,7 +114,7 @@ def write(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES, shard_row
         types = F.broadcast(types)
     named = dealt.join(types, ["page_id", "digest"], "left") if n else dealt.withColumn("refers_to", F.lit(None).cast("long"))
     sort = ["shard", "key", "digest"]
-    ready = named.select("shard", "key", "digest", "page_id", "url", "html", F.col("refers_to").cast("long").alias("refers_to")).repartition(max(1, shards), "shard").sortWithinPartitions(*sort)
+    ready = named.select("shard", "key", "digest", "page_id", "url", "html", F.col("refers_to").cast("long").alias("refers_to")).repartitionById(max(1, shards), F.col("shard")).sortWithinPartitions(*sort)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, place = filesystem(target)
