@@ -6,8 +6,9 @@ counts over the whole corpus. A term whose disclosure reaches ``DISCLOSURE`` nex
 :func:`sanitise` generalises entities to their kind and removes such terms.
 
 Scale: the first pass emits a row per document and the few terms around its entities. Document counts of terms come
-from a second pass that keeps only words of a bitmap of fixed size (2 MB), so what is shuffled follows the entities,
-not the corpus' vocabulary. Counts are partial aggregates.
+from a second pass that keeps only words of a bitmap of fixed size (2 MB) and sums them within a task, so what is
+shuffled follows the entities, not the corpus' vocabulary. Terms whose count beside entities alone rules a disclosure
+out, such as all frequent words, aren't looked for. Counts are partial aggregates.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import buffers, saved, split_join
@@ -29,6 +30,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Words on each side of an entity that may give it away; share of its information that is too much; documents that must show it.
 NEAR, DISCLOSURE, SUPPORT = 6, 0.8, 2
 FILTER_BITS = 24
+#: Words whose counts a task holds before it passes them on.
+TASK_TERMS = 1 << 20
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
@@ -147,16 +150,33 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _words(keep) -> object:
+    """Document counts of the words that the bitmap lets pass, summed within a task up to a bounded number of words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = keep.value
+        bits, held, size = keep.value, [], 0
+
+        def total() -> tuple[np.ndarray, np.ndarray]:
+            term, at = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+            return term, np.bincount(at, np.concatenate([n for _, n in held]), len(term)).astype(np.int64)
+
+        def out(term: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], names=["term", "n"])
+
         for batch in batches:
             for _, part in buffers(batch.column(0).to_pylist(), batch.column(0).cast(pa.binary()).to_pylist()):
                 h, ptr = tokens(part)
                 slot = h & np.uint64((1 << FILTER_BITS) - 1)
                 at = np.flatnonzero((bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
                 pair = np.unique(np.rec.fromarrays([np.searchsorted(ptr, at, "right"), h[at]]))
-                term, n = np.unique(pair.f1, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"])
+                held.append(np.unique(pair.f1, return_counts=True))
+                size += len(held[-1][0])
+                if size > TASK_TERMS:
+                    held = [total()]
+                    size = len(held[0][0])
+                    if size > TASK_TERMS // 2:
+                        yield out(*held.pop())
+                        size = 0
+        if held:
+            yield out(*total())
 
     return run
 
@@ -172,8 +192,18 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     spark = docs.sparkSession
     found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find, _FOUND), "pii")
     row = found.where("size(entities) > 0 and doc_id is not null").select("doc_id", "base_sha256", "entities", "terms")
-    near = row.select("doc_id", F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p")).select("doc_id", "p.entity", "p.term")
-    both = saved(near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support), "near")
+    near = row.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p")).select("p.entity", "p.term")
+    entity = row.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
+    beside = row.select(F.explode(F.array_distinct("terms.term")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("beside_docs"))
+    total = F.lit(float(found.count()))
+
+    def share(term_docs: str) -> Column:
+        """PMI / IC: 1 if the term gives all of the entity's information away."""
+        return F.try_divide(F.log(F.col("both") * total / (F.col(term_docs) * F.col("entity_docs"))), F.log(total / F.col("entity_docs")))
+
+    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
+    # a term is in at least the documents that show it beside some entity: what is told by that count is the most it can tell
+    both = saved(split_join(split_join(both, entity, ["entity"]), beside, ["term"]).where(share("beside_docs") >= disclosure), "near")
     slot = both.select(F.col("term").bitwiseAND((1 << FILTER_BITS) - 1).alias("s")).selectExpr("shiftright(s, 6) as word", "shiftleft(1L, cast(s & 63 as int)) as bit")
     got = slot.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^18 rows
     base = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
@@ -182,12 +212,8 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     keep = np.zeros(1 << FILTER_BITS - 6, np.uint64)
     keep[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
     words = docs.select("text").where("text is not null").mapInArrow(_words(spark.sparkContext.broadcast(keep)), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("term_docs"))
-    entity = row.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
-    total = found.count()
-    # PMI / IC: 1 if the term gives all of the entity's information away
-    pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("term_docs") * F.col("entity_docs")))
-    told = split_join(split_join(both, words, ["term"]), entity, ["entity"]).withColumn("share", F.try_divide(pmi, F.log(F.lit(float(total)) / F.col("entity_docs"))))
-    told = told.where(F.col("share") >= disclosure).select("entity", "term")
+    told = split_join(both, words, ["term"], "left").withColumn("term_docs", F.greatest(F.coalesce("term_docs", F.lit(0)), "beside_docs"))
+    told = told.where(share("term_docs") >= disclosure).select("entity", "term")
     each = row.select("doc_id", "base_sha256", F.explode("terms").alias("t")).select("doc_id", "base_sha256", "t.*")
     more = split_join(each, told, ["entity", "term"]).groupBy("doc_id", "base_sha256").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("more"))
     listed = F.transform("more", lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"]))

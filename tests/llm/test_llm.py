@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 from collections import defaultdict
@@ -165,6 +166,47 @@ def test_pii_outside_and_long_texts(spark):
     assert [(r.n_email, r.n_phone) for r in got] == [(20_000, 1), (0, 0)]
 
 
+def told_model(rows):
+    """Spans of the terms that disclose an entity, by the definition and over all documents."""
+    entity_docs, term_docs, both, near = defaultdict(set), defaultdict(set), defaultdict(set), []
+    for i, (_, text) in enumerate(rows):
+        words = [m.span() for m in re.finditer("[0-9A-Za-z]+", text)]
+        for a, b in words:
+            term_docs[text[a:b].lower()].add(i)
+        spans = base_model(text)
+        for kind, a, b in spans:
+            entity_docs[kind, text[a:b]].add(i)
+            for x, y in [w for w in words if w[1] <= a][-6:] + [w for w in words if w[0] >= b][:6]:
+                if y - x > 2 and not text[x:y].isdigit() and all(y <= p or x >= q for _, p, q in spans):
+                    both[kind, text[a:b], text[x:y].lower()].add(i)
+                    near.append((i, kind, text[a:b], x, y))
+    out = defaultdict(set)
+    for i, kind, entity, x, y in near:
+        term = rows[i][1][x:y].lower()
+        k, e, t, n = len(both[kind, entity, term]), len(entity_docs[kind, entity]), len(term_docs[term]), len(rows)
+        if k >= 2 and e < n and math.log(k * n / (t * e)) / math.log(n / e) >= 0.8 - 1e-12:
+            out[i].add((x, y))
+    return {i: ",".join([f"{k}:{a}:{b}" for k, a, b in base_model(t)] + [f"term:{a}:{b}" for a, b in sorted(out[i])]) for i, (_, t) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("held", [1 << 20, 3])
+def test_pii_terms_are_the_definition(spark, monkeypatch, held):
+    monkeypatch.setattr(pii, "TASK_TERMS", held)
+    rng = random.Random(11)
+    words = [f"{c}{d}word" for c in "abcdefgh" for d in "abcdefgh"]
+    people = [f"p{i}@mail.test" for i in range(12)]
+    rows = []
+    for i in range(150):
+        who = rng.randrange(40)
+        text = rng.choices(words, k=rng.randint(0, 25))
+        if who < 12:
+            text[len(text) // 2 : len(text) // 2] = [f"nick{who}" if rng.random() < 0.7 else "nobody", people[who], rng.choice(["hello", "203.0.113.9"])]
+        rows.append((i, " ".join(text)))
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, DOC)).collect()}
+    want = told_model(rows)
+    assert got == want and sum("term" in x for x in want.values()) > 10
+
+
 def test_pii_terms(spark, edge):
     rows = [(i, f"call zorblax agent at bob{i % 3}@mail.test today please") for i in range(3)] * 2 + [(10 + i, f"please call agent number {i} today at noon") for i in range(30)]
     got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, DOC)).collect()}
