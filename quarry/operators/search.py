@@ -91,6 +91,12 @@ def pending(docs: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return docs.join(done.select(key).distinct(), key, "left_anti")
 
 
+def sample(docs: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows, the same at every run: the lowest by a digest of seed and id. Only the top ``n`` of each task are shuffled."""
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    return docs.orderBy(key, id_col).limit(n)
+
+
 def first_wins(items: DataFrame, id_col: str, path: str, pos: str) -> DataFrame:
     """Of rows with one id: of the first path that holds it, the last row there. A partial aggregate, so a hot id is no hot task."""
     others = [c for c in items.columns if c not in (id_col, path, pos)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import convert, judge, references, search, sections
+from quarry.sources import documents as sources
 
 BOOLEAN = '(license OR und OR la) AND NOT "the"'
 FACTORED = " OR ".join(f'"{w}"' for w in "license und la les der die para une est pas auf den mit del las los trash scum clown moron idiot loser copyright".split())
@@ -160,8 +161,41 @@ def substring_terms(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
 
 
+def pending_anti_join(spark: SparkSession, d: str) -> DataFrame:
+    return search.pending(docs(spark, d), spark.read.parquet(f"{d}/labels.parquet"), "doc_id").select("doc_id", "source")
+
+
+def best_effort_title(spark: SparkSession, d: str) -> DataFrame:
+    return docs(spark, d).select("doc_id", sources.best_title(F.lit(None).cast("string"), F.col("text")).alias("title"))
+
+
+def batch_collect_status(spark: SparkSession, d: str) -> DataFrame:
+    """Batch output joined to its manifest by id: matches and both kinds of misses."""
+    output = spark.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").alias("custom_id"), "quality")
+    manifest = docs(spark, d).where("doc_id % 2 = 0").select(F.col("doc_id").alias("custom_id"), "source")
+    return judge.collect_batch(output, manifest).groupBy("status").agg(F.count(F.lit(1)).alias("docs"))
+
+
+def job_keys(spark: SparkSession, d: str) -> DataFrame:
+    return docs(spark, d).select("doc_id", judge.job_key(F.col("source"), F.col("doc_id").cast("string"), F.sha2("text", 256), F.lit("p"), F.lit("m"), F.lit(None).cast("string")).alias("key"))
+
+
+def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
+    return search.sample(docs(spark, d), "doc_id", 25, 7).select("doc_id", "lang")
+
+
+def merged_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Tags of two runs, each over some of the groups, merged by document."""
+    runs = [search.tag_groups(docs(spark, d), {k: GROUPS[k] for k in names}) for names in (("english", "legal"), ("french", "german", "legal"))]
+    return search.merge_tags(runs[0].unionByName(runs[1])).select("doc_id", F.array_join("groups", ";").alias("groups"))
+
+
+def id_buckets(spark: SparkSession, d: str) -> DataFrame:
+    return docs(spark, d).groupBy(sources.bucket(F.col("doc_id").cast("string")).alias("bucket")).agg(F.count(F.lit(1)).alias("docs"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, sectionize, section_rules_report, drops_by_reason, corpus_summary, audit_presence, stopword_language, judge_parse, judge_summary, prompt_truncate, chunk_packing, metadata_left_join, html_sections)
+    own = (pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, sectionize, section_rules_report, drops_by_reason, corpus_summary, audit_presence, stopword_language, judge_parse, judge_summary, prompt_truncate, chunk_packing, metadata_left_join, html_sections)
     return {f.__name__: f for f in own}
 
 
@@ -187,6 +221,15 @@ def oracle_sql() -> dict[str, str]:
             d(i, n) AS (VALUES {', '.join(f"({i}, '{n}')" for i, n in enumerate(group))}),
             c AS (SELECT d.i, d.n, count(f.i) AS k FROM d LEFT JOIN f ON f.i = d.i GROUP BY ALL)
             SELECT i::BIGINT AS group_index, n AS group_name, k AS new_docs, (sum(k) OVER (ORDER BY i))::BIGINT AS cumulative FROM c""",
+        "pending_anti_join": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+        "best_effort_title": "SELECT doc_id, coalesce(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') AS title FROM documents",
+        "batch_collect_status": """
+            SELECT CASE WHEN o.doc_id IS NOT NULL AND m.doc_id IS NOT NULL THEN 'ok' WHEN m.doc_id IS NULL THEN 'unknown_id' ELSE 'missing_output' END AS status, count(*) AS docs
+            FROM labels o FULL JOIN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) m ON o.doc_id = m.doc_id GROUP BY 1""",
+        "job_keys": "SELECT doc_id, sha256(concat(coalesce(source, ''), chr(10), doc_id, chr(10), coalesce(sha256(text), ''), chr(10), 'p', chr(10), 'm', chr(10))) AS key FROM documents",
+        "seeded_sample": "SELECT doc_id, lang FROM documents ORDER BY md5(concat(7, ':', doc_id)), doc_id LIMIT 25",
+        "merged_tags": f"SELECT doc_id, string_agg(g, ';' ORDER BY g) AS groups FROM ({tags}) GROUP BY doc_id",
+        "id_buckets": "SELECT right(doc_id::VARCHAR, 2) AS bucket, count(*) AS docs FROM documents GROUP BY 1",
         "exclude_filter_kept": f"SELECT doc_id, source FROM documents WHERE NOT ({' OR '.join(hit.values())})",
         "exclude_pattern_hits": " UNION ALL ".join(f"SELECT '{p}' AS pattern, count(*) AS hits FROM documents WHERE {h} HAVING count(*) > 0" for p, h in hit.items()),
         "substring_terms": "SELECT term, count(*) AS docs FROM (SELECT unnest(list_distinct(list_transform(regexp_extract_all(text, '(?i)(license|stupid|token|lic)'), lambda x: lower(x)))) AS term FROM documents) GROUP BY term",

@@ -101,7 +101,7 @@ def write_matches(found: DataFrame, path: str, terms: str = "terms", paths: bool
 
 def best_title(title: Column, text: Column) -> Column:
     """A document's title, else the first line of its text with something in it."""
-    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(F.when(F.trim(title) != "", F.trim(title)), F.try_element_at(lines, F.lit(1)), F.lit(""))
 
 

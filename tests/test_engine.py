@@ -143,6 +143,17 @@ def test_readers(spark, tmp_path):
     assert re.fullmatch("..", spark.range(1).select(D.bucket(F.lit("12345"))).first()[0])
 
 
+def test_title_and_sample(spark):
+    from quarry.sources import documents as D
+
+    rows = spark.createDataFrame([(1, " \n A title \nrest"), (2, None), (3, "first\u2028second line")], "doc_id long, text string")
+    assert [r.t for r in rows.select(D.best_title(F.lit(None).cast("string"), F.col("text")).alias("t")).collect()] == ["A title", "", "first"]
+    many = spark.range(100).withColumnRenamed("id", "doc_id")
+    one, two = ([r.doc_id for r in search.sample(x, "doc_id", 10, 3).collect()] for x in (many, many.repartition(7)))
+    assert one == two and len(set(one)) == 10
+    assert one != [r.doc_id for r in search.sample(many, "doc_id", 10, 4).collect()]
+
+
 def test_entry_queries_have_sql():
     import __spark_entry__ as e
 
