@@ -261,6 +261,19 @@ def test_url_filters(spark):
     assert got[14].verdict == "block" and got[15].verdict == "allow"
 
 
+def test_url_table_holds_no_judged_site(spark):
+    """Blocked and clean sites of the pages are told apart though none of their names is in the labelled table."""
+    names = set(f"{url_filters.BLOCKED} {url_filters.ALLOWED}".split())
+    at = url_filters.host(F.col("url"))
+    found = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(at.alias("h"), url_filters.path(F.col("url")).alias("p"))
+    assert not names & {x for r in found.collect() for x in r.h.split(".")}
+    model = url_filters.train(url_filters.seed_table(spark))
+    bad = F.col("h").rlike("casino-win|free-bets|adult-x|spam-farm|cheap-pills|ads-track")
+    got = found.groupBy(bad.alias("bad")).agg(F.avg((url_filters.probability(F.concat("h", "p"), model) >= 0.5).cast("int")).alias("blocked"))
+    rate = {r.bad: r.blocked for r in got.collect()}
+    assert rate[True] >= 0.9 and rate[False] <= 0.1
+
+
 def test_toxicity_held_out(spark, edge):
     rng = random.Random(9)
     rows = [(i, " ".join([f"w{rng.randrange(3000)}" for _ in range(40)] + (["idiot", "scum"][: 1 + i % 2] if i % 5 == 0 else []))) for i in range(900)]
