@@ -3,7 +3,8 @@
 Texts become sequences of template tokens: numbers, units after a number and names turn into typed placeholders, other
 tokens are lower-cased. Windows of five template tokens of documents and benchmark items are hash-joined. A document
 holds an item if at least 80 % of the item's windows occur in it and the slots agree: within one placement of the item
-a benchmark value always stands for one value of the document, as in a question with changed parameters.
+a benchmark value always stands for one value of the document, as in a question with changed parameters. Items of few
+tokens or without a window that says something are looked up by their whole token sequence, as it is and as a template.
 
 Scale: one pass over the documents tests windows against a bitmap of fixed size built from the benchmark (2 MB however
 large that is), so only likely hits are shuffled; the exact join, the coverage and the slots follow on those alone.
@@ -24,6 +25,8 @@ from quarry.llm._shared import buffers, saved, split_join
 WINDOW, COVERAGE, AGREEMENT = 5, 0.8, 0.8
 #: Template tokens of a window that must be words, not placeholders; a window of placeholders alone says nothing.
 LITERALS = 2
+#: Items of fewer tokens are looked up whole too: one lost window would put them below COVERAGE.
+SHORT = 10
 FILTER_BITS = 24
 UNITS = "mm cm m km in ft yd mi mg g kg lb lbs oz t ml cl l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years hz khz mhz ghz kb mb gb tb v w kw kwh j kj a k c f mph kmh usd eur gbp dollar dollars euro euros pound pounds cent cents percent degrees degree meter meters metre metres kilometer kilometers kilogram kilograms gram grams liter liters litre litres mile miles inch inches foot feet"
 
@@ -42,8 +45,8 @@ _UNIT_HASHES = np.unique(_bytes.span_hashes(_unit[0], _unit[1][:-1], _unit[1][1:
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0x1F1F1F1F01, 0x1F1F1F1F02, 0x1F1F1F1F03))
 
 
-def templates(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash and kind (0 word, 1 number, 2 unit, 3 name) of each token, its own hash, and where each text's tokens begin."""
+def templates(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
+    """Template hash and kind (0 word, 1 number, 2 unit, 3 name) of each token, its own hash, where each text's tokens begin, and which words would be names within a sentence."""
     buf, at = _bytes.joined(texts)
     word = _WORD[buf]
     digit = _DIGIT[buf]
@@ -54,7 +57,7 @@ def templates(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     starts, ends = _bytes.runs(word)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none.astype(np.int8), none, np.zeros(len(texts) + 1, np.int64)
+        return none, none.astype(np.int8), none, np.zeros(len(texts) + 1, np.int64), none.astype(bool)
     digit[dot] = True
     low = _bytes._LOWER[buf]
     latin = np.flatnonzero((buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E)) + 1
@@ -82,44 +85,105 @@ def templates(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     after = after[(starts[after] >= first[after]) & (first[after] == first[after - 1]) & (kind[after] != 1)]
     kind[after[np.isin(own[after], _UNIT_HASHES)]] = 2
     shape = np.choose(kind, [own, _NUMBER, _UNIT, _NAME])
-    return shape, kind, own, np.searchsorted(starts, at)
+    return shape, kind, own, np.searchsorted(starts, at), capital & (kind == 0)
 
 
-def _windows(texts: list[bytes | None], keep: np.ndarray | None) -> tuple[np.ndarray, ...]:
-    """Text, position and hash of each window with enough words (that the filter lets pass), and its slots' own hashes."""
-    shape, kind, own, ptr = templates(texts)
+def _rolled(x: np.ndarray, n: int, most: int) -> tuple[np.ndarray, ...]:
+    """Prefix sums of a polynomial of the hashes, and the inverse powers that shift a difference to its start."""
+    up, down = _bytes._power(max(n, most))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(x * up[:n], out=sums[1:])
+    return sums, down
+
+
+def _whole(sums: np.ndarray, down: np.ndarray, starts: np.ndarray, length: int, salt: int) -> np.ndarray:
+    """Hash of the ``length`` tokens at each start."""
+    return _bytes.mix(_bytes.mix((sums[starts + length] - sums[starts]) * down[starts]) + np.uint64(2 * length + salt))
+
+
+def _windows(texts: list[bytes | None], keep: np.ndarray | None, lengths: list[int] | None = None) -> tuple[np.ndarray, ...]:
+    """Text, position, hash, slots' own hashes and kind of lookup of each hit.
+
+    Kind 0 is a window with enough words, 1 a whole sequence as a template, 2 one as it is. With ``keep`` the texts are
+    documents: what the filter lets pass, whole sequences of ``lengths``. Without, they are items: a window or sequence
+    whose first word is capitalised comes a second time with that word as a name (what it is within a sentence); the
+    last column is the hash of the first form, and the number of tokens follows for whole sequences.
+    """
+    shape, kind, own, ptr, proper = templates(texts)
     n = max(0, len(shape) - WINDOW + 1)
-    h, words = np.zeros(n, np.uint64), np.zeros(n, np.int8)
-    for j in range(WINDOW):
-        h += shape[j : j + n] * _bytes._GRAM[j]
-        words += kind[j : j + n] == 0
-    h = _bytes.mix(h)
-    text = np.searchsorted(ptr, np.arange(n), "right") - 1
-    good = (words >= LITERALS) & (np.arange(n) + WINDOW <= ptr[text + 1])
-    if keep is not None:
-        slot = h & np.uint64((1 << FILTER_BITS) - 1)
-        good &= (keep[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-    at = np.flatnonzero(good)
-    slots = [[int(own[p + j]) for j in range(WINDOW) if kind[p + j]] if words[p] < WINDOW else [] for p in at.tolist()]
-    return text[at], at - ptr[text[at]], h[at], slots
-
-
-def _emit(ids: str, keep_from=None):
+    literal = np.zeros(len(shape) + 1, np.int64)
+    np.cumsum(kind == 0, out=literal[1:])
+    out: list[tuple[np.ndarray, ...]] = []
+
+    def add(at: np.ndarray, h: np.ndarray, length: int, sort: int, first: np.ndarray, named: bool = False) -> None:
+        text = np.searchsorted(ptr, at, "right") - 1
+        if keep is not None:
+            slot = h & np.uint64((1 << FILTER_BITS) - 1)
+            ok = (keep[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+            at, text, h, first = at[ok], text[ok], h[ok], first[ok]
+        slots = [[int(own[p + j]) for j in range(length) if kind[p + j] or (named and j == 0)] if sort < 2 else [] for p in at.tolist()]
+        out.append((text, at - ptr[text], h, slots, np.full(len(at), sort), first, np.full(len(at), length)))
+
+    def forms(at: np.ndarray, hashes, length: int, sort: int) -> None:
+        """The sequences at ``at`` that hold LITERALS words; of an item also with its first word as a name."""
+        words = literal[at + length] - literal[at]
+        at, words = at[words >= LITERALS], words[words >= LITERALS]
+        h = hashes(at, shape)
+        add(at, h, length, sort, h)
+        if keep is None:
+            again = proper[at] & (words > LITERALS) & np.isin(at, ptr[:-1])
+            if again.any():
+                named = shape.copy()
+                named[at[again]] = _NAME
+                add(at[again], hashes(at[again], named), length, sort, h[again], True)
+
+    def window(at: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(at), np.uint64)
+        for j in range(WINDOW):
+            h += shape[at + j] * _bytes._GRAM[j]
+        return _bytes.mix(h)
+
+    at = np.arange(n)
+    at = at[at + WINDOW <= ptr[np.searchsorted(ptr, at, "right")]]
+    forms(at, window, WINDOW, 0)
+    size = np.diff(ptr)
+    if keep is None:
+        said = np.bincount(out[0][0], minlength=len(texts)) if out else np.zeros(len(texts))
+        wanted = [(length, ptr[:-1][(size == length) & ((size < SHORT) | (said == 0))]) for length in np.unique(size[(size > 0) & ((size < SHORT) | (said == 0))]).tolist()]
+    else:
+        wanted = []
+        for length in lengths or []:
+            at = np.arange(max(0, len(shape) - length + 1))
+            wanted.append((length, at[at + length <= ptr[np.searchsorted(ptr, at, "right")]]))
+    if wanted:
+        plain, down = _rolled(own, len(own), len(own))
+    for length, at in wanted:
+        if not len(at):
+            continue
+        h = _whole(plain, down, at, length, 0)
+        add(at, h, length, 2, h)
+        if length >= WINDOW:
+            forms(at, lambda at, shape, length=length: _whole(_rolled(shape, len(shape), len(shape))[0], down, at, length, 1), length, 1)
+    return tuple(sum((x[i] for x in out), []) if i == 3 else np.concatenate([x[i] for x in out]) for i in range(7))
+
+
+def _emit(ids: str, keep_from=None, lengths=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = None if keep_from is None else keep_from.value
         for batch in batches:
             for some, part in buffers(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                text, pos, h, slots = _windows(part, keep)
+                text, pos, h, slots, sort, first, size = _windows(part, keep, lengths)
                 flat = pa.array([[x - (1 << 64) if x >> 63 else x for x in s] for s in slots], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([some[i] for i in text.tolist()], pa.int64()), pa.array(pos, pa.int64()), pa.array(h.view(np.int64)), flat], names=[ids, "pos", "h", "slots"])
+                cols = [pa.array([some[i] for i in text.tolist()], pa.int64()), pa.array(pos, pa.int64()), pa.array(h.view(np.int64)), flat, pa.array(sort, pa.int32()), pa.array(first.view(np.int64)), pa.array(size, pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols, names=[ids, "pos", "h", "slots", "sort", "first", "size"])
 
     return run
 
 
-def windows(rows: DataFrame, id_col: str, keep=None) -> DataFrame:
-    """(id, pos, h, slots) of the informative template windows of ``rows`` (id, text)."""
+def windows(rows: DataFrame, id_col: str, keep=None, lengths: list[int] | None = None) -> DataFrame:
+    """(id, pos, h, slots, sort, first, size) of the lookups of ``rows`` (id, text); see :func:`_windows`."""
     src = rows.select(F.col(id_col).cast("long").alias(id_col), "text")
-    return src.mapInArrow(_emit(id_col, keep), f"{id_col} bigint, pos bigint, h bigint, slots array<bigint>")
+    return src.mapInArrow(_emit(id_col, keep, lengths), f"{id_col} bigint, pos bigint, h bigint, slots array<bigint>, sort int, first bigint, size int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -127,29 +191,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not looked at. coverage is the
     share of the item's distinct windows found in the document, agreement the share of slot fillings that follow one
-    mapping per placement (1.0 without slots). Null and empty texts have no windows, items of fewer than five tokens
-    neither, and nothing matches them; null ids match nothing. Repeated rows of a document count once. Either table
-    empty: an empty result.
+    mapping per placement (1.0 without slots). Items of fewer than ``SHORT`` tokens, or without a window of two words, are
+    also found by their whole token sequence: as it is (both shares 1.0), and from five tokens of which two are words as a
+    template (coverage 1.0); an item of one word is held by every document with that word. Texts without a token match
+    nothing, null ids neither. Repeated rows of a document count once. Either table empty: an empty result.
     """
     spark = docs.sparkSession
     items = saved(windows(benchmark.where("item_id is not null"), "item_id").withColumnRenamed("pos", "item_pos").withColumnRenamed("slots", "item_slots"), "items")
+    lengths = sorted(r["size"] for r in items.where("sort > 0").select("size").distinct().collect())
     mask = (1 << FILTER_BITS) - 1
     slot = items.select(F.col("h").bitwiseAND(mask).alias("s")).selectExpr("shiftright(s, 6) as word", "shiftleft(1L, cast(s & 63 as int)) as bit")
     keep = np.zeros(1 << FILTER_BITS - 6, np.uint64)
     got = slot.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^18 rows
     keep[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    hits = windows(docs.where("doc_id is not null"), "doc_id", spark.sparkContext.broadcast(keep))
-    both = saved(split_join(hits, items, ["h"]).dropDuplicates(["doc_id", "item_id", "pos", "item_pos"]), "hits")
-    size = items.groupBy("item_id").agg(F.countDistinct("h").alias("windows"))
-    share = both.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("windows_hit")).join(size, "item_id")
-    share = share.withColumn("coverage", F.col("windows_hit") / F.col("windows")).where(F.col("coverage") >= COVERAGE)
+    hits = windows(docs.where("doc_id is not null"), "doc_id", spark.sparkContext.broadcast(keep), lengths).drop("first", "size")
+    both = saved(split_join(hits, items, ["h", "sort"]).dropDuplicates(["doc_id", "item_id", "pos", "item_pos", "sort"]), "hits")
+    distinct = F.countDistinct(F.when(F.col("sort") == 0, F.col("first")))
+    size = items.groupBy("item_id").agg(distinct.alias("windows"))
+    share = both.groupBy("doc_id", "item_id").agg(distinct.alias("windows_hit"), F.max("sort").alias("whole")).join(size, "item_id")
+    share = share.withColumn("coverage", F.when(F.col("whole") > 0, 1.0).otherwise(F.col("windows_hit") / F.col("windows"))).where(F.col("coverage") >= COVERAGE)
     pairs = both.where("size(slots) > 0").select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("place"), F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
     fill = pairs.groupBy("doc_id", "item_id", "place", F.col("z.item_slots").alias("stands"), F.col("z.slots").alias("for")).agg(F.count(F.lit(1)).alias("n"))
     fill = fill.groupBy("doc_id", "item_id", "place", "stands").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
     # the best placement decides: chance windows elsewhere in the document don't speak against it
     fill = fill.groupBy("doc_id", "item_id", "place").agg(F.sum("most").alias("most"), F.sum("all").alias("all"))
     fill = fill.groupBy("doc_id", "item_id").agg(F.max(F.struct("all", (F.col("most") / F.col("all")).alias("agreement"))).alias("best"))
-    found = share.join(fill, ["doc_id", "item_id"], "left").withColumn("agreement", F.coalesce("best.agreement", F.lit(1.0)))
+    found = share.join(fill, ["doc_id", "item_id"], "left").withColumn("agreement", F.when(F.col("whole") == 2, 1.0).otherwise(F.coalesce("best.agreement", F.lit(1.0))))
     return found.where(F.col("agreement") >= AGREEMENT).select("doc_id", "item_id", "windows_hit", "windows", "coverage", "agreement", F.lit(True).alias("contaminated"))
 
 

@@ -109,6 +109,13 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    items = [(1, "Which river flows through Paris"), (2, "Mount Everest"), (3, "12 km 7 13 99 15 Alice 4 8 16 23 42"), (4, "Name the largest lake in all of Peru"), (5, "...")]
+    docs = [(10, "they asked Which river flows through Paris and left"), (11, "he saw Mount Everest once"), (12, "so 12 km 7 13 99 15 Alice 4 8 16 23 42 it was"), (13, "then Name the largest lake in all of Chile again"), (14, "which river is near Mount Etna"), (15, "12 km 7 13 99 15 Alice 4 8 16 23 43"), (16, "...")]
+    got = decontam.contaminated(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(10, 1), (11, 2), (12, 3), (13, 4)] and all(r.coverage == 1 for r in got)
+
+
 def test_language(spark, edge):
     rng = random.Random(4)
     words = {"aa": ["the", "and", "house", "river"], "bb": ["der", "und", "haus", "fluss"]}
