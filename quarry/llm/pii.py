@@ -1,14 +1,16 @@
 """Personal data by patterns and information-theoretic sanitisation (operator 9).
 
-Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. Terms near an entity are weighed
-by how much of the entity's information they give away: disclosure = PMI(term; entity) / IC(entity), both from document
-counts over the whole corpus. A term whose disclosure reaches ``DISCLOSURE`` next to an entity is a span too, and
-:func:`sanitise` generalises entities to their kind and removes such terms.
+Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. Terms that stand near an entity
+somewhere are weighed by how much of the entity's information they give away: disclosure = PMI(term; entity) /
+IC(entity), both from counts of whole documents over the corpus. Where it reaches ``DISCLOSURE``, every occurrence of the
+term in a document that holds the entity is a span too, and :func:`sanitise` generalises entities to their kind and
+removes such terms.
 
 Scale: the first pass emits a row per document and the few terms around its entities. Document counts of terms come
 from a second pass that keeps only words of a bitmap of fixed size (2 MB) and sums them within a task, so what is
 shuffled follows the entities, not the corpus' vocabulary. Terms whose count beside entities alone rules a disclosure
-out, such as all frequent words, aren't looked for. Counts are partial aggregates.
+out, such as all frequent words, aren't looked for. A third pass reads the documents that hold an entity of a candidate
+pair and emits the pairs that a bitmap lets pass, at most the words of these documents for each entity they hold.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm._bytes import mix
 from quarry.llm._shared import buffers, saved, split_join
 from quarry.llm.toxicity import tokens
 
@@ -32,6 +35,8 @@ NEAR, DISCLOSURE, SUPPORT = 6, 0.8, 2
 FILTER_BITS = 24
 #: Words whose counts a task holds before it passes them on.
 TASK_TERMS = 1 << 20
+#: Up to so many ids of documents with candidate entities they are broadcast.
+BROADCAST_IDS = 1_000_000
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
@@ -140,7 +145,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row |= {"base": _join(spans), "base_sha256": hashlib.sha256(_join(spans).encode()).hexdigest(), "entities": [], "terms": []}
             free = _outside(spans)
             for k, a, b in spans:
-                entity = int.from_bytes(hashlib.blake2b(f"{k}:{text[a:b]}".encode(), digest_size=8).digest(), "big", signed=True)
+                entity = _entity(k, text[a:b])
                 row["entities"].append(entity)
                 near = [(x, y) for x, y in _near(text, a, b) if y - x > 2 and not text[x:y].isdigit() and free(x, y)]
                 for h, (x, y) in zip(_hashes([text[x:y] for x, y in near]), near, strict=True):
@@ -181,10 +186,67 @@ def _words(keep) -> object:
     return run
 
 
+_TOGETHER = "doc_id bigint, base_sha256 string, entity bigint, term bigint, spans array<struct<start: int, stop: int>>"
+
+
+def _entity(kind: str, value: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def _pair(entity: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """Bit of each pair of an entity and a term."""
+    return (mix(entity.view(np.uint64)) ^ term.view(np.uint64)) & np.uint64((1 << FILTER_BITS) - 1)
+
+
+def _set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _pair_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        slot = _pair(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
+        bit = np.uint64(1) << (slot & np.uint64(63))
+        yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(bit.view(np.int64))], names=["word", "bit"])
+
+
+def _together(terms, pairs):
+    """Of every document the pairs of an entity and a term in it that the bitmaps let pass, with the term's places outside the base spans."""
+    schema = pa.schema([("doc_id", pa.int64()), ("base_sha256", pa.string()), ("entity", pa.int64()), ("term", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[dict] = []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                spans = base_spans(text)
+                if not spans:
+                    continue
+                free, places = _outside(spans), {}
+                words = [m.span() for m in _TERM.finditer(text)]
+                h = np.array(_hashes([text[x:y] for x, y in words]), np.int64)
+                for i in np.flatnonzero(_set(terms.value, h.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1))).tolist():
+                    x, y = words[i]
+                    own = places.setdefault(int(h[i]), [])
+                    if y - x > 2 and not text[x:y].isdigit() and free(x, y):
+                        own.append({"start": x, "stop": y})
+                digest = hashlib.sha256(_join(spans).encode()).hexdigest()
+                term = np.array(list(places), np.int64)
+                for entity in sorted({_entity(k, text[a:b]) for k, a, b in spans}) if len(term) else ():
+                    for t in term[_set(pairs.value, _pair(np.array([entity], np.int64), term))].tolist():
+                        out.append({"doc_id": doc, "base_sha256": digest, "entity": entity, "term": t, "spans": places[t]})
+                    if len(out) >= 10_000:
+                        yield pa.RecordBatch.from_pylist(out, schema=schema)
+                        out = []
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
 def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """Spans of personal data of every document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, terms.
 
-    spans lists the base spans and those of revealing terms (kind ``term``) as kind:start:end; base_sha256 digests the
+    spans lists the base spans and those of revealing terms (kind ``term``; all occurrences in documents that hold what
+    they reveal, at any distance) as kind:start:end; base_sha256 digests the
     base spans alone. Null and empty texts have none. Repeated rows are rows of the result each and count as documents
     of their own in the statistics; rows with a null doc_id keep their base spans and get no terms. Columns besides
     doc_id and text are not looked at. An empty table gives an empty result.
@@ -192,30 +254,49 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     spark = docs.sparkSession
     found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find, _FOUND), "pii")
     row = found.where("size(entities) > 0 and doc_id is not null").select("doc_id", "base_sha256", "entities", "terms")
-    near = row.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p")).select("p.entity", "p.term")
-    entity = row.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
+    near = row.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p")).select("p.entity", "p.term").distinct()
+    entity = row.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs")).where(F.col("entity_docs") >= support)
     beside = row.select(F.explode(F.array_distinct("terms.term")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("beside_docs"))
     total = F.lit(float(found.count()))
 
-    def share(term_docs: str) -> Column:
+    def share(both: Column, term_docs: str) -> Column:
         """PMI / IC: 1 if the term gives all of the entity's information away."""
-        return F.try_divide(F.log(F.col("both") * total / (F.col(term_docs) * F.col("entity_docs"))), F.log(total / F.col("entity_docs")))
+        return F.try_divide(F.log(both * total / (F.col(term_docs) * F.col("entity_docs"))), F.log(total / F.col("entity_docs")))
 
-    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
-    # a term is in at least the documents that show it beside some entity: what is told by that count is the most it can tell
-    both = saved(split_join(split_join(both, entity, ["entity"]), beside, ["term"]).where(share("beside_docs") >= disclosure), "near")
-    slot = both.select(F.col("term").bitwiseAND((1 << FILTER_BITS) - 1).alias("s")).selectExpr("shiftright(s, 6) as word", "shiftleft(1L, cast(s & 63 as int)) as bit")
-    got = slot.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^18 rows
+    # a term is in at least the documents that show it beside some entity, and at most all of the entity's and the term's
+    # documents hold both: what is told then is the most it can tell
+    def most(term_docs: str) -> Column:
+        return share(F.least(F.col(term_docs), F.col("entity_docs")), term_docs) >= disclosure
+
+    both = saved(split_join(split_join(near, entity, ["entity"]), beside, ["term"]).where(most("beside_docs")), "near")
     base = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
-    if not got.num_rows:
+
+    def bitmap(bits: DataFrame) -> np.ndarray:
+        got = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^18 rows
+        keep = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+        keep[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+        return keep
+
+    def of_terms(rows: DataFrame) -> np.ndarray:
+        slot = rows.select(F.col("term").bitwiseAND((1 << FILTER_BITS) - 1).alias("s"))
+        return bitmap(slot.selectExpr("shiftright(s, 6) as word", "shiftleft(1L, cast(s & 63 as int)) as bit"))
+
+    send = spark.sparkContext.broadcast
+    words = docs.select("text").where("text is not null").mapInArrow(_words(send(of_terms(both))), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("term_docs"))
+    pairs = split_join(both, words, ["term"], "left").withColumn("term_docs", F.greatest(F.coalesce("term_docs", F.lit(0)), "beside_docs"))
+    pairs = saved(pairs.where((F.col("term_docs") >= support) & most("term_docs")).select("entity", "term", "entity_docs", "term_docs"), "pairs")
+    if pairs.isEmpty():
         return found.select(*base, F.col("base").alias("spans"))
-    keep = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    keep[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    words = docs.select("text").where("text is not null").mapInArrow(_words(spark.sparkContext.broadcast(keep)), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("term_docs"))
-    told = split_join(both, words, ["term"], "left").withColumn("term_docs", F.greatest(F.coalesce("term_docs", F.lit(0)), "beside_docs"))
-    told = told.where(share("term_docs") >= disclosure).select("entity", "term")
-    each = row.select("doc_id", "base_sha256", F.explode("terms").alias("t")).select("doc_id", "base_sha256", "t.*")
-    more = split_join(each, told, ["entity", "term"]).groupBy("doc_id", "base_sha256").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("more"))
+    held = row.select("doc_id", F.explode("entities").alias("entity"))
+    ids = saved(split_join(held, pairs.select("entity").distinct(), ["entity"], "left_semi").select("doc_id").distinct(), "holders")
+    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    bits = bitmap(pairs.select("entity", "term").mapInArrow(_pair_bits, "word bigint, bit bigint"))
+    seen = saved(texts.mapInArrow(_together(send(of_terms(pairs)), send(bits)), _TOGETHER), "together")
+    told = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
+    told = split_join(told, pairs, ["entity", "term"]).where(share(F.col("both"), "term_docs") >= disclosure).select("entity", "term")
+    each = split_join(seen, told, ["entity", "term"]).select("doc_id", "base_sha256", F.explode("spans").alias("s"))
+    more = each.groupBy("doc_id", "base_sha256").agg(F.array_sort(F.collect_set("s")).alias("more"))
     listed = F.transform("more", lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"]))
     out = split_join(found, more, ["doc_id", "base_sha256"], "left")
     return out.select(*base, F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), listed).alias("spans"))

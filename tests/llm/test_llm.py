@@ -224,6 +224,15 @@ def test_pii_terms(spark, edge):
     assert {r.doc_id: r.text for r in pii.sanitise(docs, spans).collect()}[0].startswith("meet <...> near <EMAIL>")
 
 
+def test_pii_terms_anywhere_in_the_document(spark):
+    far = " and then a long walk by the lake on that day came to its end "
+    rows = [(0, f"zorblax wrote from bob@mail.test{far}so zorblax left"), (1, f"bob@mail.test{far}until zorblax came")]
+    docs = spark.createDataFrame(rows + [(5 + i, f"meet at noon{far}number {i}") for i in range(20)], DOC)
+    spans = pii.find(docs)
+    got = {r.doc_id: r.text for r in pii.sanitise(docs, spans).collect()}
+    assert "zorblax" not in got[0] + got[1] and got[0].count("<...>") >= 2 and got[5].startswith("meet at noon")
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "é" * 700
     rows = [(i, f"http://a.test/{i % 7}", big if i % 3 == 0 else f"<p>{i}</p>\r\n\r\n") for i in range(60)] + [(100, None, None), (101, "http://b.test/ü x", ""), (None, "http://c.test", big)]
