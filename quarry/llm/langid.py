@@ -2,10 +2,12 @@
 
 A model per language: n-grams of orders 1 to 4 over lower-cased letters, each order a sorted array of packed keys with
 the interpolated log probability. The language with the lowest cross-entropy per character wins; a threshold per
-language, calibrated on a bounded sample of training rows, rejects texts that no model explains.
+language and class of length, calibrated on all training rows by models that have not seen them, rejects texts that no
+model explains.
 
 Scale: counts are gathered from all training rows as partial sums per task and n-gram. What reaches the driver is the
-distinct n-grams: 2^24 a language at most by the width of a key, and in natural text some 100,000.
+distinct n-grams: 2^24 a language and fold at most by the width of a key, and in natural text some 100,000. The
+calibration is a histogram that each task sums up.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from quarry.llm._shared import saved
 
 #: Symbols of 6 bits: 0 for a run of other characters, 1-26 for a-z, further letters on 27-63 by code point.
 BITS, ORDER = 6, 4
-#: Rows that calibrate the rejection, the lowest by a hash of doc_id among the training rows.
-CALIBRATION_ROWS = 5_000
-#: The largest deviation that the calibration rows show, or FLOOR if that is more, is widened by SLACK.
-SLACK, FLOOR = 1.5, 20.0
+#: Halves of the training rows by a hash of the text; each is scored by models of the other. Bins a nat.
+FOLDS, BINS = 2, 50
+#: Classes of length by the binary logarithm of the symbols: under 8, 8 to 15, and so on, 64 or more.
+CLASSES = range(2, 7)
+#: The excess over a language's mean that this share of out-of-fold texts stays under is widened by SLACK.
+SHARE, SLACK = 0.999, 1.5
 _table: list[np.ndarray] = []
 
 
@@ -67,15 +71,17 @@ def grams(s: np.ndarray, order: int = ORDER) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[np.ndarray]] = {}
-    size: dict[str, int] = {}
+    held: dict[tuple[str, int], list[np.ndarray]] = {}
+    size: dict[tuple[str, int], int] = {}
 
-    def out(lang: str) -> pa.RecordBatch:
+    def out(lang: tuple[str, int]) -> pa.RecordBatch:
         key, n = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key, pa.int32()), pa.array(n, pa.int64())], names=["lang", "key", "n"])
+        cols = [pa.array([lang[0]] * len(key), pa.string()), pa.array([lang[1]] * len(key), pa.int32()), pa.array(key, pa.int32()), pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(cols, names=["lang", "fold", "key", "n"])
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for *lang, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 1)), strict=True):
+            lang = tuple(lang)
             for i in range(0, len(text), 1 << 20):  # the pieces of a long text overlap by the context of an n-gram
                 s = encode(text[max(0, i - ORDER) : i + (1 << 20)] if i else text[: 1 << 20])
                 g = grams(s)[ORDER if i else 0 :]
@@ -138,10 +144,14 @@ class Model:
 
 @dataclass
 class Identifier:
-    """Models by language, and per language the mean cross-entropy and the largest deviation that is not rejected."""
+    """Models by language, and per language (any other: ``default``) the largest cross-entropy of each class that is not rejected.
+
+    Without any calibration that is the one of equally likely symbols, which no model is needed for.
+    """
 
     models: dict[str, Model]
-    limits: dict[str, tuple[float, float]] = field(default_factory=dict)
+    limits: dict[str, list[float]] = field(default_factory=dict)
+    default: list[float] = field(default_factory=lambda: [BITS * float(np.log(2))] * len(CLASSES))
 
     def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
         """Language, score, nats per character, rejected. The score is the posterior over languages of up to 64 characters."""
@@ -154,37 +164,97 @@ class Identifier:
         cross = np.array([-float(self.models[x].score(key).astype(np.float64) @ n) / total for x in names])
         best = int(np.argmin(cross))
         score = float(1 / np.exp(-(cross - cross[best]) * min(total, 64)).sum())
-        mean, most = self.limits.get(names[best], (0.0, np.inf))
-        return names[best], score, float(cross[best]), bool(deviation(cross[best], mean, total) > most)
+        most = self.limits.get(names[best], self.default)[length_class(total)]
+        return names[best], score, float(cross[best]), bool(cross[best] > most)
 
 
-def deviation(cross: float, mean: float, total: int) -> float:
-    """How far a text's cross-entropy lies above the language's mean; that of a short text varies more."""
-    return float((cross - mean) * np.sqrt(min(total, 400)))
+def length_class(total: int) -> int:
+    return min(max(total.bit_length() - 1, CLASSES[0]), CLASSES[-1]) - CLASSES[0]
 
 
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _calibration(folds):
+    """Histograms of out-of-fold cross-entropies by language and class: of texts that their own language explains best, and of such beginnings of them as the shorter classes hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int, int], int] = {}
+        for batch in batches:
+            for lang, text, fold in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                models, g = folds.value[fold], grams(encode(text))
+                if not len(g) or lang not in models:
+                    continue
+                key, where, n = np.unique(g, return_inverse=True, return_counts=True)
+                nats = {x: -m.score(key).astype(np.float64) for x, m in models.items()}
+                if min(nats, key=lambda x: (nats[x] @ n, x)) != lang:
+                    continue
+                seen = [(length_class(len(g)), float(nats[lang] @ n) / len(g))]
+                sums = np.cumsum(nats[lang][where[: 1 << CLASSES[-1]]])
+                seen += [(c - CLASSES[0], float(sums[(1 << c) - 1]) / (1 << c)) for c in CLASSES[:-1] if len(g) >= 2 << c]
+                for c, cross in seen:
+                    at = lang, c, int(cross * BINS)
+                    held[at] = held.get(at, 0) + 1
+        lang, c, cross = zip(*held, strict=True) if held else ((), (), ())
+        cols = [pa.array(lang, pa.string()), pa.array(c, pa.int32()), pa.array(cross, pa.int32()), pa.array(held.values(), pa.int64())]
+        yield pa.RecordBatch.from_arrays(cols, names=["lang", "class", "bin", "n"])
+
+    return run
+
+
+def _limits(seen: list[tuple[str, int, int, int]], model: Identifier) -> None:
+    """Limits of each class from (lang, class, bin, n): a language's own excess or that of all, whichever is more."""
+    whole: dict[str, np.ndarray] = {}
+    for lang, _, x, n in seen:
+        whole[lang] = whole.get(lang, np.zeros(2)) + np.array([n * (x + 0.5) / BINS, n])
+    mean = {x: float(t / n) for x, (t, n) in whole.items()}
+    by: dict[tuple[str | None, int], list[tuple[float, int]]] = {}
+    for lang, c, x, n in seen:
+        for who in (lang, None):
+            by.setdefault((who, c), []).append(((x + 1) / BINS - mean[lang], n))
+
+    def excess(who: str | None, c: int) -> float | None:
+        if (who, c) not in by:
+            return None
+        x, n = (np.array(v) for v in zip(*sorted(by[who, c]), strict=True))
+        return float(x[np.searchsorted(np.cumsum(n), SHARE * n.sum())])
+
+    def limits(who: str | None, middle: float) -> list[float]:
+        # a class that nothing calibrates takes the next shorter one, else the next longer one, else equally likely symbols
+        out = [max((e for e in (excess(who, c), excess(None, c)) if e is not None), default=None) for c in range(len(CLASSES))]
+        for step in (range(1, len(out)), range(len(out) - 2, -1, -1)):
+            for i in step:
+                if out[i] is None:
+                    out[i] = out[i - 1] if step.step > 0 else out[i + 1]
+        return [middle + SLACK * e for e in out]
+
+    if mean:
+        model.limits = {x: limits(x, m) for x, m in mean.items()}
+        model.default = limits(None, max(mean.values()))
+
+
 def train(rows: DataFrame) -> Identifier:
-    """Fit on all ``rows`` (doc_id, text, lang); rows with a null text or lang teach nothing. No language: everything is ``und``."""
-    rows = rows.where("lang is not null and text is not null")
-    counts = saved(rows.select("lang", "text").mapInArrow(_counts, "lang string, key int, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")), "grams")
-    got = counts.toArrow().sort_by([("lang", "ascending"), ("key", "ascending")])
-    models = {}
-    for x in sorted(pc.unique(got.column("lang")).to_pylist()):
-        own = got.filter(pc.equal(got.column("lang"), x))
-        models[x] = Model.fit(own.column("key").to_numpy(), own.column("n").to_numpy())
-    out = Identifier(models)
-    ids = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").limit(CALIBRATION_ROWS).select("doc_id").distinct()
-    sample = _scored(rows.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text", F.col("lang").alias("extra")), out).where("lang_pred = extra").toArrow()
-    by: dict[str, list[tuple[float, int]]] = {}
-    for x, cross, total in zip(*(sample.column(c).to_pylist() for c in ("lang_pred", "nats", "symbols")), strict=True):
-        by.setdefault(x, []).append((cross, total))
-    for x, seen in by.items():
-        mean = sum(c * t for c, t in seen) / sum(t for _, t in seen)
-        out.limits[x] = (mean, SLACK * max(FLOOR, max(deviation(c, mean, t) for c, t in seen)))
+    """Fit on all ``rows`` (doc_id, text, lang); rows with a null text or lang teach nothing. No language: everything is ``und``.
+
+    All of them calibrate the rejection too: texts of each fold, equal ones in the same, by models of the other folds.
+    """
+    rows = rows.where("lang is not null and text is not null").select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))
+    counts = saved(rows.mapInArrow(_counts, "lang string, fold int, key int, n bigint").groupBy("lang", "fold", "key").agg(F.sum("n").alias("n")), "grams")
+    got = counts.toArrow()
+
+    def fit(part: pa.Table) -> dict[str, Model]:
+        models = {}
+        for x in sorted(pc.unique(part.column("lang")).to_pylist()):
+            own = part.filter(pc.equal(part.column("lang"), x))
+            key, where = np.unique(own.column("key").to_numpy(), return_inverse=True)
+            models[x] = Model.fit(key, np.bincount(where, own.column("n").to_numpy(), len(key)).astype(np.int64))
+        return models
+
+    out = Identifier(fit(got))
+    folds = rows.sparkSession.sparkContext.broadcast([fit(got.filter(pc.not_equal(got.column("fold"), k))) for k in range(FOLDS)])
+    seen = rows.mapInArrow(_calibration(folds), "lang string, class int, bin int, n bigint").groupBy("lang", "class", "bin").agg(F.sum("n").alias("n"))
+    _limits([tuple(r) for r in seen.collect()], out)
     return out
 
 

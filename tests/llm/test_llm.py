@@ -134,6 +134,18 @@ def test_language(spark, edge):
         assert abs(np.exp(m.score(context + np.arange(1 << langid.BITS, dtype=np.int32)).astype(float)).sum() - 1) < 1e-3
 
 
+def test_language_rejects_short_texts_of_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rare = spark.createDataFrame([(-1, "zgrzyt brzoza chrzan szczaw", "rare")], DOC + ", lang string")
+    model = langid.train(docs.where(~langid.held_out()).select("doc_id", "text", "lang").unionByName(rare))
+    short = ["Wczoraj wieczorem poszliśmy razem do starego kina w centrum.", "Eilen illalla menimme yhdessä vanhaan elokuvateatteriin ja", "Dün akşam hep birlikte şehir merkezindeki eski sinemaya git", "Ieri sera siamo andati insieme al vecchio cinema del centro"]
+    assert all(model.predict(t)[3] for t in short)
+    # "rare" has no out-of-fold row: its limit is finite
+    assert set(model.models) - set(model.limits) == {"rare"} and max(model.default) < 6
+    held = langid.identify(docs.where(langid.held_out()), model)
+    assert held.where("rejected").count() <= 0.01 * held.count()
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
