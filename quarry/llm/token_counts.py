@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 CHUNK = 1 << 16
 #: Entries that a worker keeps of words and of transitions; a full table is begun anew.
-MEMO, TRANSITIONS = 500_000, 1_000_000
+MEMO, TRANSITIONS = 1_000_000, 1_000_000
 LIMIT = 4096
+_NEVER = 1 << 62
 _SYNC = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 
 
@@ -56,13 +57,17 @@ class Transducer:
 
     def merged(self, text: str) -> list[str]:
         """Encoding of a short text by the merges themselves; only used to compile."""
-        parts = list(text)
-        while True:
-            best = min(((self.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.ranks), default=None)
-            if best is None:
-                return parts
-            i = best[1]
+        parts, rank = list(text), self.ranks.get
+        order = [rank(a + b, _NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while order and (best := min(order)) != _NEVER:
+            i = order.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del order[i]
+            if i:
+                order[i - 1] = rank(parts[i - 1] + parts[i], _NEVER)
+            if i < len(order):
+                order[i] = rank(parts[i] + parts[i + 1], _NEVER)
+        return parts
 
     def follows(self, a: str | None, b: str) -> bool:
         """Whether token b may stand after token a."""
