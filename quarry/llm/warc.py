@@ -1,19 +1,20 @@
 """Deterministic sharded WARC writer and its reader (operator 6).
 
-Records are range-sorted by url and page_id over shard bounds that depend on the rows alone; a shard rolls to a new
-file when the compressed bytes reach a limit. Headers, record ids and digests are regenerated from the payload, gzip
-members carry no time, so equal rows give equal archives. Tasks write under temporary names; the driver renames the
-files of the attempts that Spark committed and then writes the manifest, whose presence makes the archive complete.
-
-Scale: payloads are shuffled once, by shard; which record is the response of a payload comes from digests alone, as a
-partial aggregate and a join that splits a hot digest. Writing and reading stream record by record.
+Records are range-sorted by url, page_id and payload digest into shards of about equal bytes, whose bounds depend on the
+rows alone; a shard rolls to a new file when the compressed bytes reach a limit. Headers, record ids and digests are
+regenerated from the payload, gzip members carry no time, so equal rows give equal archives. Tasks write under temporary
+names; tasks of a second job rename the files of the attempts that Spark committed, and then the manifest is written as a
+table, whose _SUCCESS file makes the archive complete.
+
+Scale: a first pass leaves key, digest and size of each row; record types, shard count and bounds come from that table.
+Payloads are shuffled once, by shard. Shards number at most ``SHARDS``; beyond that they grow and roll more often, so the
+driver never holds more than the sampled keys. Neither file names nor manifest rows are collected.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -21,15 +22,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import saved, shared_dir, split_join
+from quarry.llm._shared import forget, saved, shared_dir, split_join
 
-LEAST_REVISIT, ROLL_BYTES, SHARD_ROWS, DATE = 1000, 64 << 20, 4096, "2024-01-01T00:00:00Z"
-#: Keys that set the shard bounds: about so many are looked at, whichever hash lowest.
-BOUND_KEYS = 20_000
-_MANIFEST = "file string, records bigint, bytes bigint, first string, last string, temporary string"
+LEAST_REVISIT, ROLL_BYTES, SHARD_BYTES, DATE = 1000, 64 << 20, 8 << 20, "2024-01-01T00:00:00Z"
+#: Shards at most, and keys for each that are looked at to set the bounds, whichever hash lowest.
+SHARDS, KEYS_A_SHARD = 10_000, 20
+#: Bytes of a record's headers, for the size of a shard.
+HEAD_BYTES = 300
+MANIFEST = "manifest.json"
+_MANIFEST = "file string, records bigint, bytes bigint, first string, last string"
+_FILES = f"{_MANIFEST}, temporary string"
 
 
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -63,47 +68,56 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return squeeze.compress(b"\r\n".join(head) + b"\r\n\r\n" + body + b"\r\n\r\n") + squeeze.flush()
 
 
-def _shard_key(url: str, page: str):
+def _shard_key(url: str, page: str, digest: str):
     # a zero byte keeps urls that begin alike apart; the number is padded so that text order is number order
-    return F.concat(F.coalesce(F.col(url), F.lit("")), F.lit("\x00"), F.coalesce(F.lpad((F.col(page).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0"), F.lit("")))
+    return F.concat(F.coalesce(F.col(url), F.lit("")), F.lit("\x00"), F.coalesce(F.lpad((F.col(page).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0"), F.lit("")), F.lit("\x00"), F.col(digest))
 
 
-def plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, digest, size and refers_to of every row of ``pages``: the record types, without payloads."""
-    payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select("page_id", F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("size"))
+def plan(rows: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
+    """page_id, digest and refers_to of the rows (page_id, digest, size) that become revisits; repeated ones once."""
     large = rows.where((F.col("size") >= least) & F.col("page_id").isNotNull())
     keep = large.groupBy("digest", "size").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = split_join(rows, keep, ["digest", "size"], "left")
-    return found.select("page_id", "digest", "size", F.when(F.col("page_id") != F.col("response"), F.col("response")).alias("refers_to"))
-
-
-def write(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    found = split_join(large.select("page_id", "digest", "size"), keep, ["digest", "size"]).where("page_id <> response")
+    return found.select("page_id", "digest", F.col("response").alias("refers_to")).distinct()
+
+
+def bounds(light: DataFrame, shard_bytes: int) -> list[str]:
+    """Keys that begin the second and later shards: cuts of the bytes of keys picked by hash into equal parts."""
+    weight = F.col("size") + HEAD_BYTES
+    n, total = light.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    shards = max(1, min(SHARDS, -(-total // shard_bytes)))
+    share = min(1.0, KEYS_A_SHARD * shards / max(1, n))
+    picked = light if share == 1.0 else light.where(F.xxhash64("key") <= int(share * 2**64 - 2**63))
+    got = picked.groupBy("key").agg(F.sum(weight).alias("w")).toArrow()  # about KEYS_A_SHARD keys a shard, each once
+    keys, w = got.column("key").to_pylist(), got.column("w").to_numpy()
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    upto = np.cumsum(w[order])
+    cuts = np.unique(np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards)) if len(keys) else []
+    return [keys[order[i]] for i in cuts if i > 0]
+
+
+def write(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write a record per row of ``pages`` (page_id, url, html) under the folder ``target``; returns the manifest's rows.
 
     Of records with equal payloads of at least 1000 bytes the one with the largest page_id is the response, the others
     revisit it; smaller ones are all responses, as are rows whose page_id is null. A null html is an empty payload, a
     null url a record without target. Rows that repeat a page_id with equal payloads are all responses. An empty table
-    gives an archive of no files. ``target`` must not hold a manifest yet. Other columns are not written.
+    gives an archive of no files. ``target`` must not hold an archive yet. Other columns are not written.
     """
     spark = pages.sparkSession
     fs, root = filesystem(target)
     fs.create_dir(root, recursive=True)
-    if fs.get_file_info(f"{root}/manifest.json").type != pyarrow.fs.FileType.NotFound:
+    if fs.get_file_info(f"{root}/{MANIFEST}").type != pyarrow.fs.FileType.NotFound:
         raise FileExistsError(f"{target} holds an archive")
-    types = saved(plan(pages).where("refers_to is not null").select("page_id", "digest", "refers_to").distinct(), "revisits")
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", "html").withColumn("digest", F.sha1(payload)).withColumn("key", _shard_key("url", "page_id"))
-    keys = pages.select(_shard_key("url", "page_id").alias("key"))
-    total = keys.count()
-    share = min(1.0, BOUND_KEYS / max(1, total))
-    low = keys.where(F.xxhash64("key") <= int(share * 2**64 - 2**63) - (share == 1.0)) if share < 1 else keys
-    shards = -(-total // shard_rows)
-    picked = sorted(r.key for r in low.select("key").collect())  # about BOUND_KEYS keys
-    bounds = [picked[len(picked) * i // shards] for i in range(1, shards)] if picked else []
+    rows = pages.select("page_id", "url", "html").withColumn("digest", F.sha1(payload)).withColumn("key", _shard_key("url", "page_id", "digest"))
+    light = saved(rows.select("key", "page_id", "digest", F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("size")), "digests")
+    types = saved(plan(light), "revisits")
+    sent = spark.sparkContext.broadcast(bounds(light, shard_bytes))
+    shards = len(sent.value) + 1
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = np.array([b.encode() for b in bounds], object)
+        cut = np.array([b.encode() for b in sent.value], object)
         for batch in batches:
             k = np.array([x.encode("utf-8", "surrogatepass") for x in batch.column(batch.schema.get_field_index("key")).to_pylist()], object)
             yield batch.append_column("shard", pa.array(np.searchsorted(cut, k, "right") if len(cut) else np.zeros(len(k), np.int64), pa.int32()))
@@ -113,8 +127,7 @@ def write(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES, shard_row
     if (n := types.count()) <= 500_000:  # 60 bytes a row
         types = F.broadcast(types)
     named = dealt.join(types, ["page_id", "digest"], "left") if n else dealt.withColumn("refers_to", F.lit(None).cast("long"))
-    sort = ["shard", "key", "digest"]
-    ready = named.select("shard", "key", "digest", "page_id", "url", "html", F.col("refers_to").cast("long").alias("refers_to")).repartitionById(max(1, shards), F.col("shard")).sortWithinPartitions(*sort)
+    ready = named.select("shard", "key", "digest", "page_id", "url", "html", F.col("refers_to").cast("long").alias("refers_to")).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, place = filesystem(target)
@@ -141,17 +154,33 @@ def write(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES, shard_row
         if now:
             yield close()
 
-    files = saved(ready.mapInArrow(emit, _MANIFEST), "warc-files")
-    manifest = sorted((r.asDict() for r in files.collect()), key=lambda r: r["file"])  # a row per file
-    for r in manifest:
-        fs.move(r.pop("temporary"), f"{root}/{r['file']}")
-    with fs.open_output_stream(f"{root}/_manifest.tmp", compression=None) as out:
-        out.write(json.dumps(manifest, sort_keys=True).encode())
-    fs.move(f"{root}/_manifest.tmp", f"{root}/manifest.json")
+    files = saved(ready.mapInArrow(emit, _FILES), "warc-files")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = filesystem(target)
+        for batch in batches:
+            for name, temporary in zip(batch.column("file").to_pylist(), batch.column("temporary").to_pylist(), strict=True):
+                final = f"{folder}/{name}"
+                if store.get_file_info(temporary).type != pyarrow.fs.FileType.NotFound:
+                    store.move(temporary, final)
+                elif store.get_file_info(final).type == pyarrow.fs.FileType.NotFound:  # an earlier attempt has moved it
+                    raise FileNotFoundError(temporary)
+            yield batch.select([f for f in batch.schema.names if f != "temporary"])
+
+    files.mapInArrow(place, _MANIFEST).write.json(f"{target.rstrip('/')}/{MANIFEST}")
     for info in fs.get_file_info(pyarrow.fs.FileSelector(root)):  # of attempts that weren't committed
         if info.base_name.startswith("_temporary-"):
             fs.delete_file(info.path)
-    return files.drop("temporary")
+    forget(light, types)
+    return manifest(spark, target)
+
+
+def manifest(spark: SparkSession, target: str) -> DataFrame:
+    """The files of an archive: file, records, bytes, first and last key. An archive that isn't complete is an error."""
+    fs, root = filesystem(target)
+    if fs.get_file_info(f"{root}/{MANIFEST}/_SUCCESS").type == pyarrow.fs.FileType.NotFound:
+        raise FileNotFoundError(f"{target} holds no complete archive")
+    return spark.read.schema(_MANIFEST).json(f"{target.rstrip('/')}/{MANIFEST}")
 
 
 def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -180,9 +209,7 @@ def read(spark, target: str) -> DataFrame:
 
     For a revisit, payload_bytes is that of the payload it stands for, and html is null. Block digests are checked.
     """
-    fs, root = filesystem(target)
-    with fs.open_input_stream(f"{root}/manifest.json") as f:
-        manifest = json.loads(f.read())
+    files = manifest(spark, target).select("file")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, place = filesystem(target)
@@ -204,10 +231,7 @@ def read(spark, target: str) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    if not manifest:
-        return spark.createDataFrame([], _READ)
-    files = spark.createDataFrame([(m["file"],) for m in manifest], "file string")
-    return files.repartition(min(len(manifest), 10_000)).mapInArrow(load, _READ)
+    return files.repartition(max(1, min(files.count(), 10_000))).mapInArrow(load, _READ)
 
 
 def place(spark) -> str:
