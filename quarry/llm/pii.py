@@ -35,7 +35,7 @@ NEAR, DISCLOSURE, SUPPORT = 6, 0.8, 2
 FILTER_BITS = 24
 #: Words whose counts a task holds before it passes them on.
 TASK_TERMS = 1 << 20
-#: Up to so many ids of documents with candidate entities they are broadcast.
+#: Up to so many digests of texts with candidate entities they are broadcast (some 60 bytes each).
 BROADCAST_IDS = 1_000_000
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -128,7 +128,7 @@ def _join(spans) -> str:
 
 
 _TERMS = "array<struct<entity: bigint, term: bigint, start: int, stop: int>>"
-_FOUND = f"doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, base string, entities array<bigint>, terms {_TERMS}"
+_FOUND = f"doc_id bigint, text_md5 string, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, base string, entities array<bigint>, terms {_TERMS}"
 
 
 def _hashes(words: list[str]) -> list[int]:
@@ -136,12 +136,12 @@ def _hashes(words: list[str]) -> list[int]:
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("base", pa.string()), ("entities", pa.list_(pa.int64())), ("terms", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_md5", pa.string()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("base", pa.string()), ("entities", pa.list_(pa.int64())), ("terms", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])))])
     for batch in batches:
         out = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for doc, own, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             spans = base_spans(text)
-            row = {"doc_id": doc} | {f"n_{k}": sum(s[0] == k for s in spans) for k in KINDS}
+            row = {"doc_id": doc, "text_md5": own if spans else None} | {f"n_{k}": sum(s[0] == k for s in spans) for k in KINDS}
             row |= {"base": _join(spans), "base_sha256": hashlib.sha256(_join(spans).encode()).hexdigest(), "entities": [], "terms": []}
             free = _outside(spans)
             for k, a, b in spans:
@@ -186,7 +186,7 @@ def _words(keep) -> object:
     return run
 
 
-_TOGETHER = "doc_id bigint, base_sha256 string, entity bigint, term bigint, spans array<struct<start: int, stop: int>>"
+_TOGETHER = "text_md5 string, entity bigint, term bigint, spans array<struct<start: int, stop: int>>"
 
 
 def _entity(kind: str, value: str) -> int:
@@ -211,12 +211,12 @@ def _pair_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _together(terms, pairs):
     """Of every document the pairs of an entity and a term in it that the bitmaps let pass, with the term's places outside the base spans."""
-    schema = pa.schema([("doc_id", pa.int64()), ("base_sha256", pa.string()), ("entity", pa.int64()), ("term", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
+    schema = pa.schema([("text_md5", pa.string()), ("entity", pa.int64()), ("term", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[dict] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for own_text, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
                 if not spans:
                     continue
@@ -228,11 +228,10 @@ def _together(terms, pairs):
                     own = places.setdefault(int(h[i]), [])
                     if y - x > 2 and not text[x:y].isdigit() and free(x, y):
                         own.append({"start": x, "stop": y})
-                digest = hashlib.sha256(_join(spans).encode()).hexdigest()
                 term = np.array(list(places), np.int64)
                 for entity in sorted({_entity(k, text[a:b]) for k, a, b in spans}) if len(term) else ():
                     for t in term[_set(pairs.value, _pair(np.array([entity], np.int64), term))].tolist():
-                        out.append({"doc_id": doc, "base_sha256": digest, "entity": entity, "term": t, "spans": places[t]})
+                        out.append({"text_md5": own_text, "entity": entity, "term": t, "spans": places[t]})
                     if len(out) >= 10_000:
                         yield pa.RecordBatch.from_pylist(out, schema=schema)
                         out = []
@@ -242,18 +241,20 @@ def _together(terms, pairs):
     return run
 
 
-def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """Spans of personal data of every document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, terms.
+def found_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """Spans of personal data of every document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, text_md5 (null without base spans).
 
     spans lists the base spans and those of revealing terms (kind ``term``; all occurrences in documents that hold what
-    they reveal, at any distance) as kind:start:end; base_sha256 digests the
-    base spans alone. Null and empty texts have none. Repeated rows are rows of the result each and count as documents
-    of their own in the statistics; rows with a null doc_id keep their base spans and get no terms. Columns besides
-    doc_id and text are not looked at. An empty table gives an empty result.
+    they reveal, at any distance) as kind:start:end; base_sha256 digests the base spans alone. Null and empty texts have
+    none. Repeated rows are rows of the result each and count as documents of their own in the statistics. Terms belong
+    to a text, not to a doc_id (they are joined by the text's digest), so rows that repeat a doc_id with other texts, or
+    have none, get the terms of their own text. Columns besides doc_id and text are not looked at. An empty table gives
+    an empty result.
     """
     spark = docs.sparkSession
-    found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find, _FOUND), "pii")
-    row = found.where("size(entities) > 0 and doc_id is not null").select("doc_id", "base_sha256", "entities", "terms")
+    digest = F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")
+    found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text").mapInArrow(_find, _FOUND), "pii")
+    row = found.where("size(entities) > 0").select("text_md5", "entities", "terms")
     near = row.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p")).select("p.entity", "p.term").distinct()
     entity = row.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs")).where(F.col("entity_docs") >= support)
     beside = row.select(F.explode(F.array_distinct("terms.term")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("beside_docs"))
@@ -286,27 +287,33 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     pairs = split_join(both, words, ["term"], "left").withColumn("term_docs", F.greatest(F.coalesce("term_docs", F.lit(0)), "beside_docs"))
     pairs = saved(pairs.where((F.col("term_docs") >= support) & most("term_docs")).select("entity", "term", "entity_docs", "term_docs"), "pairs")
     if pairs.isEmpty():
-        return found.select(*base, F.col("base").alias("spans"))
-    held = row.select("doc_id", F.explode("entities").alias("entity"))
-    ids = saved(split_join(held, pairs.select("entity").distinct(), ["entity"], "left_semi").select("doc_id").distinct(), "holders")
-    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+        return found.select(*base, F.col("base").alias("spans"), "text_md5")
+    held = row.select("text_md5", F.explode("entities").alias("entity"))
+    ids = saved(split_join(held, pairs.select("entity").distinct(), ["entity"], "left_semi").select("text_md5").distinct(), "holders")
+    texts = docs.where("text is not null").select(digest, "text")
+    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "text_md5", "left_semi")
     bits = bitmap(pairs.select("entity", "term").mapInArrow(_pair_bits, "word bigint, bit bigint"))
     seen = saved(texts.mapInArrow(_together(send(of_terms(pairs)), send(bits)), _TOGETHER), "together")
     told = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
     told = split_join(told, pairs, ["entity", "term"]).where(share(F.col("both"), "term_docs") >= disclosure).select("entity", "term")
-    each = split_join(seen, told, ["entity", "term"]).select("doc_id", "base_sha256", F.explode("spans").alias("s"))
-    more = each.groupBy("doc_id", "base_sha256").agg(F.array_sort(F.collect_set("s")).alias("more"))
+    each = split_join(seen, told, ["entity", "term"]).select("text_md5", F.explode("spans").alias("s"))
+    more = each.groupBy("text_md5").agg(F.array_sort(F.collect_set("s")).alias("more"))
     listed = F.transform("more", lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"]))
-    out = split_join(found, more, ["doc_id", "base_sha256"], "left")
-    return out.select(*base, F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), listed).alias("spans"))
+    out = split_join(found.where("text_md5 is not null"), more, ["text_md5"], "left")
+    out = out.select(*base, F.concat_ws(",", F.col("base"), listed).alias("spans"), "text_md5")
+    return out.unionByName(found.where("text_md5 is null").select(*base, F.col("base").alias("spans"), "text_md5"))
+
+
+def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """As :func:`found_spans`, without the digest of the text."""
+    return found_spans(docs, disclosure, support).drop("text_md5")
 
 
-def sanitise(docs: DataFrame, spans: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """doc_id and text of ``docs`` with each base span generalised to <EMAIL>, <IP>, <CARD>, <PHONE> and each term removed (<...>).
 
-    ``spans`` is a result of :func:`find`; of overlapping spans the one that begins first, then the longest, is replaced.
-    Rows without spans stay as they are; a null text stays null.
+    Spans are those of :func:`find`; of overlapping spans the one that begins first, then the longest, is replaced. Rows
+    without spans stay as they are; a null text stays null. Rows that repeat a doc_id are cleaned by their own text each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,6 +330,7 @@ def sanitise(docs: DataFrame, spans: DataFrame) -> DataFrame:
                 out.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["doc_id", "text"])
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    some = spans.where("spans <> ''").groupBy("doc_id").agg(F.min("spans").alias("spans"))
-    return split_join(own, some, ["doc_id"], "left").mapInArrow(run, "doc_id bigint, text string")
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest.alias("text_md5"))
+    some = found_spans(docs, disclosure, support).where("spans <> ''").groupBy("text_md5").agg(F.min("spans").alias("spans"))
+    return split_join(own, some, ["text_md5"], "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id bigint, text string")
