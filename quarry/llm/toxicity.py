@@ -1,11 +1,13 @@
 """Toxicity by a classifier chain (operator 1).
 
-Categories are predicted one after another: each has a linear model over selected words of a text and the
-probabilities of the categories before it. For training, those probabilities are out-of-fold, so that a later model sees
-an earlier one as it will be at prediction. Features are exact 64-bit word hashes chosen on the training rows.
-
-Scale: the chain is fitted on a bounded sample of the labelled rows (``TRAIN_ROWS``, lowest by a hash of doc_id), and
-scoring is one map-side pass over all documents with a model of at most ``MAX_FEATURES`` words.
+Categories are those of the labels table and are predicted one after another: each has a linear model over selected words
+of a text and the probabilities of the categories before it. For training, those probabilities are out-of-fold, so that a
+later model sees an earlier one as it will be at prediction. Features are exact 64-bit word hashes, chosen for each
+category by how far its share among the training rows that hold them lies above chance.
+
+Scale: the chain is fitted on a bounded sample of the labelled rows (``TRAIN_ROWS``, lowest by a hash of doc_id). Their
+texts are read once; feature counts are a Spark aggregate, and the driver gets 48 bytes a row and the selected features
+a row holds (``MAX_FEATURES`` a category at most), whatever the texts' lengths. Scoring is one map-side pass.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import _bytes
-from quarry.llm._shared import buffers
+from quarry.llm._shared import buffers, saved
 
-TRAIN_ROWS, MAX_FEATURES, LEAST_DOCS, LIFT, FOLDS, RIDGE = 10_000, 400, 6, 7.0, 3, 0.2
+TRAIN_ROWS, MAX_FEATURES, LEAST_DOCS, LIFT, FOLDS, RIDGE = 10_000, 200, 6, 7.0, 3, 0.2
 BEGINNINGS = (4, 6, 8)
-#: Words that split the one label of the test tables into categories for the chain's first links.
-SEEDS = {"insult": "idiot moron loser clown stupid fool", "contempt": "trash scum worthless pathetic disgusting garbage"}
+#: Categories in the order of the chain: name, column of the labels table, the value that stands for the category.
+CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -53,10 +55,6 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return every[known], upto[np.searchsorted(starts, at)]
 
 
-def word_hash(word: str) -> int:
-    return int(tokens([word.encode()])[0][0])
-
-
 @dataclass
 class Chain:
     """words: sorted hashes; for each category its weights on words, on earlier probabilities, and its bias."""
@@ -105,41 +103,31 @@ def _fit(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarray, w
     return v[:width], v[width:-1], float(v[-1])
 
 
-def train_chain(h: np.ndarray, ptr: np.ndarray, labels: dict[str, np.ndarray], fold: np.ndarray) -> Chain:
-    """Fit the chain in the order of ``labels`` on texts given by word hashes; ``fold`` deals the texts out."""
-    n = len(ptr) - 1
-    pair = np.unique(np.rec.fromarrays([np.repeat(np.arange(n), np.diff(ptr)), h]))
-    rows, own = pair.f0, pair.f1
-    words, cols, seen = np.unique(own, return_inverse=True, return_counts=True)
-    # words whose count of positive texts lies far above chance, for any category
-    lift = np.zeros(len(words))
-    for y in labels.values():
-        share = y.mean()
-        if 0 < share < 1:
-            lift = np.maximum(lift, (np.bincount(cols, y[rows].astype(np.float64), len(words)) - seen * share) / np.sqrt(seen * share * (1 - share)))
-    keep = np.flatnonzero((seen >= LEAST_DOCS) & (lift >= LIFT))
-    keep = np.sort(keep[np.argsort(-lift[keep], kind="stable")][:MAX_FEATURES])
-    new = np.full(len(words), -1)
-    new[keep] = np.arange(len(keep))
-    cols = new[cols]
-    rows, cols, words = rows[cols >= 0], cols[cols >= 0], words[keep]
-    chain = Chain(list(labels), words, [], [], [])
-    early = np.zeros((n, 0))
+def train_chain(rows: np.ndarray, cols: np.ndarray, words: np.ndarray, labels: dict[str, np.ndarray], fold: np.ndarray) -> Chain:
+    """Fit the chain in the order of ``labels`` (1, 0, or NaN where unknown).
+
+    The texts are given by their distinct pairs (row, column of ``words``); ``fold`` deals them out. A category's model
+    is fitted on the rows with its label, and rows without one carry on the probability that model gives them.
+    """
+    n, chain, early = len(fold), Chain(list(labels), words, [], [], []), np.zeros((len(fold), 0))
+
+    def fitted(own: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        index, use = np.cumsum(own) - 1, own[rows]
+        return _fit(index[rows[use]], cols[use], early[own], y[own], len(words))
+
+    def said(w: np.ndarray, c: np.ndarray, b: float) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(b + np.bincount(rows, w[cols], n) + early @ c, -40, 40)))
+
     for y in labels.values():
-        y = y.astype(np.float64)
-        held = np.zeros(n)
+        known = ~np.isnan(y)
+        whole = fitted(known, y)
+        held = said(*whole)
         for k in range(FOLDS):
-            own, test = fold != k, fold == k
-            index = np.cumsum(own) - 1
-            use = own[rows]
-            if not own.any() or not test.any():
-                held[test] = y.mean() if n else 0
-                continue
-            w, c, b = _fit(index[rows[use]], cols[use], early[own], y[own], len(words))
-            z = b + np.bincount(rows, w[cols], n) + early @ c
-            held[test] = (1 / (1 + np.exp(-np.clip(z, -40, 40))))[test]
-        w, c, b = _fit(rows, cols, early, y, len(words))
-        chain.weights.append(w), chain.carry.append(c), chain.bias.append(b)
+            own, test = known & (fold != k), known & (fold == k)
+            if own.any() and test.any():
+                held[test] = said(*fitted(own, y))[test]
+        for x, v in zip((chain.weights, chain.carry, chain.bias), whole, strict=True):
+            x.append(v)
         early = np.column_stack([early, held])
     return chain
 
@@ -175,44 +163,78 @@ def _one_of_each(near: list[list[int]]) -> list[int]:
     return [i for i in range(len(near)) if root[i] == i]
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, text offsets, label and fold of the labelled documents that the chain learns from.
+def training_rows(docs: DataFrame, labels: DataFrame, chain=CHAIN, rows: int = TRAIN_ROWS) -> DataFrame:
+    """doc_id, text and a 0/1 column for each category (null: unknown) of the documents that the chain learns from; a saved table.
 
-    ``labels`` has doc_id and toxic; null labels teach nothing, the highest of several for a document counts. At most
-    ``rows`` documents, the lowest by a hash of doc_id; of near copies among them the one with the smallest doc_id
-    teaches, or the rare words of a text that was copied often would look like evidence.
+    A document that any of its label rows puts in a category is in it; null labels say nothing. At most ``rows`` labelled
+    documents, the lowest by a hash of doc_id; of rows that repeat a doc_id the least text. Of near copies the one with
+    the smallest doc_id teaches, or the rare words of a text that was copied often would look like evidence.
     """
-    own = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    marks = [F.max((F.col(column) == value).cast("int")).alias(name) for name, column, value in chain]
+    own = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*marks)
+    own = own.where(F.coalesce(*(name for name, _, _ in chain)).isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(F.broadcast(own), "doc_id")
+    texts = saved(texts.groupBy("doc_id", *(name for name, _, _ in chain)).agg(F.min("text").alias("text")), "labelled")
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [_signature(x).view(np.int64) for x in _bytes.shingles(*tokens(batch.column(1).cast(pa.binary()).to_pylist()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(near, pa.list_(pa.int64()))], names=["doc_id", "near"])
+
+    got = texts.select("doc_id", "text").mapInArrow(keys, "doc_id bigint, near array<bigint>").toArrow().sort_by("doc_id")
+    ids = got.column("doc_id").to_numpy()[_one_of_each(got.column("near").to_pylist())]  # at most ``rows``
+    return texts.join(F.broadcast(docs.sparkSession.createDataFrame([(int(i),) for i in ids], "doc_id bigint")), "doc_id", "left_semi")
+
+
+def selected(texts: DataFrame, chain=CHAIN) -> np.ndarray:
+    """Sorted hashes of the features that at least LEAST_DOCS rows hold and whose share of a category lies LIFT deviations above the mean; the best MAX_FEATURES of each category."""
+    names = [name for name, _, _ in chain]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = batch.column(1).cast(pa.binary()).to_pylist()
-            h, ptr = features(part)
-            words = [np.unique(h[a:b]).view(np.int64) for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
-            near = [_signature(x).view(np.int64) for x in _bytes.shingles(*tokens(part))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(words, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.int64()))], names=["doc_id", "toxic", "words", "near"])
-
-    got = texts.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "doc_id bigint, toxic int, words array<bigint>, near array<bigint>").toArrow().sort_by("doc_id")
-    got = got.take(pa.array(_one_of_each(got.column("near").to_pylist()), pa.int64()))
-    words = got.column("words").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int64()))
-    if isinstance(words, pa.ChunkedArray):
-        words = words.chunk(0)
-    ids = got.column("doc_id").to_numpy()
-    ptr = words.offsets.to_numpy().astype(np.int64) if len(words) else np.zeros(1, np.int64)
-    h = words.values.to_numpy()[ptr[0] :].view(np.uint64) if len(words) else np.zeros(0, np.uint64)
-    return h, ptr - ptr[0], got.column("toxic").to_numpy(), (_bytes.mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
-
-
-def seeded_labels(h: np.ndarray, ptr: np.ndarray, toxic: np.ndarray, seeds: dict[str, str] = SEEDS) -> dict[str, np.ndarray]:
-    """Labels of the chain's categories: toxic texts with a seed word of the category, then toxic itself."""
-    out = {}
-    owner = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    for name, words in seeds.items():
-        hit = np.isin(h, np.array([word_hash(w) for w in words.split()], np.uint64))
-        out[name] = (np.bincount(owner[hit], minlength=len(ptr) - 1) > 0) & (toxic == 1)
-    return out | {"toxic": toxic == 1}
+            for some, part in buffers(list(range(batch.num_rows)), batch.column(0).cast(pa.binary()).to_pylist()):
+                h, ptr = features(part)
+                each = [np.unique(h[a:b]) for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
+                at = pa.array(np.repeat(some, [len(x) for x in each]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each).view(np.int64)), *(batch.column(1 + k).take(at) for k in range(len(names)))], names=["feature", *names])
+
+    sums = texts.agg(*(F.avg(x).alias(x) for x in names)).first()
+    every = texts.select("text", *names).mapInArrow(run, ", ".join(["feature bigint", *(f"{x} int" for x in names)]))
+    counts = saved(every.groupBy("feature").agg(*(F.count(x).alias(f"n_{x}") for x in names), *(F.sum(x).alias(f"s_{x}") for x in names)).where(F.greatest(*(F.col(f"n_{x}") for x in names)) >= LEAST_DOCS), "features")
+    out = np.zeros(0, np.int64)
+    for x in names:
+        share = sums[x]
+        if share is not None and 0 < share < 1:
+            lift = (F.col(f"s_{x}") - F.col(f"n_{x}") * share) / F.sqrt(F.col(f"n_{x}") * share * (1 - share))
+            best = counts.where(F.col(f"n_{x}") >= LEAST_DOCS).select("feature", lift.alias("lift")).where(F.col("lift") >= LIFT)
+            out = np.union1d(out, best.orderBy(F.desc("lift"), "feature").limit(MAX_FEATURES).select("feature").toArrow().column(0).to_numpy())
+    return np.sort(out.view(np.uint64))
+
+
+def fit(docs: DataFrame, labels: DataFrame, chain=CHAIN) -> Chain:
+    """The chain fitted on :func:`training_rows`; without a row of the last category nothing is in any."""
+    names = [name for name, _, _ in chain]
+    texts = training_rows(docs, labels, chain)
+    if texts.where(F.col(names[-1]) == 1).isEmpty():
+        k = len(names)
+        return Chain(names, np.zeros(0, np.uint64), [np.zeros(0)] * k, [np.zeros(i) for i in range(k)], [-5.0] * k)
+    words = selected(texts, chain)
+    known = Chain(names, words, [], [], [])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, part in buffers(list(range(batch.num_rows)), batch.column(1).cast(pa.binary()).to_pylist()):
+                row, col = known.columns(*features(part))
+                held = [col[row == i].astype(np.int32) for i in range(len(part))]
+                at = pa.array(some)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *(batch.column(2 + k).take(at) for k in range(len(names))), pa.array(held, pa.list_(pa.int32()))], names=["doc_id", *names, "held"])
+
+    got = texts.select("doc_id", "text", *names).mapInArrow(run, ", ".join(["doc_id bigint", *(f"{x} int" for x in names), "held array<int>"])).toArrow().sort_by("doc_id")
+    held = [np.array(x, np.int64) for x in got.column("held").to_pylist()]
+    rows, cols = np.repeat(np.arange(len(held)), [len(x) for x in held]), np.concatenate(held)
+    marks = {x: np.array([np.nan if v is None else float(v) for v in got.column(x).to_pylist()]) for x in names}
+    ids = got.column("doc_id").to_numpy().astype(np.int64).view(np.uint64)
+    return train_chain(rows, cols, words, marks, (_bytes.mix(ids) % np.uint64(FOLDS)).astype(np.int64))
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
@@ -236,10 +258,6 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
     return found.withColumn(chain.names[-1], F.col(names[-1]) >= threshold)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, chain=CHAIN) -> DataFrame:
     """Train the chain on the labelled documents and score every document; see :func:`score`. No labels: nothing is toxic."""
-    h, ptr, toxic, fold = training_rows(docs, labels)
-    if not len(toxic) or not (toxic == 1).any():
-        none = Chain([*SEEDS, "toxic"], np.zeros(0, np.uint64), [np.zeros(0)] * 3, [np.zeros(k) for k in range(3)], [-5.0] * 3)
-        return score(docs, none, threshold)
-    return score(docs, train_chain(h, ptr, seeded_labels(h, ptr, toxic), fold), threshold)
+    return score(docs, fit(docs, labels, chain), threshold)
