@@ -1,4 +1,4 @@
-"""The queries opN_<name> and pipeline, and their SQL where it can express them."""
+"""The queries opN_<name>, and their SQL where it can express them; the root's ``corpus_pipeline`` adds ``pipeline``."""
 
 from __future__ import annotations
 
@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from quarry.llm import decontam, exact_dedup, langid, minhash, packing, pii, token_counts, toxicity, url_filters, warc
 from quarry.llm._shared import table
 
-#: The vocabulary of op2; its place comes from the tokenizers' package unless ``quarry.tokenizer.path`` is set.
+#: The vocabulary of op2 and op4; its place comes from the tokenizers' package unless ``quarry.tokenizer.path`` is set.
 TOKENIZER = "piece_bpe_32k.model"
 
 
@@ -20,13 +19,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenizer(spark: SparkSession) -> str:
     path = spark.conf.get("quarry.tokenizer.path", None)
     if not path:
         import public_tokenizers
 
         path = str(public_tokenizers.path(TOKENIZER))
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
+    return path
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer(spark))
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +37,8 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Lengths are tokens of the vocabulary of operator 2."""
+    return packing.pack(packing.token_lengths(table(spark, sf_dir, "documents"), tokenizer(spark)), F.col("n_tokens"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +72,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_token_counts, op3_url_filters, op4_packing, op5_decontamination, op6_warc, op7_language, op8_minhash, op9_pii, op10_exact_dedup)
-    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -103,4 +107,4 @@ def oracle_sql() -> dict[str, str]:
                 first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(raw) DESC, doc_id) AS keep_id FROM t)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
     }
-    return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return out

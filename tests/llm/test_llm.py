@@ -40,9 +40,9 @@ def near_model(rows, percent):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize("block", [800, 40])
-def test_minhash_is_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+@pytest.mark.parametrize("cell", [200, 10])
+def test_minhash_is_brute_force(spark, monkeypatch, cell):
+    monkeypatch.setattr(minhash, "CELL_DOCS", cell)
     rng = random.Random(3)
     rows = list(EDGE)
     for i in range(250):
@@ -76,11 +76,37 @@ def test_token_counts_are_the_library(spark):
     rng = random.Random(2)
     texts = ["", " ", "  a", "<s> x </s>", "▁▁x ▁", "日本語 テキスト", "\x00a\n\n\tb", "😀" * 9]
     texts += ["".join(rng.choice("aeinst  .é\nß日0▁") for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    lengths = packing.Lengths(path)
+    assert [lengths.count(t) for t in texts] == [len(sp.encode(t)) for t in texts]
     for t in texts:
         for size in (token_counts.CHUNK, rng.randint(1, 9)):
             assert own.count(t, size) == len(sp.encode(t)), (t, size)
 
 
+def test_token_counts_of_odd_rows(spark, edge):
+    P = pytest.importorskip("public_tokenizers")
+    path = str(P.path("piece_bpe_32k.model"))
+    got = token_counts.token_counts(edge, path, 3000)
+    rows = {r.doc_id: r for r in got.collect()}
+    assert got.count() == edge.count() and got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert [tuple(rows[i][1:]) for i in (900, 901)] == [(0, 0, False)] * 2 and rows[905].n_bytes == 15_000 and rows[905].over_limit
+    assert token_counts.token_counts(edge.where("false"), path).count() == 0
+    n = {r.doc_id: r.n_tokens for r in packing.token_lengths(edge, path).collect()}
+    assert n == {i: r.n_tokens for i, r in rows.items()} and packing.pack(packing.token_lengths(edge, path), F.col("n_tokens")).agg(F.sum("n_tokens")).first()[0] == sum(r.n_tokens for r in got.collect())
+
+
+def test_packing_of_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_ROWS", 7)
+    rows = [(None, "a b c")] * 40 + [(5, "a")] * 3 + [(i, "a b") for i in range(30)]
+    got = packing.pack(spark.createDataFrame(rows, DOC), budget=10).collect()
+    assert len(got) == len(rows) and len({(r.bucket, r.batch, r.slot) for r in got}) == len(rows)
+    assert sorted((r.doc_id is None, r.n_tokens) for r in got) == sorted((d is None, len(t.split())) for d, t in rows)
+    per = defaultdict(set)
+    for r in got:
+        per[r.bucket, r.batch].add(r.slot)
+    assert all(s == set(range(len(s))) and len(s) * b <= 10 for (b, _), s in per.items())
+
+
 def test_packing(spark, edge):
     rng = random.Random(1)
     for _ in range(100):
@@ -109,6 +135,89 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs, bench.where("false")).count() == 0
 
 
+def leak_model(docs, items):
+    """Pairs that hold: the definition in plain Python, one item and one text at a time."""
+    units, stops = set(decontam.UNITS.split()), set(".!?:;\n\r\"|")
+
+    def tokens(text, named_first=False):
+        found = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[0-9A-Za-z]+(?:(?<=[0-9])[.,](?=[0-9])[0-9A-Za-z]+)*", text)]
+        out = []
+        for i, (a, b, w) in enumerate(found):
+            before = text[: a].rstrip("\t\f\v ")
+            initial = (not before and not named_first) or (before != "" and before[-1] in stops)
+            name = w[0].isupper() and len(w) > 1 and sum(c.isupper() for c in w) == 1
+            number = all(c in "0123456789.," for c in w)
+            kind = "#" if number else "@" if name and not initial else "u" if i and out[-1][0] == "#" and w.lower() in units else ""
+            if kind == "@" and out and out[-1][0] == "@" and text[found[i - 1][1] : a].strip("\t\f\v ") == "":
+                out[-1] = ("@", out[-1][1] + (w.lower(),))
+            else:
+                out.append((kind, (w.lower(),)))
+        return out
+
+    def windows(ts):
+        return [(i, tuple(k or w for k, w in ts[i : i + 5])) for i in range(len(ts) - 4) if sum(not k for k, _ in ts[i : i + 5]) >= 2]
+
+    got = set()
+    for d, text in docs:
+        ts = tokens(text)
+        at = defaultdict(list)
+        for i, w in windows(ts):
+            at[w].append(i)
+        for item, said in items:
+            own, forms = tokens(said), defaultdict(set)
+            for i, w in windows(own):
+                forms[i].add((w, i, 0))
+            other = tokens(said, True)
+            for i, w in windows(other)[:1] if other and other[0][0] == "@" and own[0][0] == "" else ():
+                if i == 0:
+                    forms[0].add((w, 0, 1))
+            hit = {i for i, ws in forms.items() if any(w in at for w, _, _ in ws)}
+            if not forms or len(hit) / len(forms) < decontam.COVERAGE:
+                continue
+            fill = defaultdict(lambda: defaultdict(lambda: defaultdict(int)))
+            for i in hit:
+                for w, _, version in forms[i]:
+                    for p in at.get(w, ()):
+                        src = (other if version else own)[i : i + 5]
+                        for (k, x), (_, y) in zip(src, ts[p : p + 5], strict=True):
+                            if k:
+                                fill[p - i][x][y] += 1
+            best = max(((sum(sum(y.values()) for y in f.values()), sum(max(y.values()) for y in f.values())) for f in fill.values()), default=(1, 1))
+            if best[1] / best[0] >= decontam.AGREEMENT:
+                got.add((d, item))
+    return got
+
+
+def test_decontamination_is_the_definition(spark):
+    rng = random.Random(8)
+    words, names = "a train leaves and travels before it meets the one who walks home from there at night".split(), ["Boston", "Denver", "New York", "Alice", "Mary Ann", "Salt Lake City"]
+
+    def sentence():
+        out = [rng.choice(words) if rng.random() < 0.7 else rng.choice([rng.choice(names), f"{rng.randint(2, 900)} {rng.choice(['km', 'miles', 'apples'])}"]) for _ in range(rng.randint(14, 22))]
+        return out
+
+    items, docs = [], []
+    for i in range(25):
+        out = sentence()
+        items.append((i, " ".join([rng.choice([out[0].capitalize(), out[0]]), *out[1:]])))
+        for j in range(3):
+            other = [rng.choice(names) if w in names and rng.random() < 0.6 else w for w in out]
+            if rng.random() < 0.4:
+                other[rng.randrange(len(other))] = "elsewhere"
+            docs.append((100 * i + j, " ".join(["so", "they", "said", *other, "."])))
+    docs += [(9000 + i, " ".join(sentence())) for i in range(40)]
+    want = leak_model(docs, items)
+    got = decontam.contaminated(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and 20 < len(want) < 75
+
+
+def test_decontamination_of_names_of_more_words(spark):
+    item = "A train leaves Boston at 40 km per hour and travels 120 km before it meets Alice who walks 41 m"
+    other = "x. A train leaves New York at 55 miles per hour and travels 300 miles before it meets Mary Ann who walks 7 feet. ok"
+    got = decontam.contaminated(spark.createDataFrame([(1, other), (2, "")], DOC), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.coverage) for r in got] == [(1, 1.0)]
+
+
 def test_decontamination_of_short_items(spark):
     items = [(1, "Which river flows through Paris"), (2, "Mount Everest"), (3, "12 km 7 13 99 15 Alice 4 8 16 23 42"), (4, "Name the largest lake in all of Peru"), (5, "...")]
     docs = [(10, "they asked Which river flows through Paris and left"), (11, "he saw Mount Everest once"), (12, "so 12 km 7 13 99 15 Alice 4 8 16 23 42 it was"), (13, "then Name the largest lake in all of Chile again"), (14, "which river is near Mount Etna"), (15, "12 km 7 13 99 15 Alice 4 8 16 23 43"), (16, "...")]
@@ -233,24 +342,34 @@ def test_pii_terms(spark, edge):
     docs = spark.createDataFrame([(i, "meet zorblax near bob@mail.test") for i in range(2)] + [(5 + i, "meet near the lake") for i in range(20)], DOC)
     spans = pii.find(docs)
     assert "term:5:12" in {r.doc_id: r.spans for r in spans.collect()}[0] and pii.find(edge).count() == edge.count()
-    assert {r.doc_id: r.text for r in pii.sanitise(docs, spans).collect()}[0].startswith("meet <...> near <EMAIL>")
+    assert {r.doc_id: r.text for r in pii.sanitise(docs).collect()}[0].startswith("meet <...> near <EMAIL>")
 
 
 def test_pii_terms_anywhere_in_the_document(spark):
     far = " and then a long walk by the lake on that day came to its end "
     rows = [(0, f"zorblax wrote from bob@mail.test{far}so zorblax left"), (1, f"bob@mail.test{far}until zorblax came")]
     docs = spark.createDataFrame(rows + [(5 + i, f"meet at noon{far}number {i}") for i in range(20)], DOC)
-    spans = pii.find(docs)
-    got = {r.doc_id: r.text for r in pii.sanitise(docs, spans).collect()}
+    got = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert "zorblax" not in got[0] + got[1] and got[0].count("<...>") >= 2 and got[5].startswith("meet at noon")
 
 
+def test_pii_terms_belong_to_the_text(spark):
+    """Rows that repeat a doc_id, or have none, get the terms of their own text."""
+    rows = [(1, "meet zorblax near bob@mail.test"), (1, "meet harbour near amy@mail.test"), (2, "meet zorblax near bob@mail.test"), (None, "meet zorblax near bob@mail.test now")]
+    docs = spark.createDataFrame(rows + [(5 + i, "meet near the lake or the harbour") for i in range(30)], DOC)
+    found = pii.find(docs).collect()
+    assert sorted(r.spans for r in found if r.doc_id == 1) == ["email:18:31", "email:18:31,term:5:12"]
+    assert [r.spans for r in found if r.doc_id is None] == ["email:18:31,term:5:12"]
+    clean = sorted(r.text for r in pii.sanitise(docs).where("doc_id = 1 or doc_id is null").collect())
+    assert clean == ["meet <...> near <EMAIL>", "meet <...> near <EMAIL> now", "meet harbour near <EMAIL>"]
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "é" * 700
     rows = [(i, f"http://a.test/{i % 7}", big if i % 3 == 0 else f"<p>{i}</p>\r\n\r\n") for i in range(60)] + [(100, None, None), (101, "http://b.test/ü x", ""), (None, "http://c.test", big)]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, shard int")
     target = f"file://{tmp_path}/w"
-    files = warc.write(pages, target, roll_bytes=2000, shard_rows=20).collect()
+    files = warc.write(pages, target, roll_bytes=2000, shard_bytes=20_000).collect()
     assert len(files) > 3 and len(list((tmp_path / "w").glob("*.warc.gz"))) == len(files) and not list((tmp_path / "w").glob("_temp*"))
     got = {r.page_id: r for r in warc.read(spark, target).collect()}
     assert len(got) == len(rows)
@@ -262,10 +381,31 @@ def test_warc_round_trip(spark, tmp_path):
         assert (r.record_type, r.refers_to) == (("revisit", 57) if revisit else ("response", None))
         assert revisit or r.html == (html or "")
     first = {f.name: f.read_bytes() for f in (tmp_path / "w").glob("*.gz")}
-    warc.write(pages.repartition(5), f"file://{tmp_path}/again", roll_bytes=2000, shard_rows=20)
+    warc.write(pages.repartition(5), f"file://{tmp_path}/again", roll_bytes=2000, shard_bytes=20_000)
     assert first == {f.name: f.read_bytes() for f in (tmp_path / "again").glob("*.gz")}
     with pytest.raises(FileExistsError):
         warc.write(pages, target)
+    with pytest.raises(FileNotFoundError):
+        warc.read(spark, f"file://{tmp_path}/none")
+
+
+def test_warc_of_nothing_repeats_and_long_payloads(spark, tmp_path):
+    schema = "page_id long, url string, html string, shard int"
+    empty = f"file://{tmp_path}/empty"
+    assert warc.write(spark.createDataFrame([], schema), empty).count() == warc.read(spark, empty).count() == 0
+    long = "<p>wörd</p>" * 400_000
+    rows = [(1, "http://a.test", long, 0), (2, None, long, 0), (3, None, "x", 0), (3, None, "x", 0), (3, None, "y" * 2000, 0), (3, None, "y" * 2000, 0), (None, None, None, 0), (None, None, None, 0)]
+    target = f"file://{tmp_path}/w"
+    warc.write(spark.createDataFrame(rows, schema), target)
+    got = warc.read(spark, target).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in got) == [(0, "response", None, 0)] * 2 + [(1, "revisit", 2, 4_800_000), (2, "response", None, 4_800_000)] + [(3, "response", None, 1)] * 2 + [(3, "response", None, 2000)] * 2
+
+
+def test_warc_shards_hold_equal_bytes(spark):
+    rows = [(f"k{i:05d}", 10_000 if i % 100 == 0 else 100) for i in range(5000)] + [("k00100", 100)] * 500
+    cuts = warc.bounds(spark.createDataFrame(rows, "key string, size long"), 200_000)
+    share = [sum(n + warc.HEAD_BYTES for k, n in rows if lo <= k < hi) for lo, hi in zip(["", *cuts], [*cuts, "z"], strict=True)]
+    assert len(cuts) >= 10 and max(share) < 2.5 * sum(share) / len(share)
 
 
 def rule_model(url):
@@ -312,6 +452,82 @@ def test_toxicity_held_out(spark, edge):
     assert not any(r.toxic for r in toxicity.toxicity(edge, labels.where("false")).collect())
 
 
+def plain_features(text):
+    """Words and their beginnings, lower-cased, as strings."""
+    out = set()
+    for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
+        w = bytes(c + 32 if 65 <= c <= 90 else c for c in w)
+        out |= {("w", w)} | {("b", w[:n]) for n in toxicity.BEGINNINGS if len(w) > n}
+    return out
+
+
+def test_toxicity_is_the_definition(spark):
+    """Features, out-of-fold carry and probabilities by a plain dense Newton fit on string features."""
+    import numpy as np
+
+    from quarry.llm import _bytes
+
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(500):
+        bad, poor = i % 6 == 0, i % 4 == 0
+        w = [f"w{rng.randrange(4000)}x" for _ in range(30)] + ["gruntword"] * (bad and rng.random() < 0.8) + ["menu", "cookie"] * (poor and rng.random() < 0.7)
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, None if i % 37 == 0 else int(not poor), None if i % 41 == 0 else int(bad)))
+    docs, marks = spark.createDataFrame(rows, DOC), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    y = {"low_quality": np.array([np.nan if q is None else 1.0 - q for _, q, _ in labels]), "toxic": np.array([np.nan if t is None else float(t) for _, _, t in labels])}
+    every = [plain_features(t) for _, t in rows]
+    names = set()
+    for v in y.values():
+        known, share = ~np.isnan(v), np.nanmean(v)
+        n, hits = defaultdict(int), defaultdict(float)
+        for fs, k, value in zip(every, known, v, strict=True):
+            for f in fs if k else ():
+                n[f] += 1
+                hits[f] += value
+        names |= {f for f in n if n[f] >= toxicity.LEAST_DOCS and (hits[f] - n[f] * share) / math.sqrt(n[f] * share * (1 - share)) >= toxicity.LIFT}
+    names = sorted(names)
+    x = np.array([[f in fs for f in names] for fs in every], float)
+    fold = (_bytes.mix(np.arange(500, dtype=np.uint64)) % np.uint64(toxicity.FOLDS)).astype(int)
+
+    def newton(a, b):
+        a = np.column_stack([a, np.ones(len(a))])
+        ridge = np.diag([toxicity.RIDGE] * (a.shape[1] - 1) + [1e-3])
+        v = np.zeros(a.shape[1])
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-a @ v))
+            v += 0.5 * np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + ridge, a.T @ (b - p) - ridge @ v)
+        return lambda z: 1 / (1 + np.exp(-np.column_stack([z, np.ones(len(z))]) @ v))
+
+    seen = predicted = x
+    want = {}
+    for name, v in y.items():
+        known = ~np.isnan(v)
+        whole = newton(seen[known], v[known])
+        want[name] = whole(predicted)
+        held = whole(seen)
+        for k in range(toxicity.FOLDS):
+            own, test = known & (fold != k), known & (fold == k)
+            held[test] = newton(seen[own], v[own])(seen[test])
+        seen, predicted = np.column_stack([seen, held]), np.column_stack([predicted, want[name]])
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, marks).collect()}
+    assert len(names) >= 4 and all(abs(got[i].p_low_quality - want["low_quality"][i]) < 1e-4 and abs(got[i].p_toxic - want["toxic"][i]) < 1e-4 for i in range(500))
+
+
+def test_toxicity_of_odd_rows(spark, edge):
+    """A fitted chain scores nulls, repeats and long texts; a doc_id that repeats with labels teaches once."""
+    rows = [(i, "idiot " + " ".join(f"q{i * 40 + j}" for j in range(30)) if i % 3 == 0 else " ".join(f"r{i * 40 + j}" for j in range(30))) for i in range(120)] + [(0, "zzz")] * 50
+    docs = spark.createDataFrame([(*r, 1, "k") for r in rows], DOC + ", h int, slice string").unionByName(edge)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 1, None) for i in range(120)] + [(None, 1, 1, None), (900, 1, None, None)], "doc_id long, toxic int, quality int, text string")
+    got = toxicity.toxicity(docs, labels)
+    seen = got.collect()
+    assert len(seen) == docs.count() and got.columns == ["doc_id", "p_low_quality", "p_toxic", "toxic"]
+    assert {r.toxic for r in seen if r.doc_id is not None and 0 < r.doc_id < 120 and r.doc_id % 3 == 0} == {True} and not any(r.toxic for r in seen if r.doc_id is None or r.doc_id >= 900)
+    assert toxicity.training_rows(docs, labels).count() == 120
+    assert toxicity.toxicity(docs.where("false"), labels).count() == 0
+
+
 def test_edge_rows_survive(spark, edge):
     assert minhash.near_duplicates(edge).count() == exact_dedup.exact_duplicates(edge).count() == edge.count()
     none = edge.where("false")
