@@ -3,54 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quarry.llm import decontam, exact_dedup, langid, minhash, packing
-from quarry.llm._shared import bounded_batches, saved, table
+from quarry.llm import stages
+from quarry.llm._shared import saved, table
 
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no known language (rejected, or without a letter)."""
-    bounded_batches(spark)
-    return langid.keep_identified(docs, langid.train(docs.where(~langid.held_out())))
-
-
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of equal texts."""
-    gone = saved(exact_dedup.exact_duplicates(docs).where("not kept").select("doc_id"), "copies")
-    return without(docs, gone)
-
-
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates (80 % of five-word shingles or more)."""
-    return minhash.deduplicate(docs)
-
-
-def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-
-
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deals the sequences of the documents out to batches."""
-    return packing.pack(docs)
-
-
-def without(docs: DataFrame, gone: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """Rows of ``docs`` whose doc_id isn't in ``gone``, a table that was written; broadcast up to ``limit`` ids."""
-    return docs.join(F.broadcast(gone) if gone.count() <= limit else gone, "doc_id", "left_anti")
-
-
-STAGES = [("language ID", language), ("exact dedup", exact), ("MinHash near-dedup", near), ("benchmark decontamination", leaks), ("packing", packed)]
+STAGES = [
+    ("language ID", stages.language),
+    ("exact dedup", stages.exact),
+    ("MinHash near-dedup", stages.near),
+    ("benchmark decontamination", stages.leaks),
+    ("packing", stages.packed),
+]
 
 #: Language models, signatures and the dynamic program have no SQL form; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequences of ``packing.pack`` for all documents that the first four stages keep.
+
+    Null and empty texts don't pass the first stage; rows without doc_id pass all of them, and of repeated rows the
+    copies go by the rules of the stages. An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if stage is not STAGES[-1][1]:
-            docs = saved(docs, f"stage-{name.replace(' ', '-')}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)
