@@ -49,17 +49,22 @@ class Lengths(dict):
         self.encode = sentencepiece.SentencePieceProcessor(model_file=path).encode
         self.space = len(self.encode("a ")) - len(self.encode("a"))
 
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        words = _WORDS.split(text) if "  " in text or text[0] == " " or _SPACE in text else text.split(" ")
-        if new := [w for w in set(words) if w not in self]:
-            if len(self) > MEMO:
-                self.clear()
-                new = list(set(words))
-            self.update(zip(new, map(len, self.encode(new, num_threads=1)), strict=True))
-            self[""] = self.space
-        return sum(map(self.__getitem__, words))
+    def counts(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text; the library is asked once for all words that are new."""
+        parts = [self._words(t) if t else () for t in texts]
+        new = set().union(*parts).difference(self)
+        if len(self) + len(new) > MEMO:
+            self.clear()
+            new = set().union(*parts)
+        words = list(new)
+        self.update(zip(words, map(len, self.encode(words, num_threads=1)), strict=True))
+        self[""] = self.space
+        get = self.__getitem__
+        return [sum(map(get, p)) for p in parts]
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        return _WORDS.split(text) if "  " in text or text[0] == " " or _SPACE in text else text.split(" ")
 
 
 @lru_cache(1)
@@ -74,7 +79,7 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _lengths(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(own.count, batch.column(1).to_pylist()), pa.int64())], names=["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.counts(batch.column(1).to_pylist()), pa.int64())], names=["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n_tokens bigint")
 

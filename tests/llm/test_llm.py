@@ -77,7 +77,7 @@ def test_token_counts_are_the_library(spark):
     texts = ["", " ", "  a", "<s> x </s>", "▁▁x ▁", "日本語 テキスト", "\x00a\n\n\tb", "😀" * 9]
     texts += ["".join(rng.choice("aeinst  .é\nß日0▁") for _ in range(rng.randint(1, 60))) for _ in range(400)]
     lengths = packing.Lengths(path)
-    assert [lengths.count(t) for t in texts] == [len(sp.encode(t)) for t in texts]
+    assert lengths.counts(texts) == [len(sp.encode(t)) for t in texts] and lengths.counts([None, "a b", ""]) == [0, len(sp.encode("a b")), 0]
     for t in texts:
         for size in (token_counts.CHUNK, rng.randint(1, 9)):
             assert own.count(t, size) == len(sp.encode(t)), (t, size)
