@@ -7,59 +7,193 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quarry.plans.keyword import balanced
+
 # Fixed values that results depend on.
 NO_SKIP = ("caption", "figure", "table", "authorcontribution", "authoraffiliation", "keyword", "disclaimer", "fig", "deleted", "http", "et al", "equation", "â¢", "geofluids", "scientificreports|plosone", "acsomega", "www.intechopen.com", "www.frontiersin.org", "dovepress", "advancesinmeteorology", "frontiersin", "author", "authorsummary", "publicintereststatement", "backclose", "viewarticleonline", "asshownin", "scheme", "box", "reviewer", "continuedfromprevpage", "informedconsentstatement", "references")
 SKIP_REMAINING = ("acknowledgment", "acknowledgement", "workscited", "bibliography", "dataavailability", "codeavailability", "funding", "pre-publicationhistory", "ethicstatement", "ethicsstatement", "grantinformation", "competinginterests", "conflictsofinterest", "supplementarymaterial", "disclosurestatement", "abbreviation", "appendix", "howtoreference", "cited", "contributionstatement", "modelavailability", "codeavailability", "supportinginformation", "declarationofinterest", "citationinformation", "orcid", "notesoncontributors", "forpeerreview", "appendice", "nomenclature", "glossary", "openaccess")
-#: Canonical header -> variants.
+#: Variant of a header -> its canonical form.
 SYNONYMS = {
-    "abstract": "resumo|resumen",
-    "introduction": "introduccion",
-    "results": "result",
-    "discussion": "discussions",
-    "conclusion": "conclusions|concluding remarks|concluding remark|final remarks|final remark|final considerations|final consideration",
-    "results and discussion": "results and discussions|result and discussion|result and discussions|results & discussion|result & discussion|results and analysis|result and analysis",
-    "discussion and conclusions": "discussion and conclusion|conclusions and discussion|conclusion and discussion|discussions and conclusions|discussions and conclusion",
-    "materials and methods": "materials & methods|material & methods|materials & method|material & method|material and methods|materials and method|material and method|methods and materials|methods and material|method and materials|method and material|materials and methodology|material and methodology|methods & materials|materials and methods section|materials and reagents|materials and chemicals|reagents and materials|chemicals and materials",
-    "methods": "method|experimental methods|experimental|experimental section|experimental procedures|experimental procedure",
-    "methodology": "methodology|methodologies|research methodology|research method|research methods|research design|research design and methods",
-    "statistical analysis": "statistical analyses|statistical methods|statistical method|statistical data analysis|statistical data analyses|statistics|statistical|analysis of variance",
-    "data analysis": "data analyses",
-    "data and methods": "data and method|data and methodology|data and methodologies|data & methods",
-    "data collection": "data collection and analysis|data collection and processing|data collection methods",
-    "study area": "study areas|study site|study sites|study region|study regions|study location|the study area|site|site description|site descriptions|site characteristics|study site description|description of the study area|description of study area|description of the study site|overview of the study area|study area description|study area and data|study area and datasets|study area and dataset|study area and sampling|study area and data collection|study area and materials|study area and data sources|area of study",
-    "related work": "related works",
-    "literature review": "literature search|literature survey|review of literature",
-    "summary": "summary and conclusions|summary and conclusion|summary and discussion|summary and outlook",
-    "plant material": "plant materials|plant material and growth conditions|plant materials and growth conditions|plant material and experimental design|plant materials and experimental design|plant materials and treatments|plant material and treatments|plant materials and stress treatments|plant materials and growing conditions|plant material and growing conditions|plant growth conditions",
-    "experimental design": "experimental designs|design of experiments|experiment design|experimental design and treatments|experimental design and statistical analysis|treatments and experimental design",
-    "experimental setup": "experimental set-up",
-    "sensitivity analysis": "sensitivity analyses",
-    "model": "model description|model development|model setup|model structure|model overview",
-    "model validation": "model calibration|model calibration and validation|calibration and validation",
-    "sampling": "sampling design|sampling procedure|sampling procedures|sampling methods|sampling method|sampling strategy",
-    "study design": "study design and setting|study design and participants|study design and population",
-    "participants": "subjects|patients|animals|study population|study subjects",
-    "limitations": "limitation|limitations of the study|limitations of this study|study limitations|limitation of the study|strengths and limitations",
-    "case study": "case studies",
-    "objectives": "objective|objectives of the study|research objectives",
-    "implications": "policy implications|practical implications",
-    "recommendations": "conclusions and recommendations|conclusion and recommendations|conclusions and recommendation|conclusion and recommendation",
-    "characterization": "characterizations",
-    "chemicals": "chemicals and reagents|reagents",
-    "treatment": "treatments",
-    "procedure": "procedures",
-    "measurements": "measures",
-    "experiment": "experiments",
-    "dataset": "datasets",
-    "sample": "samples",
+    "resumo": "abstract",
+    "resumen": "abstract",
+    "introduccion": "introduction",
+    "result": "results",
+    "discussions": "discussion",
+    "conclusions": "conclusion",
+    "concluding remarks": "conclusion",
+    "concluding remark": "conclusion",
+    "final remarks": "conclusion",
+    "final remark": "conclusion",
+    "final considerations": "conclusion",
+    "final consideration": "conclusion",
+    "results and discussions": "results and discussion",
+    "result and discussion": "results and discussion",
+    "result and discussions": "results and discussion",
+    "results & discussion": "results and discussion",
+    "result & discussion": "results and discussion",
+    "results and analysis": "results and discussion",
+    "result and analysis": "results and discussion",
+    "discussion and conclusion": "discussion and conclusions",
+    "conclusions and discussion": "discussion and conclusions",
+    "conclusion and discussion": "discussion and conclusions",
+    "discussions and conclusions": "discussion and conclusions",
+    "discussions and conclusion": "discussion and conclusions",
+    "materials & methods": "materials and methods",
+    "material & methods": "materials and methods",
+    "materials & method": "materials and methods",
+    "material & method": "materials and methods",
+    "material and methods": "materials and methods",
+    "materials and method": "materials and methods",
+    "material and method": "materials and methods",
+    "methods and materials": "materials and methods",
+    "methods and material": "materials and methods",
+    "method and materials": "materials and methods",
+    "method and material": "materials and methods",
+    "materials and methodology": "materials and methods",
+    "material and methodology": "materials and methods",
+    "methods & materials": "materials and methods",
+    "materials and methods section": "materials and methods",
+    "materials and reagents": "materials and methods",
+    "materials and chemicals": "materials and methods",
+    "reagents and materials": "materials and methods",
+    "chemicals and materials": "materials and methods",
+    "method": "methods",
+    "experimental methods": "methods",
+    "experimental": "methods",
+    "experimental section": "methods",
+    "experimental procedures": "methods",
+    "experimental procedure": "methods",
+    "methodology": "methodology",
+    "methodologies": "methodology",
+    "research methodology": "methodology",
+    "research method": "methodology",
+    "research methods": "methodology",
+    "research design": "methodology",
+    "research design and methods": "methodology",
+    "statistical analyses": "statistical analysis",
+    "statistical methods": "statistical analysis",
+    "statistical method": "statistical analysis",
+    "statistical data analysis": "statistical analysis",
+    "statistical data analyses": "statistical analysis",
+    "statistics": "statistical analysis",
+    "statistical": "statistical analysis",
+    "analysis of variance": "statistical analysis",
+    "data analyses": "data analysis",
+    "data and method": "data and methods",
+    "data and methodology": "data and methods",
+    "data and methodologies": "data and methods",
+    "data & methods": "data and methods",
+    "data collection and analysis": "data collection",
+    "data collection and processing": "data collection",
+    "data collection methods": "data collection",
+    "study areas": "study area",
+    "study site": "study area",
+    "study sites": "study area",
+    "study region": "study area",
+    "study regions": "study area",
+    "study location": "study area",
+    "the study area": "study area",
+    "site": "study area",
+    "site description": "study area",
+    "site descriptions": "study area",
+    "site characteristics": "study area",
+    "study site description": "study area",
+    "description of the study area": "study area",
+    "description of study area": "study area",
+    "description of the study site": "study area",
+    "overview of the study area": "study area",
+    "study area description": "study area",
+    "study area and data": "study area",
+    "study area and datasets": "study area",
+    "study area and dataset": "study area",
+    "study area and sampling": "study area",
+    "study area and data collection": "study area",
+    "study area and materials": "study area",
+    "study area and data sources": "study area",
+    "area of study": "study area",
+    "related works": "related work",
+    "literature search": "literature review",
+    "literature survey": "literature review",
+    "review of literature": "literature review",
+    "summary and conclusions": "summary",
+    "summary and conclusion": "summary",
+    "summary and discussion": "summary",
+    "summary and outlook": "summary",
+    "plant materials": "plant material",
+    "plant material and growth conditions": "plant material",
+    "plant materials and growth conditions": "plant material",
+    "plant material and experimental design": "plant material",
+    "plant materials and experimental design": "plant material",
+    "plant materials and treatments": "plant material",
+    "plant material and treatments": "plant material",
+    "plant materials and stress treatments": "plant material",
+    "plant materials and growing conditions": "plant material",
+    "plant material and growing conditions": "plant material",
+    "plant growth conditions": "plant material",
+    "experimental designs": "experimental design",
+    "design of experiments": "experimental design",
+    "experiment design": "experimental design",
+    "experimental design and treatments": "experimental design",
+    "experimental design and statistical analysis": "experimental design",
+    "treatments and experimental design": "experimental design",
+    "experimental set-up": "experimental setup",
+    "sensitivity analyses": "sensitivity analysis",
+    "model description": "model",
+    "model development": "model",
+    "model setup": "model",
+    "model structure": "model",
+    "model overview": "model",
+    "model calibration": "model validation",
+    "model calibration and validation": "model validation",
+    "calibration and validation": "model validation",
+    "sampling design": "sampling",
+    "sampling procedure": "sampling",
+    "sampling procedures": "sampling",
+    "sampling methods": "sampling",
+    "sampling method": "sampling",
+    "sampling strategy": "sampling",
+    "study design and setting": "study design",
+    "study design and participants": "study design",
+    "study design and population": "study design",
+    "subjects": "participants",
+    "patients": "participants",
+    "animals": "participants",
+    "study population": "participants",
+    "study subjects": "participants",
+    "limitation": "limitations",
+    "limitations of the study": "limitations",
+    "limitations of this study": "limitations",
+    "study limitations": "limitations",
+    "limitation of the study": "limitations",
+    "strengths and limitations": "limitations",
+    "case studies": "case study",
+    "objective": "objectives",
+    "objectives of the study": "objectives",
+    "research objectives": "objectives",
+    "policy implications": "implications",
+    "practical implications": "implications",
+    "conclusions and recommendations": "recommendations",
+    "conclusion and recommendations": "recommendations",
+    "conclusions and recommendation": "recommendations",
+    "conclusion and recommendation": "recommendations",
+    "characterizations": "characterization",
+    "chemicals and reagents": "chemicals",
+    "reagents": "chemicals",
+    "treatments": "treatment",
+    "procedures": "procedure",
+    "measures": "measurements",
+    "experiments": "experiment",
+    "datasets": "dataset",
+    "samples": "sample",
 }
 STOPWORDS = frozenset("and or of the in for to a an with by".split())
 JOURNAL_TERMS = ("journal of", "trans.", "intl.", "conf.", "univ.", "press", "adv.", "sci.", "lett.", "rev.", "res.", "phys.", "chem.", "biol.", "geophys.", "ann.", "bull.", "j.", "am.", "soc.", "ieee", "acm", "nature", "science", "cell", "publishing", "publisher", "editors", "ed.", "eds.", "ltd", "inc", "literature cited", "ph.d. thesis", "doctoral thesis", "springer")
 PROSE_MARKERS = ("however", "therefore", "although", "furthermore", "in conclusion", "we found", "results show", "discussion", "abstract", "introduction", "as shown in", "the figure", "the table", "section")
+# Enumeration markers before a header.
 ROMAN, LETTER, DIGIT = r"^\s*(?:\([IVXLCDMivxlcdm]+\)|\[[IVXLCDMivxlcdm]+\]|[IVXLCDMivxlcdm]+\s*[.\-:)])\s*(?=[A-Za-z])", r"^\s*[A-Za-z]\s*[.\-:)\]]\s*(?=[A-Za-z])", r"^\s*(?:\(\d+(?:\.\d+)*\)|\[\d+(?:\.\d+)*\]|\d+(?:\.\d+)*)\s*[.\-:)]?\s*(?=[A-Za-z])"
 MARKER = r"^\s*[(\[]?\s*(\d+(?:\.\d+)*|[IVXLCDMivxlcdm]+)\s*[.\-:)\]]*\s*([A-Za-z].*)$"
 SUBSTANTIVE_CHARS, SUBSTANTIVE_LETTERS, MOST_SPECIAL = 40, 20, 0.3
@@ -67,7 +201,16 @@ SUBSTANTIVE_CHARS, SUBSTANTIVE_LETTERS, MOST_SPECIAL = 40, 20, 0.3
 FREQUENT = {"en": ("the", "and", "of", "to", "in", "that", "is", "was", "for"), "fr": ("le", "la", "les", "de", "des", "et", "un", "que", "pas"), "de": ("der", "die", "und", "in", "das", "ist", "von", "mit", "ein"), "es": ("el", "la", "de", "que", "los", "en", "y", "una", "las")}
 
 _PY_SPACE = r"[\s\x1c-\x1f\x85   -     　]+"
-_BY_VARIANT = {v: k for k, vs in SYNONYMS.items() for v in vs.split("|")}
+
+
+def contains_any(text: Column, terms) -> Column:
+    """Whether a text holds any of the terms: a balanced OR of literal searches, which code generation sees."""
+    return balanced([F.contains(text, F.lit(t)) for t in terms], lambda a, b: a | b)
+
+
+def evaluated_once(value: Column) -> Column:
+    """``value``, in a form that the optimizer copies neither into other columns nor into filters below: for costly ones that are read several times."""
+    return F.when(F.rand(0) * 0.0 == 0.0, value)  # always true, but not deterministic in the eyes of the optimizer
 
 
 def normalize_ws(text: Column) -> Column:
@@ -110,16 +253,16 @@ def strip_enumeration(header: Column) -> Column:
     return out
 
 
-def keep_marker(header: Column) -> Column:
-    """``marker. rest`` when something readable follows the marker, else what is left of it."""
-    bare = strip_enumeration(header)
+def keep_marker(header: Column, bare: Column | None = None) -> Column:
+    """``marker. rest`` when something readable follows the marker, else what is left of it (``bare``: without the marker)."""
+    bare = strip_enumeration(header) if bare is None else bare
     tidy = F.when(header.rlike(MARKER), F.concat(F.regexp_extract(header, MARKER, 1), F.lit(". "), F.regexp_extract(header, MARKER, 2))).otherwise(header)
     return F.when(bare == header, header).when(bare.rlike("[A-Za-z]{2,}"), tidy).otherwise(bare)
 
 
 def apply_synonyms(header: Column) -> Column:
     """Canonical form of a normalised header, looked up as it is, then without its marker; else unchanged."""
-    known = F.create_map(*(F.lit(x) for kv in _BY_VARIANT.items() for x in kv))
+    known = F.create_map(*(F.lit(x) for kv in SYNONYMS.items() for x in kv))
     return F.coalesce(F.try_element_at(known, header), F.try_element_at(known, F.trim(strip_enumeration(header))), header)
 
 
@@ -133,7 +276,7 @@ def header_noise(header: Column) -> Column:
     """A header whose section is dropped: structural noise, a label of a table or figure, an invalid string, or a short one with a term of NO_SKIP."""
     h = F.lower(F.trim(header))
     compact = F.regexp_replace(h, " ", "")
-    listed = F.exists(F.array(*map(F.lit, NO_SKIP)), lambda t: F.contains(compact, t)) & (F.size(F.split(F.trim(h), r"\s+")) <= 3)
+    listed = contains_any(compact, NO_SKIP) & (F.size(F.split(F.trim(h), r"\s+")) <= 3)
     return structural_noise(header) | h.rlike(r"^(table|fig|figure)\s*[-.]?\s*\d*$") | ~string_valid(header) | listed
 
 
@@ -190,49 +333,76 @@ def normalize_header(header: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.regexp_replace(keep_marker(_surface_any(header)), f"^{edge}", ""), f"{edge}$", "")))
 
 
-def reference_score(text: Column) -> Column:
-    """How much a paragraph looks like an entry of a reference list."""
-    t, low = text, F.lower(text)
-    bare, low_bare = normalize_edges(text), normalize_edges(low)
+def with_canonical_header(rows: DataFrame, raw: str, out: str = "header") -> DataFrame:
+    """``rows`` with the canonical form of a raw header, as by :func:`normalize_header` and :func:`apply_synonyms`, each step computed once a row."""
+    edge = r"""[\s.,;:!?\-\[\](){}"'`]+"""
+    rows = rows.withColumn("__h", evaluated_once(_surface_any(F.col(raw))))
+    rows = rows.withColumn("__b", evaluated_once(strip_enumeration(F.col("__h"))))
+    rows = rows.withColumn("__k", evaluated_once(keep_marker(F.col("__h"), F.col("__b"))))
+    rows = rows.withColumn("__n", evaluated_once(F.lower(F.trim(F.regexp_replace(F.regexp_replace("__k", f"^{edge}", ""), f"{edge}$", "")))))
+    return rows.withColumn(out, evaluated_once(apply_synonyms(F.col("__n")))).drop("__h", "__b", "__k", "__n")
+
 
-    def any_of(terms) -> Column:
-        return F.exists(F.array(*map(F.lit, terms)), lambda x: F.contains(low, x))
+# Fixed values of the reference score: patterns and points.
+DOI, STARTS_NUMBERED, YEAR_IN_BRACKETS, YEAR_AT_END, YEAR = r"10\.\d{4,}/", r"^(\[\d+\]|\d+\.)", r"[(,]\s*(19|20)\d{2}[).]", r"\b(19|20)\d{2}[a-z]?\s*[).]", r"\b(19|20)\d{2}\b"
+VOLUME, PAGES, LAST_FIRST, FIRST_LAST, NOT_A_NAME = r"\b(vol\.|no\.|pp\.|p\.)\s*\d+", r"\d+\s*:\s*\d+[-–]\d+", r"^[A-Z][a-z]+,\s+[A-Z]\.", r"^[A-Z]\.([A-Z]\.)?\s+[A-Z][a-z]+", r"^(fig\.|table|vol\.|p\.|pp\.|u\.s\.)"
+FIRST_PERSON, CAPTION = r"\b(we|our)\b", r"^(figure|fig\.|table|tab\.)\s*\d+"
 
+
+def _points(t: Column, low: Column, bare: Column, low_bare: Column) -> Column:
+    """The score before the rules that look at it or at the length."""
     def gain(test: Column, points: int) -> Column:
         return F.when(test, points).otherwise(0)
 
-    year = t.rlike(r"[(,]\s*(19|20)\d{2}[).]") | t.rlike(r"\b(19|20)\d{2}[a-z]?\s*[).]")
     parts = [
-        gain(t.rlike(r"10\.\d{4,}/"), 8),
-        gain(t.contains("http://") | t.contains("https://") | any_of(("retrieved from", "accessed:", "accessed,", "available at:")), 4),
-        gain(bare.rlike(r"^(\[\d+\]|\d+\.)"), 6),
-        gain(any_of(("et al.", "et al,")), 4),
-        gain(any_of(("arxiv", "ssrn", "proc.")), 5),
-        gain(any_of(JOURNAL_TERMS), 3),
-        F.when(year, 2).when(t.rlike(r"\b(19|20)\d{2}\b"), 1).otherwise(0),
-        gain(low.rlike(r"\b(vol\.|no\.|pp\.|p\.)\s*\d+") | t.rlike(r"\d+\s*:\s*\d+[-–]\d+"), 3),
-        gain(bare.rlike(r"^[A-Z][a-z]+,\s+[A-Z]\."), 3),
-        gain(bare.rlike(r"^[A-Z]\.([A-Z]\.)?\s+[A-Z][a-z]+") & ~low_bare.rlike(r"^(fig\.|table|vol\.|p\.|pp\.|u\.s\.)"), 1),
-        gain(any_of(PROSE_MARKERS), -5),
-        gain(low.rlike(r"\b(we|our)\b"), -3),
-        gain(low_bare.rlike(r"^(figure|fig\.|table|tab\.)\s*\d+"), -10),
+        gain(t.rlike(DOI), 8),
+        gain(contains_any(t, ("http://", "https://")) | contains_any(low, ("retrieved from", "accessed:", "accessed,", "available at:")), 4),
+        gain(bare.rlike(STARTS_NUMBERED), 6),
+        gain(contains_any(low, ("et al.", "et al,")), 4),
+        gain(contains_any(low, ("arxiv", "ssrn", "proc.")), 5),
+        gain(contains_any(low, JOURNAL_TERMS), 3),
+        F.when(t.rlike(YEAR_IN_BRACKETS) | t.rlike(YEAR_AT_END), 2).when(t.rlike(YEAR), 1).otherwise(0),
+        gain(low.rlike(VOLUME) | t.rlike(PAGES), 3),
+        gain(bare.rlike(LAST_FIRST), 3),
+        gain(bare.rlike(FIRST_LAST) & ~low_bare.rlike(NOT_A_NAME), 1),
+        gain(contains_any(low, PROSE_MARKERS), -5),
+        gain(low.rlike(FIRST_PERSON), -3),
+        gain(low_bare.rlike(CAPTION), -10),
     ]
-    first = parts[0]
-    for p in parts[1:]:
-        first = first + p
-    words = F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
-    first = first + F.when((words > 15) & bare.endswith(".") & (first < 2), -2).otherwise(0)
-    spaced = F.split(text, " ")
-    lone = F.size(F.filter(spaced, lambda w: (F.length(w) == 1) | ((F.length(w) == 2) & w.endswith("."))))
-    return first + F.when(lone / F.size(spaced) > 0.10, 3).otherwise(0)
+    return balanced(parts, lambda a, b: a + b)
+
+
+def _final(t: Column, bare: Column, points: Column) -> Column:
+    long = F.regexp_count(t, F.lit(r"\S+")) > 15
+    lone = F.regexp_count(t, F.lit(r"(?<![^ ])[^ ]\.?(?![^ ])"))
+    return points + F.when((points < 2) & bare.endswith(".") & long, -2).otherwise(0) + F.when(lone / (F.regexp_count(t, F.lit(" ")) + 1) > 0.10, 3).otherwise(0)
+
+
+def reference_score(text: Column) -> Column:
+    """How much a paragraph looks like an entry of a reference list. For whole tables :func:`with_reference_score` does less."""
+    low, bare = F.lower(text), normalize_edges(text)
+    return _final(text, bare, _points(text, low, bare, normalize_edges(low)))
+
+
+def with_reference_score(rows: DataFrame, text: str, out: str = "score") -> DataFrame:
+    """``rows`` with :func:`reference_score`; its parts are computed once a row, in projections of their own."""
+    t = F.col(text)
+    staged = rows.withColumns({"__low": evaluated_once(F.lower(t)), "__bare": evaluated_once(normalize_edges(t))})
+    staged = staged.withColumn("__points", evaluated_once(_points(t, F.col("__low"), F.col("__bare"), F.lower("__bare"))))
+    return staged.withColumn(out, _final(t, F.col("__bare"), F.col("__points"))).drop("__low", "__bare", "__points")
 
 
 def normalize_edges(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-#: A URL: a scheme, www or a domain with a path, then no white space or brackets, not ending in punctuation. Possessive, so linear.
-URL = r"(?i)\b(?:https?://|www\d{0,3}\.|[a-z0-9.\-]+\.[a-z]{2,4}/)(?:[^\s()<>]|\([^\s()<>]*\))*(?:\([^\s()<>]*\)|[^\s`!()\[\]{};:'\".,<>?«»“”‘’])"
+# A URL: a scheme, www or a domain with a path, then runs without white space or brackets and bracketed parts; it ends with
+# one of these or a character that isn't punctuation, and has two of them at least. Every run is possessive or of one
+# class, and bracketed parts are counted, so the matcher neither recurses with the length of a text nor tries it again.
+_RUN, _END = r"[^\s()<>]", r"[^\s`!()\[\]{};:'\".,<>?«»“”‘’]"
+_BRACKETS = rf"\((?:{_RUN}++|\({_RUN}++\)){{0,50}}+\)"
+_PARTS = rf"(?:{_RUN}*+{_BRACKETS})"
+URL = rf"(?i)\b(?:https?://|www\d{{0,3}}\.|[a-z0-9.\-]{{1,253}}\.[a-z]{{2,4}}/)(?:{_PARTS}{{1,50}}+{_RUN}*{_END}|{_RUN}++{_BRACKETS}{_PARTS}{{0,49}}+|{_BRACKETS}{_PARTS}{{1,49}}+|{_RUN}+{_END})"
 PHONE = r"\d{3}[-.]?\d{3}[-.]?\d{4}|\(\d{3}\)\s*\d{3}[-.]?\d{4}|\d{3}[-.]?\d{4}"
 
 
@@ -242,13 +412,15 @@ def url_dominant(text: Column) -> Column:
     return chars > F.length(text) / 3
 
 
+def replaced(text: Column, pattern: str, by: str) -> Column:
+    """What ``pattern`` finds is replaced wherever it occurs, one distinct find after the other in the order of the text."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.aggregate(found, text, lambda s, m: F.replace(s, m, F.lit(by)))
+
+
 def strip_noise(text: Column) -> Column:
     """Without URLs and phone numbers, every place where their text occurs; runs of three or more other signs become a space."""
-    def without(t: Column, pattern: str) -> Column:
-        return F.aggregate(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), t, lambda s, m: F.replace(s, m, F.lit("")))
-
-    text = without(without(text, URL), PHONE)
-    return F.regexp_replace(text, "[^a-zA-Z0-9]{3,}", " ")
+    return replaced(replaced(replaced(text, URL, ""), PHONE, ""), "[^a-zA-Z0-9]{3,}", " ")
 
 
 def clean_subsections(parts: Column) -> Column:
@@ -259,10 +431,10 @@ def clean_subsections(parts: Column) -> Column:
 
 def stopword_language(text: Column) -> Column:
     """The language with most frequent words in a text, ties in the order of FREQUENT; null without any. Stands in for a detector."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
+    low = F.lower(F.coalesce(text, F.lit("")))
 
     def found(own: tuple[str, ...]) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(*own)))
+        return F.regexp_count(low, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(sorted(own, key=len, reverse=True))})(?!\p{{L}})"))
 
     count = [F.struct(found(own).alias("n"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang")) for i, (lang, own) in enumerate(FREQUENT.items())]
     best = F.array_max(F.array(*count))

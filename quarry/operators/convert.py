@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import clean_subsections
+from quarry.functions.text import clean_subsections, normalize_edges, normalize_text, stopword_language
+from quarry.plans.keyword import balanced
 
 
 def merge_paragraphs(paras: Column) -> Column:
@@ -25,18 +26,67 @@ def html_sections(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", title.alias("title"), F.size(paras).cast("long").alias("n_paragraphs"), F.length(F.array_join(paras, "")).cast("long").alias("chars"))
 
 
-def tei_sections(files: DataFrame) -> DataFrame:
-    """path, idx, header, text of each ``div`` of TEI documents (path, value); its head, else its first sentence, is the header."""
-    div = F.regexp_extract_all("value", F.lit(r"(?s)<div\b[^>]*>(.*?)</div>"), F.lit(1))
-    plain = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]+>", ""), r"\s+", " "))
-    rows = files.select("path", F.posexplode(div).alias("idx", "d"))
-    head = plain(F.regexp_extract("d", r"(?s)<head\b[^>]*>(.*?)</head>", 1))
-    paras = F.transform(F.regexp_extract_all("d", F.lit(r"(?s)<p\b[^>]*>(.*?)</p>"), F.lit(1)), plain)
-    rows = rows.select("path", "idx", head.alias("head"), paras.alias("paras"))
-    first = F.regexp_extract(F.coalesce(F.try_element_at("paras", F.lit(1)), F.lit("")), r"^(.+?[.!?])\s", 1)
-    return rows.select("path", "idx", F.when(F.col("head") != "", F.col("head")).otherwise(first).alias("header"), merge_paragraphs(F.col("paras")).alias("text"))
+# Heads that open no section of a TEI document, and how paragraphs that are left out begin.
+HEADS = ("abstract", "caption", "figure", "table", "acknowledgments", "acknowledgements", "references", "bibliography", "author contributions", "author affiliations", "keywords")
+BEGINNINGS = ("acknowledgments", "acknowledgements", "references", "bibliography", "author contributions")
+
+
+def _plain(markup: Column) -> Column:
+    """Text of a piece of markup, entities resolved, white space unified."""
+    return normalize_text(F.regexp_replace(markup, "<[^>]+>", ""))
+
+
+def _is_english(text: Column) -> Column:
+    return F.coalesce(stopword_language(text) == "en", F.lit(False))
+
+
+def tei_sections(files: DataFrame, english=_is_english) -> DataFrame:
+    """path, idx, header, text of the abstract (idx -1) and of each ``div`` of TEI documents (path, value).
+
+    A section's header is its head, else the first sentence of its first paragraph, which that paragraph then loses; a
+    div with neither is left out, and so is one whose header holds a word of ``HEADS``. Paragraphs that begin like
+    ``BEGINNINGS`` or aren't English are left out, the others merged (see :func:`merge_paragraphs`).
+    """
+    inner = lambda tag: rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"
+    abstract = _plain(F.regexp_extract(F.regexp_extract("value", inner("abstract"), 1), inner("p"), 1))
+    body = F.regexp_extract("value", inner("body"), 1)
+    rows = files.select("path", F.posexplode(F.regexp_extract_all(body, F.lit(inner("div")), F.lit(1))).alias("idx", "d"))
+    rows = rows.select("path", "idx", _plain(F.regexp_extract("d", inner("head"), 1)).alias("head"), F.posexplode_outer(F.regexp_extract_all("d", F.lit(inner("p")), F.lit(1))).alias("at", "p"))
+    rows = rows.withColumn("p", _plain(F.coalesce("p", F.lit(""))))
+    sentence = F.regexp_extract("p", r"^(.+?[.!?])\s", 1)
+    first = (F.col("head") == "") & (F.col("at") == 0)
+    rows = rows.withColumn("key", F.when(first, sentence)).withColumn("p", F.when(first & (sentence != ""), normalize_edges(F.expr("substring(p, length(key) + 1)"))).otherwise(F.col("p")))
+    begins = lambda t: F.lower(t).rlike("^(" + "|".join(BEGINNINGS) + ")")
+    kept = F.when(F.col("at").isNotNull() & ~begins(F.col("p")) & english(F.col("p")), F.struct("at", "p"))
+    docs = rows.groupBy("path", "idx", "head").agg(F.max("key").alias("key"), F.array_sort(F.collect_list(kept)).alias("ps"))
+    header = F.when(F.col("head") != "", F.col("head")).otherwise(F.coalesce("key", F.lit("")))
+    found = docs.select("path", "idx", header.alias("header"), merge_paragraphs(F.transform("ps", lambda x: x["p"])).alias("text"))
+    found = found.where((F.col("header") != "") & ~F.col("header").rlike(r"(?i)\b(?:" + "|".join(HEADS) + r")\b"))
+    top = files.select("path", F.lit(-1).alias("idx"), F.lit("abstract").alias("header"), abstract.alias("text")).where("text <> ''")
+    return top.unionByName(found)
 
 
 def recognised_text(files: DataFrame) -> DataFrame:
     """path, parts of recognised text files (path, value): split at two blank lines and cleaned."""
     return files.select("path", clean_subsections(F.split("value", "\n\n\n")).alias("parts"))
+
+
+def read_recognised(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataFrame:
+    """path, value of recognised text files of a folder; bytes that aren't valid UTF-8 are read as Windows-1252, the other common case."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
+    text = F.try_validate_utf8(F.col("content").cast("string")) if charset.upper() == "UTF-8" else F.decode("content", charset)
+    return files.select("path", F.coalesce(text, F.decode("content", "windows-1252")).alias("value"))
+
+
+def recognised_documents(files: DataFrame, source: str) -> DataFrame:
+    """Packaged documents (see ``metadata.package``) of recognised text files (path, value), and path.
+
+    Title, abstract, authors, publisher, year and number come from tags at the top; the body is the cleaned text with the
+    number taken out of its first part. A file without one of the tags (authors may lack) is left out.
+    """
+    tag = lambda name: F.regexp_extract("value", f"<{name}>(.*?)</{name}>", 1)
+    has = [F.col("value").rlike(f"<{name}>.*?</{name}>") for name in ("pubnumber", "title", "abstract", "publisher")] + [F.col("value").rlike(r"<pubyear>\s*\d+\s*</pubyear>")]
+    authors = F.regexp_extract_all("value", F.lit("<author>(.*?)</author>"), F.lit(1))
+    rows = files.where(balanced(has, lambda a, b: a & b)).select("path", tag("title").alias("title"), tag("abstract").alias("abstract"), authors.alias("authors"), tag("publisher").alias("publisher"), F.trim(tag("pubyear")).alias("date"), tag("pubnumber").alias("unique_id"), clean_subsections(F.split(F.regexp_replace("value", "<[^>]+>", ""), "\n\n\n")).alias("parts"))
+    body = F.array_join(F.transform("parts", lambda p, i: F.when(i == 0, F.replace(p, F.col("unique_id"), F.lit(""))).otherwise(p)), " ")
+    return rows.select("path", F.lit(source).alias("source"), "title", F.create_map(F.lit("body"), body).alias("text"), "abstract", "authors", "publisher", "date", "unique_id", F.lit("").alias("doi"), F.lit("").alias("references"))

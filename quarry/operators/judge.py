@@ -4,16 +4,40 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quarry.scratch import saved, split_join
+
 # Fixed values that results depend on.
 DECISIONS = ("relevant", "maybe", "irrelevant")
 PRIORITY = ("introduction", "abstract", "results", "results and discussion", "materials and methods", "methodology", "background", "overview", "summary", "conclusion", "discussion")
+PROMPT = """You are judging document relevance.
+
+Rubric:
+{rubric}
+
+Return ONLY valid JSON with this schema:
+{{
+  "decision": "relevant" | "irrelevant" | "maybe",
+  "score": 0 | 1 | 2 | 3,
+  "rationale": "short explanation, max 2 sentences"
+}}
+
+Document:
+"""
+SYSTEM = "You are a helpful assistant."
+#: Characters beyond its header that must be left for a section that is cut.
+LEAST_ROOM = 20
+#: Bytes of lines that one task packs.
+PACK_BYTES = 32 << 20
 
 
 def ordered_sections(sections: Column, markers: tuple[str, ...] = PRIORITY) -> Column:
@@ -26,17 +50,29 @@ def ordered_sections(sections: Column, markers: tuple[str, ...] = PRIORITY) -> C
     return F.transform(F.array_sort(keyed), lambda x: x["s"])
 
 
-def truncated(prelude: Column, sections: Column, limit: int) -> Column:
-    """Prelude and the sections that fit; the first that doesn't is cut if more than 20 characters are left, and ends it."""
-    start = F.struct(prelude.alias("out"), (F.lit(limit) - F.length(prelude)).alias("room"), F.lit(False).alias("done"))
+def truncated(title: Column, abstract: Column, sections: Column, limit: int) -> Column:
+    """Title, abstract and the sections that fit in ``limit`` characters, in the order given.
+
+    The first section that doesn't fit is cut, if more than ``LEAST_ROOM`` characters of it fit, and ends the text. A
+    prelude that fills the limit alone is cut to it.
+    """
+    prelude = F.concat(F.lit("Title: "), F.coalesce(title, F.lit("")), F.lit("\n\nAbstract:\n"), F.coalesce(abstract, F.lit("")), F.lit("\n\nSections:"))
+    head = lambda s: F.concat(F.lit("\n\n## "), s["header"], F.lit("\n"))
+    sizes = F.transform(sections, lambda s: F.length(head(s)) + F.length(s["text"]))
+    room = F.lit(limit) - F.length(prelude)
+    start = F.struct(F.lit(0).alias("n"), room.cast("int").alias("room"), F.lit(False).alias("done"))
+    fitting = F.aggregate(sizes, start, lambda a, n: F.when(a["done"] | (n > a["room"]), F.struct(a["n"].alias("n"), a["room"].alias("room"), F.lit(True).alias("done"))).otherwise(F.struct((a["n"] + 1).alias("n"), (a["room"] - n).alias("room"), F.lit(False).alias("done"))))
+    whole = F.array_join(F.transform(F.slice(sections, 1, fitting["n"]), lambda s: F.concat(head(s), s["text"])), "")
+    last = F.get(sections, fitting["n"])
+    left = fitting["room"] - F.length(head(last))
+    cut = F.when(left > LEAST_ROOM, F.concat(head(last), F.regexp_replace(F.substring(last["text"], F.lit(1), left), r"\s+$", "")))
+    return F.when(room <= 0, F.substring(prelude, 1, limit)).otherwise(F.concat(prelude, whole, F.coalesce(cut, F.lit(""))))
 
-    def add(a: Column, s: Column) -> Column:
-        chunk = F.concat(F.lit("\n\n"), s["header"], F.lit("\n"), s["text"])
-        fits = F.length(chunk) <= a["room"]
-        cut = F.when(a["room"] > 20, F.concat(a["out"], F.substring(chunk, F.lit(1), a["room"]))).otherwise(a["out"])
-        return F.when(a["done"], a).when(fits, F.struct(F.concat(a["out"], chunk).alias("out"), (a["room"] - F.length(chunk)).alias("room"), F.lit(False).alias("done"))).otherwise(F.struct(cut.alias("out"), F.lit(0).alias("room"), F.lit(True).alias("done")))
 
-    return F.aggregate(sections, start, add)["out"]
+def judge_prompt(rubric: str, title: Column, abstract: Column, sections: Column, limit: int) -> Column:
+    """The prompt for a document: the rubric, the form of the answer, and the document's text up to ``limit`` characters."""
+    text = truncated(title, abstract, ordered_sections(sections), limit)
+    return F.regexp_replace(F.concat(F.lit(PROMPT.format(rubric=rubric.strip())), text), r"^\s+|\s+$", "")
 
 
 def job_key(*fields: Column) -> Column:
@@ -44,14 +80,14 @@ def job_key(*fields: Column) -> Column:
     return F.sha2(F.concat_ws("\n", *(F.coalesce(f, F.lit("")) for f in fields)), 256)
 
 
-@F.udf(StringType())
-def _python_json(row: str) -> str:
-    return json.dumps(json.loads(row), sort_keys=True, ensure_ascii=False)
+@F.pandas_udf(StringType())
+def _python_json(row: pd.Series) -> pd.Series:
+    return row.map(lambda x: json.dumps(json.loads(x), sort_keys=True, ensure_ascii=False), na_action="ignore")
 
 
 def input_sha256(doc: Column) -> Column:
     """Digest of a document struct in the JSON form with sorted keys and spaced separators."""
-    return F.sha2(_python_json(F.to_json(doc)), 256)
+    return F.sha2(_python_json(F.to_json(doc, {"ignoreNullFields": "false"})), 256)
 
 
 def parse_reply(reply: Column) -> Column:
@@ -80,22 +116,114 @@ def summarize(results: DataFrame, keys: list[str], order: str) -> DataFrame:
     return first.groupBy(F.when(F.col("r.parsed"), F.col("r.decision")).otherwise("parse_failure").alias("decision")).agg(F.count(F.lit(1)).alias("docs"))
 
 
-def pack_chunks(lines: DataFrame, size: str, group: str, order: str, most: int) -> DataFrame:
-    """Adds chunk: greedy packing within a group, a new chunk when a line doesn't fit a chunk that holds something.
+def of_run(results: DataFrame, expected: DataFrame, model: str, base_url: str, prompt_sha256: str) -> DataFrame:
+    """Result rows that belong to a run: its model, gateway and prompt, and the input that ``expected`` (source_path, input_sha256) now has."""
+    same = (F.col("model") == model) & (F.col("base_url") == base_url) & (F.col("prompt_sha256") == prompt_sha256)
+    return split_join(results.where(same), expected.select("source_path", "input_sha256").distinct(), ["source_path", "input_sha256"], "left_semi")
 
-    Groups are shards of bounded size (files of requests), each packed by a loop-carried sum in one sorted array.
-    """
-    row = F.struct(F.col(order).alias("__o"), F.col(size).cast("long").alias("__n"), F.struct(*lines.columns).alias("__r"))
-    got = lines.groupBy(group).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("out"))
 
-    def step(a: Column, r: Column) -> Column:
-        new = (a["used"] > 0) & (a["used"] + r["__n"] > most)
-        k = a["chunk"] + new.cast("int")
-        return F.struct(k.alias("chunk"), F.when(new, r["__n"]).otherwise(a["used"] + r["__n"]).alias("used"), F.concat(a["out"], F.array(k)).alias("out"))
+def run_summary(results: DataFrame, order: str) -> DataFrame:
+    """One row: succeeded, parse_failures, decision_counts (a map, sorted by key) over the first row of each source_path and input."""
+    first = results.groupBy("source_path", "input_sha256").agg(F.min_by(F.struct("decision", "parsed"), order).alias("r")).select("r.*")
+    counts = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("decision").isNotNull(), F.struct("decision", "docs")))))
+    by = first.groupBy("decision").agg(F.count(F.lit(1)).alias("docs"), F.count(F.when(~F.coalesce("parsed", F.lit(False)), 1)).alias("bad"))
+    return by.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("succeeded"), F.coalesce(F.sum("bad"), F.lit(0)).alias("parse_failures"), counts.alias("decision_counts"))
+
+
+def keep_decisions(value: str) -> list[str]:
+    """The decisions of a comma list, checked; at least one."""
+    found = {x.strip().lower() for x in value.split(",") if x.strip()}
+    if bad := found - set(DECISIONS):
+        raise ValueError(f"invalid decision(s): {', '.join(sorted(bad))}")
+    if not found:
+        raise ValueError("provide at least one decision")
+    return sorted(found)
+
+
+def kept_documents(docs: DataFrame, results: DataFrame, decisions: str, id_col: str = "source_path") -> DataFrame:
+    """Documents whose parsed judgement is one of ``decisions`` (a comma list)."""
+    good = results.where(F.col("parsed") & F.col("decision").isin(*keep_decisions(decisions))).select(id_col).distinct()
+    return docs.join(good, id_col, "left_semi")
+
 
-    packed = got.withColumn("chunk", F.aggregate("rows", start, step)["out"])
-    return packed.select(F.explode(F.arrays_zip("rows", "chunk")).alias("z")).select("z.rows.__r.*", "z.chunk")
+class _Packing:
+    """Greedy packing of one run of lines: where chunks begin depends on what the chunk before has left."""
+
+    def __init__(self, sizes: np.ndarray, most: int):
+        self.upto, self.most, n = np.r_[0, np.cumsum(sizes)], most, len(sizes)
+        # a chunk that begins at line i ends before line after[i]; an oversize line is a chunk alone
+        self.after = np.maximum(np.searchsorted(self.upto, self.upto[:-1] + most, "right") - 1, np.arange(1, n + 1))
+        self.chunks, self.used = np.ones(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        for i in range(n - 1, -1, -1):
+            j = int(self.after[i])
+            self.chunks[i], self.used[i] = (1, self.upto[n] - self.upto[i]) if j >= n else (self.chunks[j] + 1, self.used[j])
+
+    def first(self, used: int) -> int:
+        """Lines that go into a chunk that already holds ``used`` bytes (0: none)."""
+        return max(int(np.searchsorted(self.upto, self.most - used, "right")) - 1, 0) if used else 0
+
+    def summary(self) -> list[dict]:
+        """For each number of lines that may go into the chunk before: bytes of these, chunks that begin here, and bytes in the last."""
+        n = min(len(self.chunks) - 1, int(np.searchsorted(self.upto, self.most, "right")))
+        end = len(self.chunks) - 1
+        return [{"bytes": int(self.upto[i]), "chunks": int(self.chunks[i]) if i < end else 0, "used": int(self.used[i]) if i < end else -1} for i in range(n + 1)]
+
+    def numbers(self, chunk: int, used: int) -> np.ndarray:
+        i, out = self.first(used), np.full(len(self.chunks) - 1, chunk, np.int64)
+        if not used:
+            chunk -= 1
+        while i < len(out):
+            chunk += 1
+            out[i : self.after[i]] = chunk
+            i = int(self.after[i])
+        return out
+
+
+def pack_chunks(lines: DataFrame, size: str, group: str, order: str, most: int, part_bytes: int = PACK_BYTES) -> DataFrame:
+    """Adds chunk: greedy packing within a group, a new chunk when a line doesn't fit a chunk that holds something.
+
+    Lines are range-partitioned by group and order, so a large group is packed by many tasks: each describes what its
+    run of lines does to a chunk with any number of bytes in it, the runs of a group are composed in order, and then each
+    task numbers its lines. What is gathered for a group is a few numbers for each line of a chunk and run.
+    """
+    names = lines.columns
+    total = lines.agg(F.coalesce(F.sum(F.col(size).cast("long")), F.lit(0))).first()[0]
+    parts = max(1, -(-total // part_bytes))
+    placed = lines.repartitionByRange(parts, group, order).withColumn("__part", F.spark_partition_id())
+    placed = saved(placed.withColumn("__size", F.col(size).cast("long")), "lines")
+
+    def sizes(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        table = table.sort_by(order)
+        return table, table.column("__size").to_numpy()
+
+    def describe(key: tuple, table: pa.Table) -> pa.Table:
+        runs = _Packing(sizes(table)[1], most).summary()
+        return pa.table({"g": pa.array([key[0].as_py()], table.schema.field("g").type), "__part": pa.array([key[1].as_py()], pa.int32()), "map": pa.array([runs], pa.list_(pa.struct([("bytes", pa.int64()), ("chunks", pa.int64()), ("used", pa.int64())])))})
+
+    def compose(table: pa.Table) -> pa.Table:
+        table, chunk, used, begins = table.sort_by("__part"), 0, 0, []
+        for runs in table.column("map").to_pylist():
+            begins.append((chunk, used))
+            i = max((k for k, x in enumerate(runs) if used + x["bytes"] <= most), default=0) if used else 0
+            if runs[i]["used"] < 0:  # all of them go into the chunk before
+                used += runs[i]["bytes"]
+            else:
+                chunk, used = chunk + runs[i]["chunks"] - (not used), runs[i]["used"]
+        return pa.table({"g": table.column("g"), "__part": table.column("__part"), "__chunk": pa.array([c for c, _ in begins], pa.int64()), "__used": pa.array([u for _, u in begins], pa.int64())})
+
+    kind = lines.schema[group].dataType.simpleString()
+    light = placed.select(F.col(group).alias("g"), "__part", F.col(order).alias(order), "__size")
+    maps = light.groupBy("g", "__part").applyInArrow(describe, f"g {kind}, __part int, map array<struct<bytes: bigint, chunks: bigint, used: bigint>>")
+    begins = maps.groupBy("g").applyInArrow(compose, f"g {kind}, __part int, __chunk bigint, __used bigint").withColumnRenamed("g", "__g")
+
+    def number(table: pa.Table) -> pa.Table:
+        table, own = sizes(table)
+        chunk, used = table.column("__chunk")[0].as_py(), table.column("__used")[0].as_py()
+        return table.select(names).append_column("chunk", pa.array(_Packing(own, most).numbers(chunk, used), pa.int32()))
+
+    both = placed.join(begins, (placed[group].eqNullSafe(begins["__g"])) & (placed["__part"] == begins["__part"])).drop(begins["__part"])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema)
+    return both.groupBy("__g", "__part").applyInArrow(number, f"{schema}, chunk int")
 
 
 def collect_batch(output: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -106,8 +234,15 @@ def collect_batch(output: DataFrame, manifest: DataFrame) -> DataFrame:
     return both.withColumn("status", status).drop("__o", "__m")
 
 
+def transient(error: Exception) -> bool:
+    """Whether to try again: the error has no status (a broken connection), 429, or one of 500 and more."""
+    status = getattr(error, "status_code", None)
+    status = getattr(getattr(error, "response", None), "status_code", None) if status is None else status
+    return status is None or status == 429 or status >= 500
+
+
 def run_requests(jobs: DataFrame, client: Callable[[str], str], retries: int = 4, pause: Callable[[float], None] = lambda s: None) -> DataFrame:
-    """jobs (key, prompt) with the client's reply; transient errors are tried again, then recorded."""
+    """jobs (key, prompt) with the client's reply; transient errors are tried again after 2^k seconds and up to half of one more, then recorded."""
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, errors = [], []
@@ -119,7 +254,9 @@ def run_requests(jobs: DataFrame, client: Callable[[str], str], retries: int = 4
                         break
                     except Exception as e:
                         error = str(e)
-                        pause(2.0**k)
+                        if k == retries or not transient(e):
+                            break
+                        pause(2.0**k + random.uniform(0, 0.5))
                 out.append(reply)
                 errors.append(error)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(errors, pa.string())], names=["key", "reply", "error"])
@@ -129,19 +266,18 @@ def run_requests(jobs: DataFrame, client: Callable[[str], str], retries: int = 4
 
 def request_line(model: str, key: Column, prompt: Column, max_tokens: int = 512, temperature: float = 0.0) -> Column:
     """A line of a batch request file."""
-    message = F.struct(F.lit("user").alias("role"), prompt.alias("content"))
-    body = F.struct(F.lit(model).alias("model"), F.array(message).alias("messages"), F.lit(temperature).alias("temperature"), F.lit(max_tokens).alias("max_tokens"))
+    messages = F.array(*(F.struct(F.lit(role).alias("role"), text.alias("content")) for role, text in (("system", F.lit(SYSTEM)), ("user", prompt))))
+    body = F.struct(F.lit(model).alias("model"), messages.alias("messages"), F.lit(temperature).alias("temperature"), F.lit(max_tokens).alias("max_tokens"))
     return F.to_json(F.struct(key.alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/chat/completions").alias("url"), body.alias("body")))
 
 
 def one_model(lines: DataFrame) -> str:
-    """The model that all request lines name; an error if they name several or none."""
-    found = lines.select(F.get_json_object("line", "$.body.model").alias("m")).distinct().limit(2).collect()
-    if len(found) != 1:
+    """The model that all request lines name; an error if they name several or none, or if a line has none."""
+    found = lines.where("trim(line) <> ''").select(F.get_json_object("line", "$.body.model").alias("m")).distinct().limit(2).collect()
+    if len(found) != 1 or found[0].m is None:
         raise ValueError(f"request lines must name one model, not {[r.m for r in found]}")
     return found[0].m
 
 
-
 def sha256_text(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()

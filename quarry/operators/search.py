@@ -10,7 +10,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.plans.keyword import balanced, compile_query
+from quarry.functions.text import evaluated_once
+from quarry.plans.keyword import _plain, _terms, balanced, compile_groups, compile_query, parse
 
 
 def keyword_search(docs: DataFrame, query: str, text: str = "text", strict: bool = True, factor: bool = True) -> DataFrame:
@@ -18,10 +19,23 @@ def keyword_search(docs: DataFrame, query: str, text: str = "text", strict: bool
     return docs.where(compile_query(query, F.col(text), strict, factor))
 
 
+def _flags(docs: DataFrame, groups: dict[str, str], text: str, keep: list[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with the terms found in a text, once a row, and each group's predicate on them."""
+    found, hits = compile_groups(groups, F.col(text))
+    plain = all(_needs_no_text(q) for q in groups.values())
+    rows = docs.select(*keep, *([] if plain else [text]), evaluated_once(found).alias("__found"))
+    return rows, {name: hit(F.col("__found")) for name, hit in hits.items()}
+
+
+def _needs_no_text(query: str) -> bool:
+    return all(_plain(t) for t in _terms(parse(query)))
+
+
 def tag_groups(docs: DataFrame, groups: dict[str, str], id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, groups) of documents that some group's query matches: one scan with one flag per group; names sorted and distinct."""
-    flags = F.array(*(F.when(compile_query(q, F.col(text)), F.lit(name)) for name, q in sorted(groups.items())))
-    return docs.select(id_col, F.filter(flags, lambda x: x.isNotNull()).alias("groups")).where("size(groups) > 0")
+    """(id, groups) of documents that some group's query matches: one search of a text for the terms of all groups; names sorted and distinct."""
+    rows, hits = _flags(docs, groups, text, [id_col])
+    flags = F.array(*(F.when(hits[name], F.lit(name)) for name in sorted(groups)))
+    return rows.select(id_col, F.filter(flags, lambda x: x.isNotNull()).alias("groups")).where("size(groups) > 0")
 
 
 def merge_tags(tagged: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -32,13 +46,14 @@ def merge_tags(tagged: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def incremental_counts(docs: DataFrame, groups: dict[str, str], text: str = "text", dedupe: bool = True) -> DataFrame:
     """group_index, group_name, new_docs, cumulative: what each group adds to the groups before it (or its own count)."""
     names = list(groups)
-    hits = [compile_query(groups[n], F.col(text)) for n in names]
+    rows, by_name = _flags(docs, groups, text, [])
+    hits = [by_name[n] for n in names]
     if dedupe:
         first = F.coalesce(*(F.when(h, F.lit(i)) for i, h in enumerate(hits)))
-        found = docs.select(first.alias("group_index")).where("group_index is not null")
+        found = rows.select(first.alias("group_index")).where("group_index is not null")
     else:
         flags = F.array(*(F.when(h, F.lit(i)) for i, h in enumerate(hits)))
-        found = docs.select(F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("group_index"))
+        found = rows.select(F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("group_index"))
     counts = found.groupBy("group_index").agg(F.count(F.lit(1)).alias("new_docs"))
     dim = docs.sparkSession.createDataFrame(list(enumerate(names)), "group_index int, group_name string")
     every = dim.join(counts, "group_index", "left").fillna(0, ["new_docs"])

@@ -9,6 +9,7 @@ the query (``a NOT b`` means ``a``); lenient mode reads it as AND NOT.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -141,18 +142,76 @@ def _flatten(node: tuple) -> list[tuple]:
     return reduce(lambda out, n: out + (_flatten(n) if n[0] == "or" else [n]), node[1], [])
 
 
+def _trie(words: list[str]) -> str:
+    """A regular expression for any of the words, the longest first, that shares their beginnings."""
+    by: dict[str, list[str]] = {}
+    for w in words:
+        by.setdefault(w[:1], []).append(w[1:])
+    ends = "" in by
+    by.pop("", None)
+    parts = []
+    for c, rest in by.items():
+        while len(set(x[:1] for x in rest)) == 1 and rest[0]:  # a stretch that all share
+            c, rest = c + rest[0][0], [x[1:] for x in rest]
+        parts.append(c + (_trie(rest) if rest != [""] else ""))
+    if not parts:
+        return ""
+    return f"(?:{'|'.join(parts)})" + ("?" if ends else "") if len(parts) > 1 or ends else parts[0]
+
+
+def _terms(node: tuple) -> list[str]:
+    if node[0] == "term":
+        return [node[1].lower()]
+    return [t for n in (node[1] if node[0] in ("and", "or") else [node[1]] if node[0] == "not" else []) for t in _terms(n)]
+
+
+def compile_groups(queries: dict[str, str], text: Column, strict: bool = True) -> tuple[Column, dict[str, Callable[[Column], Column]]]:
+    """All terms of many queries in one search, and each query as a predicate on what was found.
+
+    The first result is the array of distinct terms found; at a place where several begin, the longest stands for the
+    shorter ones, which are beginnings of it at a word's end. A query's predicate looks only at that array, so hundreds
+    of terms in tens of queries cost one pass over a text. Terms that are no plain words stay searches of their own.
+    """
+    low = F.lower(F.coalesce(text, F.lit("")))
+    trees = {name: parse(q, strict) for name, q in queries.items()}
+    plain = sorted({t for tree in trees.values() for t in _terms(tree) if _plain(t)})
+    found = F.array().cast("array<string>")
+    if plain:
+        search = f"(?<![{_EDGE}])(?=({_trie(plain)})(?![{_EDGE}]))"
+        found = F.array_distinct(F.regexp_extract_all(low, F.lit(search), F.lit(1)))
+    # a term is there if it is found or if one that goes on after it is
+    stands: dict[str, list[str]] = {t: [t] for t in plain}
+    for t in plain:
+        for i, c in enumerate(t):
+            if not (c.isalnum() or c == "_") and t[:i] in stands:
+                stands[t[:i]].append(t)
+
+    def build(node: tuple, seen: Column) -> Column:
+        if node[0] == "not":
+            return ~build(node[1], seen)
+        if node[0] == "all":
+            return F.lit(False)
+        if node[0] == "and":
+            return balanced([build(n, seen) for n in node[1]], lambda a, b: a & b)
+        flat = _flatten(node) if node[0] == "or" else [node]
+        own = {x for n in flat if n[0] == "term" and _plain(n[1].lower()) for x in stands[n[1].lower()]}
+        parts = [F.arrays_overlap(seen, F.array(*map(F.lit, sorted(own))))] if own else []
+        for n in flat:
+            if n[0] != "term":
+                parts.append(build(n, seen))
+            elif not _plain(t := n[1].lower()):
+                parts.append(low.rlike(pattern([t])) if t else F.lit(True))
+        return balanced(parts, lambda a, b: a | b)
+
+    return found, {name: (lambda seen, tree=tree: build(tree, seen)) for name, tree in trees.items()}
+
+
 def clean_group_lines(lines: list[str]) -> list[str]:
-    """Lines of a keyword file: comments after ``--`` go, a leading NOT becomes AND NOT, neighbours in quotes get OR."""
-    out: list[str] = []
-    for line in lines:
-        line = line.split("--")[0].strip()
-        if not line:
-            continue
-        line = re.sub(r"^NOT\b", "AND NOT", line)
-        if out and out[-1].endswith('"') and line.startswith('"'):
-            out[-1] += " OR"
-        out.append(line)
-    return out
+    """Lines of a keyword file: comment lines and blank ones go, a lone NOT becomes AND NOT, neighbours in quotes get OR."""
+    kept = [x for x in (line.strip() for line in lines) if x and not x.startswith("--")]
+    kept = ["AND NOT" if x == "NOT" else x for x in kept]
+    nexts = [*kept[1:], ""]
+    return [f"{x} OR" if x[0] == y[:1] == '"' and not x.endswith("OR") else x for x, y in zip(kept, nexts, strict=True)]
 
 
 def top_level_blocks(text: str) -> list[str]:
@@ -169,10 +228,34 @@ def top_level_blocks(text: str) -> list[str]:
     return out
 
 
-def parse_group_file(text: str) -> list[dict[str, str]]:
-    """Groups of a keyword file: each named block joined with the file's common suffix (its last AND / AND NOT lines)."""
-    lines = clean_group_lines(text.splitlines())
-    body = "\n".join(lines)
-    cut = next((m.start() for m in re.finditer(r"^AND\b", body, re.M)), len(body))
-    suffix = " ".join(body[cut:].split())
-    return [{"name": f"group{i}", "query": f"{' '.join(b.split())} {suffix}".strip()} for i, b in enumerate(top_level_blocks(body[:cut]), 1)]
+_GROUP = re.compile(r"--\s*GROUP\s+(\d+)\s*:\s*(.+)")
+
+
+def parse_group_file(text: str) -> list[dict]:
+    """group, name and query of each ``-- GROUP n: name`` block of a keyword file, which ends at a line with ) alone.
+
+    The file's text may stand between triple quotes. What follows the last block from a lone AND on is the suffix of
+    every group.
+    """
+    if text.count('"""') >= 2:
+        text = text.split('"""', 1)[1].rsplit('"""', 1)[0]
+    groups: list[dict] = []
+    terms: list[str] | None = None
+    tail: list[str] = []
+    for line in text.splitlines():
+        head = _GROUP.search(line)
+        if terms is None and head:
+            groups.append({"group": int(head[1]), "name": head[2].strip()})
+            terms = []
+        elif terms is not None and line.strip() == ")":
+            groups[-1]["query"] = "(\n" + "\n".join(clean_group_lines(terms)) + "\n)"
+            terms, tail = None, []
+        elif terms is not None:
+            terms.append(line)
+        else:
+            tail.append(line)
+    if terms is not None:  # a last block that isn't closed
+        groups[-1]["query"] = "(\n" + "\n".join(clean_group_lines(terms)) + "\n)"
+    at = next((i for i, line in enumerate(tail) if line.strip() == "AND"), None)
+    suffix = "" if at is None else "\n" + "\n".join(clean_group_lines(tail[at:]))
+    return [{**g, "query": g["query"] + suffix} for g in groups]

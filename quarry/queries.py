@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry import section_queries
 from quarry.functions import text as T
 from quarry.operators import convert, judge, references, search, sections
 from quarry.sources import documents as sources
@@ -73,7 +74,8 @@ def content_substantive(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reference_score(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).where("t <> ''").select("doc_id", F.col("line").cast("long").alias("line"), T.reference_score(F.col("t")).cast("long").alias("score"))
+    lines = docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).where("t <> ''")
+    return T.with_reference_score(lines, "t").select("doc_id", F.col("line").cast("long").alias("line"), F.col("score").cast("long").alias("score"))
 
 
 def url_phone_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -86,34 +88,9 @@ def reference_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def span_assign_headers(spark: SparkSession, d: str) -> DataFrame:
-    raw = sections.from_lines(docs(spark, d)).withColumn("ends", sections.running_ends(F.col("headers")))
-    own = F.transform("paragraphs", lambda p: F.struct(p["s"].alias("start"), sections.owner(F.col("ends"), p["s"]).alias("header_index")))
-    return raw.select(F.col("corpusid").cast("long").alias("doc_id"), F.inline(own)).select("doc_id", F.col("start").cast("long").alias("start"), F.col("header_index").cast("long").alias("header_index"))
-
-
-def _done(spark: SparkSession, d: str) -> DataFrame:
-    return sections.sectionize(sections.from_lines(docs(spark, d)))
-
-
-def sectionize(spark: SparkSession, d: str) -> DataFrame:
-    return _done(spark, d).select("corpusid", "outcome", F.size("sections").alias("n_sections"), F.to_json("sections").alias("sections"))
-
-
-def section_rules_report(spark: SparkSession, d: str) -> DataFrame:
-    return _done(spark, d).select("corpusid", F.explode("detail").alias("s")).select("corpusid", "s.idx", "s.header", "s.outcome", "s.chars")
-
-
-def drops_by_reason(spark: SparkSession, d: str) -> DataFrame:
-    return sections.drops_by_reason(sections.doc_report(_done(spark, d)))
-
-
-def corpus_summary(spark: SparkSession, d: str) -> DataFrame:
-    return sections.corpus_report(sections.doc_report(_done(spark, d)))
-
-
-def audit_presence(spark: SparkSession, d: str) -> DataFrame:
-    raw = sections.from_lines(docs(spark, d))
-    return sections.audit_summary(sections.audit(raw, sections.sectionize(raw)))
+    raw = sections.from_lines(docs(spark, d)).withColumn("own", sections.owners("headers", "paragraphs"))
+    rows = raw.select(F.col("corpusid").cast("long").alias("doc_id"), F.inline(F.arrays_zip("paragraphs", "own")))
+    return rows.select("doc_id", F.col("paragraphs.s").cast("long").alias("start"), F.col("own").cast("long").alias("header_index"))
 
 
 def stopword_language(spark: SparkSession, d: str) -> DataFrame:
@@ -137,12 +114,6 @@ def judge_summary(spark: SparkSession, d: str) -> DataFrame:
     return judge.summarize(_replies(spark, d), ["conv_id"], "turn")
 
 
-def prompt_truncate(spark: SparkSession, d: str) -> DataFrame:
-    done = _done(spark, d)
-    text = judge.truncated(F.concat(F.lit("Title: "), F.col("title")), judge.ordered_sections(F.col("sections")), 2000)
-    return done.select("corpusid", F.length(text).alias("chars"), F.sha2(text, 256).alias("prompt_sha256"))
-
-
 def chunk_packing(spark: SparkSession, d: str) -> DataFrame:
     lines = docs(spark, d).select("doc_id", "source", F.octet_length("text").cast("long").alias("bytes"))
     return judge.pack_chunks(lines, "bytes", "source", "doc_id", 20_000)
@@ -195,8 +166,8 @@ def id_buckets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, sectionize, section_rules_report, drops_by_reason, corpus_summary, audit_presence, stopword_language, judge_parse, judge_summary, prompt_truncate, chunk_packing, metadata_left_join, html_sections)
-    return {f.__name__: f for f in own}
+    own = (pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, stopword_language, judge_parse, judge_summary, chunk_packing, metadata_left_join, html_sections)
+    return {f.__name__: f for f in own} | section_queries.queries()
 
 
 def _has(*terms: str) -> str:
@@ -275,4 +246,4 @@ def oracle_sql() -> dict[str, str]:
         "metadata_left_join": """
             SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN (
               SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality DESC, toxic DESC) AS r FROM labels) l ON l.doc_id = d.doc_id AND r = 1""",
-    }
+    } | section_queries.oracle_sql()

@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import normalize_edges
+
 #: Names that hold a run's own records, not documents.
 ARTIFACTS = ("batch_checkpoint.json", "duckdb_checkpoint.json", "failures.json", "filter_report.json", "judge_checkpoint.json", "judge_summary.json", "sectionization_report.json")
 _TEXT = "struct<text:string,annotations:map<string,string>,source:struct<pdfurls:array<string>,pdfsha:string,oainfo:struct<license:string,openaccessurl:string,status:string>>>"
@@ -99,10 +101,44 @@ def write_matches(found: DataFrame, path: str, terms: str = "terms", paths: bool
     (out if paths else out.drop("path")).write.mode("overwrite").option("header", True).csv(path)
 
 
-def best_title(title: Column, text: Column) -> Column:
-    """A document's title, else the first line of its text with something in it."""
+#: Annotations that may hold a title, in the order they are tried.
+TITLES = ("title", "papertitle", "paper_title", "doctitle")
+
+
+def best_title(title: Column, text: Column, annotations: Column | None = None) -> Column:
+    """A document's title, else the first non-empty span of a title annotation, else the first line of its text with something in it."""
     lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), lambda x: F.trim(x)), lambda x: x != "")
-    return F.coalesce(F.when(F.trim(title) != "", F.trim(title)), F.try_element_at(lines, F.lit(1)), F.lit(""))
+    found = [F.when(F.trim(title) != "", F.trim(title))]
+    for key in TITLES if annotations is not None else ():
+        cut = F.transform(spans(F.try_element_at(annotations, F.lit(key))), lambda s: normalize_edges(F.substring(F.coalesce(text, F.lit("")), s["s"] + 1, F.greatest(s["e"] - s["s"], F.lit(0)))))
+        found.append(F.try_element_at(F.filter(cut, lambda x: x != ""), F.lit(1)))
+    return F.coalesce(*found, F.try_element_at(lines, F.lit(1)), F.lit(""))
+
+
+def spans(annotation: Column) -> Column:
+    """[(s, e)] sorted by start (stable) from a JSON list of {start, end}; numbers in quotes count, others drop the span."""
+    raw = F.from_json(annotation, "array<struct<start:string,end:string>>")
+    cast = F.transform(F.coalesce(raw, F.array().cast("array<struct<start:string,end:string>>")), lambda x, i: F.struct(x["start"].try_cast("int").alias("s"), i.alias("i"), x["end"].try_cast("int").alias("e")))
+    good = F.filter(cast, lambda x: x["s"].isNotNull() & x["e"].isNotNull() & (x["s"] >= 0) & (x["e"] >= 0))
+    return F.transform(F.array_sort(good), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+
+
+def external_ids(*maps: Column) -> Column:
+    """The first of the maps (in their spellings externalids, external_ids, externalIds) with an id in it, empty values left out; else an empty map."""
+    kept = [F.map_filter(m, lambda k, v: v.isNotNull() & (v != "")) for m in maps]
+    return F.coalesce(*(F.when(F.size(m) > 0, m) for m in kept), F.create_map().cast("map<string,string>"))
+
+
+def full_text(docs: DataFrame) -> Column:
+    """Title and body text (else content text) of raw documents, joined by a space; what exclusion patterns look at."""
+    own = [F.when(F.col(f"{c}.text") != "", F.col(f"{c}.text")) for c in ("body", "content") if c in docs.columns]
+    return F.concat_ws(" ", F.when(F.col("title") != "", F.col("title")), F.coalesce(*own, F.lit(None).cast("string")))
+
+
+def failures(lines: DataFrame, error: str = "invalid JSON") -> DataFrame:
+    """Failure records (corpus_id, title, external_ids, batch_file, line_number, error) of numbered lines (path, line_number, value) that don't parse."""
+    rows = lines.withColumn("d", F.from_json("value", RAW, {"columnNameOfCorruptRecord": "_corrupt"})).where("d._corrupt is not null")
+    return rows.select(F.lit(None).cast("string").alias("corpus_id"), F.lit("").alias("title"), F.create_map().cast("map<string,string>").alias("external_ids"), F.col("path").alias("batch_file"), "line_number", F.lit(error).alias("error"))
 
 
 def open_access_urls(docs: DataFrame) -> Column:
