@@ -413,8 +413,11 @@ def url_dominant(text: Column) -> Column:
 
 
 def replaced(text: Column, pattern: str, by: str) -> Column:
-    """What ``pattern`` finds is replaced wherever it occurs, one distinct find after the other in the order of the text."""
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    """What ``pattern`` finds is replaced wherever it occurs, one find after the other in the order of the text.
+
+    A find that comes again is replaced again: it may stand anew where what was around it has gone.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.aggregate(found, text, lambda s, m: F.replace(s, m, F.lit(by)))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry import section_queries
+from quarry import section_queries, source_queries
 from quarry.functions import text as T
 from quarry.operators import convert, judge, references, search, sections
 from quarry.sources import documents as sources
@@ -141,10 +141,11 @@ def best_effort_title(spark: SparkSession, d: str) -> DataFrame:
 
 
 def batch_collect_status(spark: SparkSession, d: str) -> DataFrame:
-    """Batch output joined to its manifest by id: matches and both kinds of misses."""
+    """Batch output (labels, and ids that no document has) joined to the manifest of all documents by id: matches and both kinds of misses."""
     output = spark.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").alias("custom_id"), "quality")
-    manifest = docs(spark, d).where("doc_id % 2 = 0").select(F.col("doc_id").alias("custom_id"), "source")
-    return judge.collect_batch(output, manifest).groupBy("status").agg(F.count(F.lit(1)).alias("docs"))
+    other = spark.read.parquet(f"{d}/embeddings.parquet").select((F.col("vec_id") * 3).alias("custom_id"), F.lit(None).cast("int").alias("quality"))
+    manifest = docs(spark, d).select(F.col("doc_id").alias("custom_id"), "source")
+    return judge.collect_batch(output.unionByName(other), manifest).groupBy("status").agg(F.count(F.lit(1)).alias("docs"))
 
 
 def job_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -167,7 +168,12 @@ def id_buckets(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, stopword_language, judge_parse, judge_summary, chunk_packing, metadata_left_join, html_sections)
-    return {f.__name__: f for f in own} | section_queries.queries()
+    return {f.__name__: f for f in own} | section_queries.queries() | source_queries.queries()
+
+
+#: The URL pattern in the dialect of DuckDB's matcher, which needs no possessive runs.
+_R, _B = r"[^\s()<>]", r"\((?:[^\s()<>]+|\([^\s()<>]+\))*\)"
+_URL = rf"(?i)\b(?:https?://|www\d{{0,3}}\.|[a-z0-9.\-]+\.[a-z]{{2,4}}/)(?:{_R}|{_B})+(?:{_B}|[^\s`!()\[\]{{}};:'\".,<>?«»“”‘’])"
 
 
 def _has(*terms: str) -> str:
@@ -182,6 +188,19 @@ def oracle_sql() -> dict[str, str]:
     bare = r"regexp_replace(t, '^\s+|\s+$', '', 'g')"
     words = "len(list_filter(regexp_split_to_array(t, '\\s+'), lambda w: w <> ''))"
     count = {lang: f"len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in ws)})))" for lang, ws in T.FREQUENT.items()}
+    score = rf"""SELECT *,
+              CASE WHEN regexp_matches(t, '10\.\d{{4,}}/') THEN 8 ELSE 0 END
+              + CASE WHEN contains(t, 'http://') OR contains(t, 'https://') THEN 4 ELSE CASE {either(('retrieved from', 'accessed:', 'accessed,', 'available at:'))} ELSE 0 END * 4 END
+              + CASE WHEN regexp_matches({bare}, '^(\[\d+\]|\d+\.)') THEN 6 ELSE 0 END
+              + 4 * CASE {either(('et al.', 'et al,'))} ELSE 0 END + 5 * CASE {either(('arxiv', 'ssrn', 'proc.'))} ELSE 0 END + 3 * CASE {either(T.JOURNAL_TERMS)} ELSE 0 END
+              + CASE WHEN regexp_matches(t, '[(,]\s*(19|20)\d{{2}}[).]') OR regexp_matches(t, '\b(19|20)\d{{2}}[a-z]?\s*[).]') THEN 2 WHEN regexp_matches(t, '\b(19|20)\d{{2}}\b') THEN 1 ELSE 0 END
+              + CASE WHEN regexp_matches(lower(t), '\b(vol\.|no\.|pp\.|p\.)\s*\d+') OR regexp_matches(t, '\d+\s*:\s*\d+[-–]\d+') THEN 3 ELSE 0 END
+              + CASE WHEN regexp_matches({bare}, '^[A-Z][a-z]+,\s+[A-Z]\.') THEN 3 ELSE 0 END
+              + CASE WHEN regexp_matches({bare}, '^[A-Z]\.([A-Z]\.)?\s+[A-Z][a-z]+') AND NOT regexp_matches(lower({bare}), '^(fig\.|table|vol\.|p\.|pp\.|u\.s\.)') THEN 1 ELSE 0 END
+              - 5 * CASE {either(T.PROSE_MARKERS)} ELSE 0 END - CASE WHEN regexp_matches(lower(t), '(^|[^\p{{L}}\p{{N}}_])(we|our)([^\p{{L}}\p{{N}}_]|$)') THEN 3 ELSE 0 END
+              - CASE WHEN regexp_matches(lower({bare}), '^(figure|fig\.|table|tab\.)\s*\d+') THEN 10 ELSE 0 END AS a FROM x WHERE t <> ''"""
+    final = f"""(a - CASE WHEN {words} > 15 AND ends_with({bare}, '.') AND a < 2 THEN 2 ELSE 0 END
+              + CASE WHEN len(list_filter(string_split(t, ' '), lambda w: length(w) = 1 OR (length(w) = 2 AND ends_with(w, '.')))) / len(string_split(t, ' ')) > 0.10 THEN 3 ELSE 0 END)"""
     lang = " ".join(f"WHEN {c} > 0 AND {c} >= greatest({', '.join(count.values())}) THEN '{k}'" for k, c in count.items())
     return {
         "keyword_search_and_or_not": f"SELECT doc_id, lang FROM documents WHERE {_has('license', 'und', 'la')} AND NOT {_has('the')}",
@@ -195,8 +214,8 @@ def oracle_sql() -> dict[str, str]:
         "pending_anti_join": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
         "best_effort_title": "SELECT doc_id, coalesce(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') AS title FROM documents",
         "batch_collect_status": """
-            SELECT CASE WHEN o.doc_id IS NOT NULL AND m.doc_id IS NOT NULL THEN 'ok' WHEN m.doc_id IS NULL THEN 'unknown_id' ELSE 'missing_output' END AS status, count(*) AS docs
-            FROM labels o FULL JOIN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) m ON o.doc_id = m.doc_id GROUP BY 1""",
+            SELECT CASE WHEN o.id IS NOT NULL AND m.doc_id IS NOT NULL THEN 'ok' WHEN m.doc_id IS NULL THEN 'unknown_id' ELSE 'missing_output' END AS status, count(*) AS docs
+            FROM (SELECT doc_id AS id FROM labels UNION ALL SELECT vec_id * 3 FROM embeddings) o FULL JOIN documents m ON o.id = m.doc_id GROUP BY 1""",
         "job_keys": "SELECT doc_id, sha256(concat(coalesce(source, ''), chr(10), doc_id, chr(10), coalesce(sha256(text), ''), chr(10), 'p', chr(10), 'm', chr(10))) AS key FROM documents",
         "seeded_sample": "SELECT doc_id, lang FROM documents ORDER BY md5(concat(7, ':', doc_id)), doc_id LIMIT 25",
         "merged_tags": f"SELECT doc_id, string_agg(g, ';' ORDER BY g) AS groups FROM ({tags}) GROUP BY doc_id",
@@ -216,26 +235,34 @@ def oracle_sql() -> dict[str, str]:
         "content_substantive": r"""
             SELECT doc_id, length(n) >= 40 AND length(regexp_replace(n, '[^A-Za-z]', '', 'g')) >= 20 AS substantive
             FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS n FROM documents)""",
-        "reference_score": rf"""
-            WITH x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS line FROM documents),
-            s AS (SELECT *,
-              CASE WHEN regexp_matches(t, '10\.\d{{4,}}/') THEN 8 ELSE 0 END
-              + CASE WHEN contains(t, 'http://') OR contains(t, 'https://') THEN 4 ELSE CASE {either(('retrieved from', 'accessed:', 'accessed,', 'available at:'))} ELSE 0 END * 4 END
-              + CASE WHEN regexp_matches({bare}, '^(\[\d+\]|\d+\.)') THEN 6 ELSE 0 END
-              + 4 * CASE {either(('et al.', 'et al,'))} ELSE 0 END + 5 * CASE {either(('arxiv', 'ssrn', 'proc.'))} ELSE 0 END + 3 * CASE {either(T.JOURNAL_TERMS)} ELSE 0 END
-              + CASE WHEN regexp_matches(t, '[(,]\s*(19|20)\d{{2}}[).]') OR regexp_matches(t, '\b(19|20)\d{{2}}[a-z]?\s*[).]') THEN 2 WHEN regexp_matches(t, '\b(19|20)\d{{2}}\b') THEN 1 ELSE 0 END
-              + CASE WHEN regexp_matches(lower(t), '\b(vol\.|no\.|pp\.|p\.)\s*\d+') OR regexp_matches(t, '\d+\s*:\s*\d+[-–]\d+') THEN 3 ELSE 0 END
-              + CASE WHEN regexp_matches({bare}, '^[A-Z][a-z]+,\s+[A-Z]\.') THEN 3 ELSE 0 END
-              + CASE WHEN regexp_matches({bare}, '^[A-Z]\.([A-Z]\.)?\s+[A-Z][a-z]+') AND NOT regexp_matches(lower({bare}), '^(fig\.|table|vol\.|p\.|pp\.|u\.s\.)') THEN 1 ELSE 0 END
-              - 5 * CASE {either(T.PROSE_MARKERS)} ELSE 0 END - CASE WHEN regexp_matches(lower(t), '(^|[^\p{{L}}\p{{N}}_])(we|our)([^\p{{L}}\p{{N}}_]|$)') THEN 3 ELSE 0 END
-              - CASE WHEN regexp_matches(lower({bare}), '^(figure|fig\.|table|tab\.)\s*\d+') THEN 10 ELSE 0 END AS a FROM x WHERE t <> '')
-            SELECT doc_id, line, (a - CASE WHEN {words} > 15 AND ends_with({bare}, '.') AND a < 2 THEN 2 ELSE 0 END
-              + CASE WHEN len(list_filter(string_split(t, ' '), lambda w: length(w) = 1 OR (length(w) = 2 AND ends_with(w, '.')))) / len(string_split(t, ' ')) > 0.10 THEN 3 ELSE 0 END)::BIGINT AS score FROM s""",
+        "reference_score": f"WITH x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS line FROM documents), s AS ({score}) SELECT doc_id, line, {final}::BIGINT AS score FROM s",
         "span_assign_headers": """
             WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
             p AS (SELECT doc_id, i, length(t) AS n, (coalesce(sum(length(t) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start FROM l)
             SELECT doc_id, start, header_index FROM (
               SELECT doc_id, start, n, (count(*) FILTER (n > 0 AND n < 40) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) - 1 AS header_index FROM p) WHERE n >= 40""",
+        "url_phone_clean": """
+            WITH a AS (SELECT doc_id, list_reduce(list_prepend(coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '{U}')), lambda acc, m: replace(acc, m, '')) AS t FROM documents),
+            b AS (SELECT doc_id, list_reduce(list_prepend(t, regexp_extract_all(t, '{P}')), lambda acc, m: replace(acc, m, '')) AS t FROM a)
+            SELECT doc_id, md5(list_reduce(list_prepend(t, regexp_extract_all(t, '[^a-zA-Z0-9]{{3,}}')), lambda acc, m: replace(acc, m, ' '))) AS cleaned FROM b""".format(U=_URL.replace("'", "''"), P=T.PHONE),
+        "reference_split": rf"""
+            WITH a AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), chr(10), chr(10) || chr(10), 'g'), '\n\n+'), lambda x: trim(x) <> '') AS ls FROM documents),
+            x AS (SELECT doc_id, len(ls) AS n, unnest(ls) AS t, unnest(range(len(ls), 0, -1)) AS back FROM a),
+            s AS ({score.replace("SELECT *,", "SELECT doc_id, n, t, back,").replace("FROM x WHERE t <> ''", "FROM x")}),
+            f AS (SELECT doc_id, n, back, length(t) AS c, {final} >= 1 AS good FROM s),
+            g AS (SELECT *, count(*) FILTER (good) OVER (PARTITION BY doc_id ORDER BY back ROWS 2 PRECEDING) = 0 AND back >= 3 AS stop FROM f),
+            h AS (SELECT doc_id, coalesce(max(back) FILTER (good AND back < coalesce(e, 1000000000)), 0) AS cut FROM (SELECT *, min(back) FILTER (stop) OVER (PARTITION BY doc_id) AS e FROM g) GROUP BY doc_id)
+            SELECT d.doc_id, coalesce(sum(c) FILTER (back > cut) + 2 * (count(*) FILTER (back > cut) - 1), 0)::INT AS content_chars, (CASE WHEN max(cut) > 0 THEN sum(c) FILTER (back <= cut) + 2 * (count(*) FILTER (back <= cut) - 1) END)::INT AS ref_chars
+            FROM documents d LEFT JOIN f USING (doc_id) LEFT JOIN h USING (doc_id) GROUP BY d.doc_id""",
+        "chunk_packing": """
+            WITH RECURSIVE o AS (SELECT doc_id, source, strlen(coalesce(text, ''))::BIGINT AS bytes, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
+            g AS (SELECT source, r, 0 AS chunk, bytes AS used FROM o WHERE r = 1 UNION ALL
+              SELECT o.source, o.r, CASE WHEN g.used > 0 AND g.used + o.bytes > 20000 THEN g.chunk + 1 ELSE g.chunk END, CASE WHEN g.used > 0 AND g.used + o.bytes > 20000 THEN o.bytes ELSE g.used + o.bytes END FROM g JOIN o ON o.source = g.source AND o.r = g.r + 1)
+            SELECT o.doc_id, o.source, o.bytes, g.chunk FROM o JOIN g ON g.source = o.source AND g.r = o.r""",
+        "html_sections": r"""
+            WITH b AS (SELECT page_id, regexp_replace(coalesce(html, ''), '(?s)<(?:script\b.*?</script|style\b.*?</style)>|<!--.*?-->', '', 'g') AS b FROM pages),
+            c AS (SELECT page_id, b, list_filter(list_transform(regexp_split_to_array(b, '<p(?:\s[^>]*)?>')[2:], lambda x: trim(regexp_replace(regexp_replace(regexp_extract(x, '(?s)^(.*?)(?:</p>|</article>|</body>|$)', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS ps FROM b)
+            SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(b, '(?s)<h1[^>]*>(.*?)(?:</h1>|<p\b|$)', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title, len(ps) AS n_paragraphs, coalesce(list_sum(list_transform(ps, lambda x: length(x))), 0)::BIGINT AS chars FROM c""",
         "stopword_language": rf"SELECT doc_id, CASE {lang} END AS lang_pred FROM (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}]+') AS w FROM documents)",
         "judge_parse": """
             SELECT conv_id, turn, CASE WHEN conv_id % 5 IN (2, 4) THEN NULL WHEN turn % 2 = 0 THEN 'relevant' ELSE 'irrelevant' END AS decision,
@@ -246,4 +273,4 @@ def oracle_sql() -> dict[str, str]:
         "metadata_left_join": """
             SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN (
               SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality DESC, toxic DESC) AS r FROM labels) l ON l.doc_id = d.doc_id AND r = 1""",
-    } | section_queries.oracle_sql()
+    } | section_queries.oracle_sql() | source_queries.oracle_sql()

@@ -137,16 +137,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-def _decomposed(x: str) -> str:
+def decomposed(x: str) -> str:
     """SQL for the canonical decomposition of the letters that occur in the test tables."""
     for c in "ÄÇÈÉÊÍÑÓÖÜäçèéêíñóöü":
         x = f"replace({x}, '{c}', '{unicodedata.normalize('NFD', c)}')"
     return x
 
 
-def oracle_sql() -> dict[str, str]:
+def english() -> str:
+    """SQL for whether the words ``w`` are English by the stand-in detector."""
     count = {lang: f"len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in ws)})))" for lang, ws in T.FREQUENT.items()}
-    english = f"({count['en']} > 0 AND {count['en']} >= greatest({', '.join(count.values())}))"
+    return f"({count['en']} > 0 AND {count['en']} >= greatest({', '.join(count.values())}))"
+
+
+def oracle_sql() -> dict[str, str]:
     quote = lambda x: x.replace("'", "''")
     letters = lambda x: f"length(regexp_replace({x}, '[^A-Za-z]', '', 'g'))"
     words = lambda x: f"len(list_filter(string_split({x}, ' '), lambda v: v <> ''))"
@@ -155,7 +159,7 @@ def oracle_sql() -> dict[str, str]:
     base = rf"""
         h(k, raw, canon, cls) AS (VALUES {', '.join(f"({i}, '{quote(a)}', '{quote(b)}', '{c}')" for i, (a, b, c) in enumerate(HEADERS))}),
         l0 AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
-        l AS (SELECT doc_id, i, t, CASE WHEN i % 3 = 1 THEN (doc_id * 7 + i) % {len(HEADERS)} END AS k, trim(regexp_replace({_decomposed('t')}, '\s+', ' ', 'g')) AS n FROM l0),
+        l AS (SELECT doc_id, i, t, CASE WHEN i % 3 = 1 THEN (doc_id * 7 + i) % {len(HEADERS)} END AS k, trim(regexp_replace({decomposed('t')}, '\s+', ' ', 'g')) AS n FROM l0),
         p AS (SELECT l.*, h.cls, h.canon, h.raw, count(*) FILTER (h.k IS NOT NULL AND h.cls <> 'markup') OVER w - 1 AS sec, count(*) FILTER (h.k IS NOT NULL) OVER w - 1 AS truth
           FROM l LEFT JOIN h ON h.k = l.k WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
         pre AS (SELECT doc_id, string_agg(n, ' ' ORDER BY i) AS x, count(*) AS m FROM p WHERE sec = -1 AND n <> '' GROUP BY doc_id),
@@ -165,7 +169,7 @@ def oracle_sql() -> dict[str, str]:
         s0 AS (SELECT heads.*, coalesce(bodies.x, '') AS x, coalesce(bodies.m, 0) AS m FROM heads LEFT JOIN bodies USING (doc_id, idx)),
         s1 AS (SELECT *, regexp_split_to_array(lower(x), '[^\p{{L}}]+') AS w FROM s0),
         s2 AS (SELECT doc_id, idx, canon, cls, x, m, CASE cls WHEN 'noise' THEN 'noise_header' WHEN 'skip' THEN 'unneeded_skip_remaining' WHEN 'no_skip' THEN 'unneeded_no_skip' ELSE
-            CASE WHEN m = 0 THEN 'empty_parent' WHEN NOT (length(x) >= 40 AND {letters('x')} >= 20) THEN 'non_substantive' WHEN {english} AND {valid} THEN 'kept' ELSE 'non_english_or_invalid' END END AS kind FROM s1),
+            CASE WHEN m = 0 THEN 'empty_parent' WHEN NOT (length(x) >= 40 AND {letters('x')} >= 20) THEN 'non_substantive' WHEN {english()} AND {valid} THEN 'kept' ELSE 'non_english_or_invalid' END END AS kind FROM s1),
         e AS (SELECT doc_id, min(idx) AS stop, arg_min(CASE WHEN kind IN ('kept', 'non_english_or_invalid') THEN 'post_conclusion_truncation' ELSE 'post_break_truncated' END, idx) AS tail FROM s2 WHERE cls IN ('skip', 'end') GROUP BY doc_id),
         s AS (SELECT s2.*, CASE WHEN idx > stop THEN tail ELSE kind END AS outcome, length(x) AS chars, {words('x')} AS words FROM s2 LEFT JOIN e USING (doc_id)),
         o AS (SELECT doc.*, CASE WHEN early THEN 'structural_failure'
@@ -183,7 +187,7 @@ def oracle_sql() -> dict[str, str]:
         aud0 AS (SELECT t.doc_id, t.idx, t.chars, t.words, t.body AS x, trim(left(t.first, 50)) <> '' AND contains(w.joined, trim(left(t.first, 50))) AS present, coalesce(theads.cls, 'noise') AS cls, regexp_split_to_array(lower(t.body), '[^\p{{L}}]+') AS w
           FROM truth t JOIN written w USING (doc_id) LEFT JOIN theads USING (doc_id, idx)),
         aud AS (SELECT doc_id, idx, chars::BIGINT AS chars, words::BIGINT AS words, present, CASE WHEN present THEN NULL WHEN cls IN ('noise', 'markup') THEN 'noise_header' WHEN cls = 'skip' THEN 'unneeded_skip_remaining' WHEN cls = 'end' THEN 'unknown_after_break' WHEN cls = 'no_skip' THEN 'unneeded_no_skip'
-            WHEN NOT (length(trim(regexp_replace({_decomposed('x')}, '\s+', ' ', 'g'))) >= 40 AND {letters(_decomposed('x'))} >= 20) THEN 'non_substantive' WHEN NOT ({english} AND {valid}) THEN 'non_english_or_invalid' ELSE 'unknown_after_break' END AS reason FROM aud0)"""
+            WHEN NOT (length(trim(regexp_replace({decomposed('x')}, '\s+', ' ', 'g'))) >= 40 AND {letters(decomposed('x'))} >= 20) THEN 'non_substantive' WHEN NOT ({english()} AND {valid}) THEN 'non_english_or_invalid' ELSE 'unknown_after_break' END AS reason FROM aud0)"""
     pct = lambda a, b: f"CASE WHEN {b} <= 0 THEN 0.0 ELSE 100.0 * {a} / {b} END"
     marks = "'introduction', 'abstract', 'results', 'results and discussion', 'materials and methods', 'methodology', 'background', 'overview', 'summary', 'conclusion', 'discussion'"
     own = {
