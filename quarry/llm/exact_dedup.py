@@ -93,5 +93,5 @@ def unique(docs: DataFrame, broadcast_ids: int = 1_000_000) -> DataFrame:
         return docs
     if n <= broadcast_ids:  # 80 bytes a row
         gone = F.broadcast(gone)
-    held = (F.col("doc_id").cast("long") == F.col("__id")) & (F.sha2(normalised(F.col("text")), 256) == F.col("__sha"))
+    held = (docs["doc_id"].cast("long") == gone["__id"]) & (F.sha2(normalised(docs["text"]), 256) == gone["__sha"])
     return docs.join(gone, held, "left_anti")

@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import evaluated_once
+
 BUCKETS, SIZES, TABLE_ROWS = 32_768, (3, 4, 5), 10_000
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Names of sites by common words, none of them from a table that is judged; the labelled table holds some addresses of each.
@@ -29,17 +31,25 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def grams(text: Column) -> Column:
-    """Bucket of every character n-gram of a text with a mark at both ends; all digits count as 0."""
-    marked = F.translate(F.concat(F.lit("^"), text, F.lit("$")), "123456789", "000000000")
+def characters(text: Column) -> Column:
+    """The characters of a text with a mark at both ends; all digits count as 0."""
+    return F.split(F.translate(F.concat(F.lit("^"), text, F.lit("$")), "123456789", "000000000"), "")
+
 
+def grams(chars: Column) -> Column:
+    """Bucket of every n-gram of an array of characters, which must be a column of its own: the lambdas read it for each."""
     def of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.substring(marked, i, F.lit(n))), F.lit(BUCKETS)).cast("int"))
+        starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.array_join(F.slice(chars, i, F.lit(n)), "")), F.lit(BUCKETS)).cast("int"))
 
     return F.concat(*map(of, SIZES))
 
 
+def with_grams(rows: DataFrame, text: Column) -> DataFrame:
+    """``rows`` with __grams, in time proportional to the text's length."""
+    return rows.withColumn("__chars", evaluated_once(characters(text))).withColumn("__grams", evaluated_once(grams(F.col("__chars")))).drop("__chars")
+
+
 def seed_table(spark: SparkSession) -> DataFrame:
     """The built-in labelled table: url, blocked."""
     # hosts, paths and numbers of any length come with both labels alike, so that only the names tell
@@ -51,7 +61,7 @@ def seed_table(spark: SparkSession) -> DataFrame:
 def train(labelled: DataFrame, rounds: int = 250, rate: float = 20.0, decay: float = 1e-5) -> tuple[list[float], float]:
     """Weights and bias by gradient descent on the mean log loss of the two labels. Null urls count as empty, null labels teach nothing."""
     rows = labelled.where("blocked is not null").select(F.concat(host(F.col("url")), path(F.col("url"))).alias("u"), "blocked")
-    rows = rows.select(grams(F.col("u")).alias("g"), "blocked").limit(TABLE_ROWS + 1).collect()
+    rows = with_grams(rows, F.col("u")).select(F.col("__grams").alias("g"), "blocked").limit(TABLE_ROWS + 1).collect()
     if len(rows) > TABLE_ROWS:
         raise ValueError(f"the labelled table must have at most {TABLE_ROWS} rows")
     if not rows:
@@ -69,10 +79,9 @@ def train(labelled: DataFrame, rounds: int = 250, rate: float = 20.0, decay: flo
     return [round(x, 4) or 0 for x in w.tolist()], round(float(b), 4)
 
 
-def probability(text: Column, model: tuple[list[float], float]) -> Column:
-    """Of being blocked, from host and path."""
+def probability(each: Column, model: tuple[list[float], float]) -> Column:
+    """Of being blocked, from the n-grams of host and path."""
     weights = F.split(F.lit(",".join(map(str, model[0]))), ",").cast("array<double>")
-    each = grams(text)
     z = F.aggregate(each, F.lit(0.0), lambda s, k: s + F.element_at(weights, k + 1)) / F.sqrt(F.size(each)) + F.lit(model[1])
     return 1 / (1 + F.exp(-z))
 
@@ -98,7 +107,8 @@ def judge(pages: DataFrame, labelled: DataFrame, rules=RULES, threshold: float =
     name, says = rule_of(F.col("host"), F.col("path"), rules)
     found = parts.withColumn("rule", name).withColumn("says", says)
     text = F.concat("host", "path")
-    p = F.when(F.col("rule").isNull() & (F.length(text) > 0), probability(text, model))
-    found = found.withColumn("p_block", p)
+    asked = F.col("rule").isNull() & (F.length(text) > 0)
+    found = with_grams(found, F.when(asked, text))
+    found = found.withColumn("p_block", evaluated_once(F.when(asked, probability(F.col("__grams"), model))))
     verdict = F.coalesce("says", F.when(F.col("p_block") >= threshold, "block").otherwise("allow"))
     return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "p_block")
