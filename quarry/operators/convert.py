@@ -72,10 +72,10 @@ def recognised_text(files: DataFrame) -> DataFrame:
 
 
 def read_recognised(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataFrame:
-    """path, value of recognised text files of a folder; bytes that aren't valid UTF-8 are read as Windows-1252, the other common case."""
+    """path, value of recognised text files of a folder; bytes that aren't valid UTF-8 are read as Latin-1, the other common case."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
     text = F.try_validate_utf8(F.col("content").cast("string")) if charset.upper() == "UTF-8" else F.decode("content", charset)
-    return files.select("path", F.coalesce(text, F.decode("content", "windows-1252")).alias("value"))
+    return files.select("path", F.coalesce(text, F.decode("content", "iso-8859-1")).alias("value"))
 
 
 def recognised_documents(files: DataFrame, source: str) -> DataFrame:

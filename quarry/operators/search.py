@@ -19,6 +19,16 @@ def keyword_search(docs: DataFrame, query: str, text: str = "text", strict: bool
     return docs.where(compile_query(query, F.col(text), strict, factor))
 
 
+def matching_ids(docs: DataFrame, query: str, id_col: str = "doc_id", text: str = "text", strict: bool = True) -> DataFrame:
+    """Distinct ids of the matching rows alone; no other column is read than these two."""
+    return keyword_search(docs, query, text, strict).select(id_col).distinct()
+
+
+def first_rows(docs: DataFrame, order: str, n: int) -> DataFrame:
+    """The first ``n`` rows by ``order``; a top-n, not a sort of everything."""
+    return docs.orderBy(order).limit(n)
+
+
 def _flags(docs: DataFrame, groups: dict[str, str], text: str, keep: list[str]) -> tuple[DataFrame, dict[str, Column]]:
     """``docs`` with the terms found in a text, once a row, and each group's predicate on them."""
     found, hits = compile_groups(groups, F.col(text))

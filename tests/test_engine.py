@@ -348,6 +348,154 @@ def test_title_and_sample(spark):
     assert one != [r.doc_id for r in search.sample(many, "doc_id", 10, 4).collect()]
 
 
+def test_discovery(spark, tmp_path):
+    from quarry.sources import discovery as D
+
+    for x in ("a.json", "a.txt", ".hidden.json", "s/b.json", "s/t/c.json", "x.jsonl.gz", "s/batches/y.jsonl.gz", "s/other/z.jsonl.gz", "s/l.jsonl", "s/t/m.gz"):
+        (tmp_path / x).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / x).write_text("{}")
+    names = lambda paths: [p.split(str(tmp_path) + "/")[1] for p in paths]
+    root = str(tmp_path)
+    assert names(D.document_files(spark, root)) == ["a.json", "s/b.json"]
+    assert names(D.batch_files(spark, root)) == ["x.jsonl.gz", "s/batches/y.jsonl.gz"]
+    lines, single = D.dataset_files(spark, root)
+    assert names(lines) == ["s/l.jsonl", "s/batches/y.jsonl.gz", "s/other/z.jsonl.gz", "s/t/m.gz", "x.jsonl.gz"] and names(single) == ["a.json", "s/b.json", "s/t/c.json"]
+    for bad in (root, root + "/", root + "/out"):
+        with pytest.raises(ValueError, match="within"):
+            D.apart(root, bad)
+    D.apart(root, root + "_out")
+
+
+def test_filter_of_files(spark, tmp_path):
+    from quarry.sources import discovery as D
+
+    src = tmp_path / "in"
+    (src / "a").mkdir(parents=True)
+    (src / "a" / "1.json").write_text('{"title": ["Keep"], "paragraph": ["one", "two"]}')
+    (src / "2.json").write_text('{"title": "x", "paragraph": ["a SECRET thing"]}')
+    (src / "3.json").write_text("{broken")
+    (src / "l.jsonl").write_text('{"body": {"text": "fine"}}\n\nnot json\n{"content": {"text": "secret"}, "title": "t"}\n[1]\n')
+    got = D.filter_dataset(spark, str(src), str(tmp_path / "out"), ["secret"])
+    assert {k: got[k] for k in ("files_copied", "files_excluded", "batch_files_processed", "documents_kept", "documents_excluded", "documents_failed_parse")} == {"files_copied": 1, "files_excluded": 1, "batch_files_processed": 1, "documents_kept": 3, "documents_excluded": 1, "documents_failed_parse": 3}
+    assert got["matched_counts"] == {"secret": 2}
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out" / "lines")).collect()) == ["[1]", "not json", '{"body": {"text": "fine"}}']
+    assert spark.read.parquet(str(tmp_path / "out" / "documents")).first().value == '{"title": ["Keep"], "paragraph": ["one", "two"]}'
+
+
+def test_cursor_and_fetch(spark, tmp_path):
+    from quarry.sources import discovery as D
+
+    pages = {"*": ([{"id": "a", "v": "1"}, {"id": "b", "v": "2"}], "p1"), "p1": ([{"id": "b", "v": "2"}, {"id": "c", "v": None}], "p2"), "p2": ([{"id": "d", "v": "4"}], "p2")}
+    asked = []
+
+    def fetch(cursor):
+        asked.append(cursor)
+        if len(asked) == 3:
+            raise ConnectionError
+        return pages[cursor]
+
+    target = str(tmp_path / "rows")
+    with pytest.raises(ConnectionError):
+        D.read_cursor(spark, fetch, target, "id string, v string", "id", flush=2)
+    got = D.read_cursor(spark, fetch, target, "id string, v string", "id", flush=2)
+    assert asked == ["*", "p1", "p2", "p2"] and sorted(r.id for r in got.collect()) == ["a", "b", "c", "d"]
+    ids = spark.createDataFrame([("x",), ("y",), ("x",)], "doc_id string")
+    assert [tuple(r) for r in D.fetched(ids, {"x": "found"}.get).collect()] == [("x", "found")]
+
+
+def test_metadata_sources(spark, tmp_path):
+    from quarry.operators import metadata as M
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    driver = "org.apache.derby.jdbc.EmbeddedDriver"
+    rows = spark.createDataFrame([("1", "First", "A Name", "P", "2001", "10.1/x"), ("1", "Again", "A Name", "P", "2001", "10.1/x"), ("2", "Second", None, None, None, None)], "corpus_id string, title string, author string, publisher string, date string, doi string")
+    rows.coalesce(1).write.format("jdbc").options(url=url, dbtable="meta", driver=driver).save()
+    meta = M.read_jdbc(spark, url, "meta", driver=driver)
+    docs = spark.createDataFrame([("1", {"Abstract": "short", "References": "refs", "body": "text"}), ("2", {"Abstract": "", "body": "x"}), ("3", {"body": "none"})], "corpus_id string, sections map<string,string>")
+    got = {r.unique_id: r for r in M.packaged(docs, "s", meta, titled=True).collect()}
+    assert set(got) == {"1", "2"} and got["1"].title in ("First", "Again") and (got["1"].abstract, got["1"].references, got["1"].authors, got["1"].date) == ("short", "refs", ["A Name"], "2001")
+    assert got["1"].text == {"body": "text"} and got["2"].text == {"Abstract": "", "body": "x"} and got["2"].authors == [] and got["2"].date == "0"
+    (tmp_path / "ids.csv").write_text("a,b,c,d,e,f,id\n1,2,3,4,5,6,77\n1,2,3,4,5,6,77\n1,2,3,4,5,6, 78\n")
+    assert sorted(r.doc_id for r in M.read_csv_ids(spark, str(tmp_path / "ids.csv")).collect()) == ["77", "78"]
+
+
+def test_recognised_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("<title>Größe</title>".encode())
+    (tmp_path / "b.txt").write_bytes("<title>Größe</title>".encode("latin-1"))
+    (tmp_path / "c.bin").write_bytes(b"no")
+    assert {r.value for r in convert.read_recognised(spark, str(tmp_path)).collect()} == {"<title>Größe</title>"}
+
+
+def test_section_dataset(spark, tmp_path):
+    import json
+
+    from quarry.operators import workflow
+
+    body = "The study of the rivers and of the lakes was done for the first time in this region by us."
+
+    def raw(i, text):
+        ann = {"paragraph": json.dumps([{"start": 8, "end": 8 + len(text)}]), "section_header": json.dumps([{"start": 0, "end": 7}])}
+        return {"corpusid": i, "title": f"T{i}", "body": {"text": f"Methods\n{text}", "annotations": ann}}
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "0.json").write_text("\n".join(json.dumps(raw(i, body if i else "too short")) for i in range(3)) + "\nbroken\n")
+    one = workflow.section_dataset(spark, str(src), out, exclude="nothing like it", detail=True)
+    assert one["totals"]["documents_processed"] == 3 and one["totals"]["outcomes"]["fully_filtered"]["count"] == 1 and one["totals"]["previously_written"] == 0
+    assert json.loads((tmp_path / "out" / "sectionization_report.json").read_text()) == one
+    assert {r.corpusid: [(s.header, s.text) for s in r.sections] for r in workflow.written(spark, out).collect()} == {"1": [("methods", body)], "2": [("methods", body)]}
+    assert [r.line_number for r in spark.read.json(f"{out}/failures").collect()] == [4]
+    (src / "1.json").write_text(json.dumps(raw(9, body + " secret")) + "\n" + json.dumps(raw(10, body)) + "\n")
+    two = workflow.section_dataset(spark, str(src), out, exclude="secret")
+    assert two["totals"]["previously_written"] == 2 and two["totals"]["outcomes"]["excluded_by_pattern"]["count"] == 1 and workflow.written(spark, out).count() == 3
+    legacy = tmp_path / "old"
+    legacy.mkdir()
+    (legacy / "5.json").write_text(json.dumps({"response": {"docs": [{"corpus_id": ["5"], "title": ["L"], "abstract": [body], "paragraph": [body], "sectionheader": ["Results"]}]}}))
+    got = workflow.section_dataset(spark, str(legacy), str(tmp_path / "old_out"), pipeline="v1")
+    assert got["totals"]["outcomes"]["unfiltered"]["count"] == 1 and [s.header for s in workflow.written(spark, str(tmp_path / "old_out")).first().sections] == ["abstract", "results"]
+    with pytest.raises(LookupError):
+        workflow.section_dataset(spark, str(tmp_path / "old_out" / "report"), str(tmp_path / "x"), pipeline="v1")
+
+
+def test_registered_functions(spark):
+    from quarry.functions import registry
+
+    names = registry.register(spark)
+    assert spark.sql(f"SELECT {names[0]}('a &amp;  b') AS x").first().x == "a & b"
+    rows = spark.createDataFrame([("  3. Results  of\u00a0it ",), (None,)], "t string")
+    got = registry.add_columns(rows, "t", h="normalize_header", ok="string_valid").collect()
+    assert got[0].h == "3. results of it" and got[1].h == ""
+    assert rows.where(registry.keyword_match("t", "results AND NOT x")).count() == 1
+    assert search.matching_ids(rows, "results", "t", "t").count() == 1 and [r.t for r in search.first_rows(rows, "t", 1).collect()] == [None]
+
+
+@pytest.mark.parametrize(
+    ("raw", "expected"),
+    [
+        ("Introduction", "introduction"), ("INTRODUCTION", "introduction"), ("1 Introduction", "1. introduction"), ("1.2.3 Data sets", "1.2.3. data sets"), ("(ii) Model setup", "ii. model setup"), ("[4] Site", "4. site"),
+        ("A. Study area", "a. study area"), ("B) Sampling", "b) sampling"), ("VII. Discussion", "vii. discussion"), ("| Methods", "methods"), ("*# Methods", "methods"), ("Results:", "results"), ("'Results'", "results"), ("Results – part 2", "results - part 2"),
+        ("RES ULTS", "results"), ("D ISC USSION", "discussion"), ("IN TRODUC TION AND MET HODS", "in troduc tion and methods"), ("The Of And", "the of and"), ("Re sults", "re sults"), ("", ""), ("   ", ""), ("12", "12"), ("3.1", "3.1"), ("\u200bResults\ufeff", "results"),
+        ("R&amp;D", "r&d"), ("Re\u0301sume\u0301", "re\u0301sume\u0301"), ("R\u00e9sum\u00e9", "re\u0301sume\u0301"), ("... Summary ...", "summary"), ("x", "x"), ("5. ", "5"),
+    ],
+)
+def test_header_table(spark, raw, expected):
+    row = spark.createDataFrame([(raw,)], "h string")
+    one = row.select(T.normalize_header(F.col("h")).alias("h")).first().h
+    assert one == expected
+
+
+@pytest.mark.parametrize(
+    ("header", "markup", "noise"),
+    [
+        ("", True, True), ("iv", True, True), ("iv.", True, True), ("x", True, True), ("3.1", True, True), ("gis", True, True), ("map", True, True), ("a b c", True, True), ("results", False, False), ("table 3", False, True), ("fig. 2", False, True),
+        ("figure", False, True), ("keywords", False, True), ("author contributions", False, True), ("stable isotopes", False, True), ("stable isotopes of the water in lakes", False, False), ("toolbox", False, True), ("study 2020 1999 12", False, True), ("references", False, True),
+    ],
+)
+def test_header_noise_table(spark, header, markup, noise):
+    row = spark.createDataFrame([(header,)], "h string").select(T.structural_noise(F.col("h")).alias("m"), T.header_noise(F.col("h")).alias("n")).first()
+    assert (row.m, row.n) == (markup, noise)
+
+
 #: Queries of the engine that SQL can't say, each with the test that holds it.
 WITHOUT_SQL: set[str] = set()
 
