@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import normalize_edges
+from quarry.sources.discovery import listed
 
 #: Names that hold a run's own records, not documents.
 ARTIFACTS = ("batch_checkpoint.json", "duckdb_checkpoint.json", "failures.json", "filter_report.json", "judge_checkpoint.json", "judge_summary.json", "sectionization_report.json")
@@ -67,10 +69,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return ids.where("doc_id <> ''").distinct()
 
 
-def count_numeric_stems(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct numeric file stems under a folder, sorted."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_extract("path", r"([^/]+?)(\.[^/.]*)?$", 1).alias("stem"))
-    return files.where(F.col("stem").rlike(r"^\d+$")).distinct().orderBy("stem")
+def count_numeric_stems(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """Distinct numeric stems of the files under a folder, in folders whose names begin with ``prefix``, sorted; empty files count as well."""
+    names = [p.rsplit("/", 2)[-2:] for p in listed(spark, path)]  # a name per file
+    stems = sorted({n.split(".")[0] for folder, n in names if folder.startswith(prefix) and re.fullmatch("[0-9]+", n.split(".")[0])})
+    return spark.createDataFrame([(x,) for x in stems], "stem string")
 
 
 def write_documents(docs: DataFrame, path: str, id_col: str, shard: str, line: str) -> None:

@@ -496,6 +496,66 @@ def test_header_noise_table(spark, header, markup, noise):
     assert (row.m, row.n) == (markup, noise)
 
 
+def test_small_readers_and_writers(spark, tmp_path):
+    from quarry.sources import documents as D
+
+    (tmp_path / "s" / "x").mkdir(parents=True)
+    (tmp_path / "s" / "x" / "1.json").write_text('{"title": "T", "Results": " a\\n b ", "empty": "  "}')
+    (tmp_path / "s" / "failures.json").write_text('{"not": "read"}')
+    got = {(r.header, r.text) for r in D.read_sectionized(spark, str(tmp_path / "s")).collect()}
+    assert {h for h, _ in got} == {"title", "Results"}
+    (tmp_path / "n").mkdir()
+    for x in ("12.json", "12.txt", "7.json", "a1.json"):
+        (tmp_path / "n" / x).write_text("")
+    assert [r.stem for r in D.count_numeric_stems(spark, str(tmp_path / "n")).collect()] == ["12", "7"]
+    (tmp_path / "bad.json").write_text('{"corpusid": 1}\n{broken\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        D.read_strict(spark, str(tmp_path / "bad.json")).collect()
+    D.write_summary(spark.createDataFrame([(1, "x")], "b int, a string"), str(tmp_path / "one.json"))
+    assert (tmp_path / "one.json").read_text() == '{\n  "a": "x",\n  "b": 1\n}'
+    found = spark.createDataFrame([("p", ["b", "a"])], "path string, terms array<string>")
+    D.write_matches(found, str(tmp_path / "m"), paths=False)
+    assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "m")).collect()] == [("a; b",)]
+    D.write_report(spark.createDataFrame([("1", None)], "id string, sections string"), str(tmp_path / "r"))
+    assert [f.suffix for f in (tmp_path / "r").glob("part*")] == [".gz"] and spark.read.text(str(tmp_path / "r")).first().value == '{"id":"1"}'
+
+
+def test_span_cases(spark):
+    from quarry.sources import documents as D
+
+    cases = [None, "", "no json", '{"start": 1}', "[]", '[{"start": "3", "end": "5"}, {"start": 1, "end": 2}]', '[{"start": 1, "end": "x"}, {"start": 2, "end": 4}]', '[{"start": -1, "end": 4}]', '[{"start": null, "end": 4}]', '[{"start": 5, "end": 2}]']
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, a string").select("i", D.spans(F.col("a")).alias("s")).collect()
+    assert [[tuple(x) for x in r.s] for r in sorted(rows)] == [[], [], [], [], [], [(1, 2), (3, 5)], [(2, 4)], [], [], [(5, 2)]]
+
+
+def test_older_layout_and_titles(spark):
+    import json
+
+    text = "The title\nHead\nA paragraph of the text."
+    ann = {"paragraph": json.dumps([{"start": 15, "end": len(text)}]), "sectionheader": json.dumps([{"start": 10, "end": 14}]), "papertitle": json.dumps([{"start": 4, "end": 9}])}
+    docs = spark.createDataFrame([(1, None, None, {"text": text, "annotations": ann}), (2, "Own", {"text": text, "annotations": {}}, None)], "corpusid int, title string, body struct<text:string,annotations:map<string,string>>, content struct<text:string,annotations:map<string,string>>")
+    got = {r.corpusid: r for r in sections.normalise_schema(docs).collect()}
+    assert got["1"].title == "title" and [tuple(x) for x in got["1"].headers] == [(10, 14)] and len(got["1"].paragraphs) == 1
+    assert got["2"].title == "Own" and got["2"].text == text and got["2"].headers == []
+
+
+def test_new_ids_stream(spark, tmp_path):
+    from quarry.streaming.incremental import new_ids
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for k, ids in enumerate((["a", "b"], ["b", "c"])):
+        (src / f"{k}.json").write_text("".join(f'{{"id": "{i}"}}\n' for i in ids))
+        new_ids(spark, str(src), "id string", str(tmp_path / "cp"), str(tmp_path / "out"), "id")
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_exclusion_patterns():
+    assert search.compile_patterns("a.b, c ", ["# no", "", " d{1} "]) == ["a.b", "c", "d{1}"]
+    with pytest.raises(re.error):
+        search.compile_patterns("(")
+
+
 #: Queries of the engine that SQL can't say, each with the test that holds it.
 WITHOUT_SQL: set[str] = set()
 
