@@ -517,7 +517,7 @@ def test_small_readers_and_writers(spark, tmp_path):
     D.write_matches(found, str(tmp_path / "m"), paths=False)
     assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "m")).collect()] == [("a; b",)]
     D.write_report(spark.createDataFrame([("1", None)], "id string, sections string"), str(tmp_path / "r"))
-    assert [f.suffix for f in (tmp_path / "r").glob("part*")] == [".gz"] and spark.read.text(str(tmp_path / "r")).first().value == '{"id":"1"}'
+    assert {f.suffix for f in (tmp_path / "r").glob("part*")} == {".gz"} and spark.read.text(str(tmp_path / "r")).first().value == '{"id":"1"}'
 
 
 def test_span_cases(spark):
