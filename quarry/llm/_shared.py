@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.scratch import bounded_batches, forget, saved, shared_dir, split_join, tidy
 
-__all__ = ["bounded_batches", "buffers", "components", "forget", "saved", "shared_dir", "split_join", "table", "tidy"]
+__all__ = ["bounded_batches", "buffers", "components", "forget", "released", "saved", "shared_dir", "split_join", "table", "tidy"]
 
 #: Bytes of text that a Python worker handles as one numpy buffer.
 BUFFER_BYTES = 1 << 20
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which a worker, which lives on for later tasks, gives freed memory back to the system."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import _bytes
-from quarry.llm._shared import buffers, saved, split_join
+from quarry.llm._shared import buffers, released, saved, split_join
 
 WINDOW, COVERAGE, AGREEMENT = 5, 0.8, 0.8
 #: Template tokens of a window that must be words, not placeholders; a window of placeholders alone says nothing.
@@ -227,7 +227,7 @@ def _emit(ids: str, keep_from=None, lengths=None):
 def windows(rows: DataFrame, id_col: str, keep=None, lengths: list[int] | None = None) -> DataFrame:
     """(id, pos, h, slots, sort, first, size) of the lookups of ``rows`` (id, text); see :func:`_windows`."""
     src = rows.select(F.col(id_col).cast("long").alias(id_col), "text")
-    return src.mapInArrow(_emit(id_col, keep, lengths), f"{id_col} bigint, pos bigint, h bigint, slots array<bigint>, sort int, first bigint, size int")
+    return src.mapInArrow(released(_emit(id_col, keep, lengths)), f"{id_col} bigint, pos bigint, h bigint, slots array<bigint>, sort int, first bigint, size int")
 
 
 def _candidates(hits: DataFrame, items: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import saved
+from quarry.llm._shared import released, saved
 
 #: Symbols of 6 bits: 0 for a run of other characters, 1-26 for a-z, further letters on 27-63 by code point.
 BITS, ORDER = 6, 4
@@ -240,7 +240,7 @@ def train(rows: DataFrame) -> Identifier:
     All of them calibrate the rejection too: texts of each fold, equal ones in the same, by models of the other folds.
     """
     rows = rows.where("lang is not null and text is not null").select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))
-    counts = saved(rows.mapInArrow(_counts, "lang string, fold int, key int, n bigint").groupBy("lang", "fold", "key").agg(F.sum("n").alias("n")), "grams")
+    counts = saved(rows.mapInArrow(released(_counts), "lang string, fold int, key int, n bigint").groupBy("lang", "fold", "key").agg(F.sum("n").alias("n")), "grams")
     got = counts.toArrow()
 
     def fit(part: pa.Table) -> dict[str, Model]:
@@ -253,7 +253,7 @@ def train(rows: DataFrame) -> Identifier:
 
     out = Identifier(fit(got))
     folds = rows.sparkSession.sparkContext.broadcast([fit(got.filter(pc.not_equal(got.column("fold"), k))) for k in range(FOLDS)])
-    seen = rows.mapInArrow(_calibration(folds), "lang string, class int, bin int, n bigint").groupBy("lang", "class", "bin").agg(F.sum("n").alias("n"))
+    seen = rows.mapInArrow(released(_calibration(folds)), "lang string, class int, bin int, n bigint").groupBy("lang", "class", "bin").agg(F.sum("n").alias("n"))
     _limits([tuple(r) for r in seen.collect()], out)
     return out
 
@@ -272,7 +272,7 @@ def _scored(rows: DataFrame, model: Identifier) -> DataFrame:
             cols.insert(3, pa.array([max(0, len(encode(t or "")) - 1) if x[2] is not None else 0 for t, x in zip(texts, got, strict=True)], pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *cols], names=["doc_id", "extra", "lang_pred", "score", "nats", "symbols", "rejected"])
 
-    return rows.select("doc_id", "text", "extra").mapInArrow(score, f"doc_id bigint, extra {kind}, lang_pred string, score double, nats double, symbols bigint, rejected boolean")
+    return rows.select("doc_id", "text", "extra").mapInArrow(released(score), f"doc_id bigint, extra {kind}, lang_pred string, score double, nats double, symbols bigint, rejected boolean")
 
 
 def identify(docs: DataFrame, model: Identifier, extra: Column | None = None) -> DataFrame:
@@ -296,7 +296,7 @@ def keep_identified(docs: DataFrame, model: Identifier) -> DataFrame:
             texts = batch.column(names.index("text")).to_pylist()
             yield batch.filter(pa.array([not own.predict(t)[3] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(released(keep), docs.schema)
 
 
 __all__ = ["Identifier", "Model", "held_out", "identify", "keep_identified", "train"]

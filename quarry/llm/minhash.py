@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import _bytes
-from quarry.llm._shared import buffers, components, forget, saved, split_join
+from quarry.llm._shared import buffers, components, forget, released, saved, split_join
 
 #: Permutations for each band; each permutation gives two rows. A pair at the threshold misses all bands with probability MISS.
 PERMS, MISS = 3, 5e-6
@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     sequence is the one shingle. A repeated doc_id keeps one row for each occurrence with the same component; rows
     whose doc_id is null form no link and get component_id null and kept true. An empty table gives an empty result.
     """
-    sketch = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketches(bands_for(percent)), _SKETCH), "sketch")
+    sketch = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(_sketches(bands_for(percent))), _SKETCH), "sketch")
     by_set = ["n_shingles", "set_a", "set_b"]
     some = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = saved(some.groupBy(*by_set).agg(F.min("doc_id").alias("rep")), "classes")
@@ -172,7 +172,7 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     n = ids.count()
     ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    sets = saved(texts.mapInArrow(_sets, "doc_id bigint, shingles array<bigint>").where("size(shingles) > 0"), "sets")
+    sets = saved(texts.mapInArrow(released(_sets), "doc_id bigint, shingles array<bigint>").where("size(shingles) > 0"), "sets")
     if sets.count() > n:  # rows that repeat a doc_id
         sets = sets.dropDuplicates(["doc_id", "shingles"])
     return sets.select(F.col("doc_id").alias("id"), F.size("shingles").cast("long").alias("n"), "shingles")

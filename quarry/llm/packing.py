@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import saved
+from quarry.llm._shared import released, saved
 
 MAX_TOKENS, BUCKETS, BUDGET = 2048, 8, 32_768
-#: Words whose counts a Python worker keeps.
-MEMO = 1_000_000
+#: Words at which a Python worker's table of counts counts as full; it holds these, those before and a batch's.
+MEMO = 100_000
 _SPACE = "▁"
 _WORDS = re.compile(f"(?<=[^ {_SPACE}])[ {_SPACE}]")
 #: Rows of one window when places are dealt out.
@@ -48,20 +48,30 @@ class Lengths(dict):
         super().__init__()
         self.encode = sentencepiece.SentencePieceProcessor(model_file=path).encode
         self.space = len(self.encode("a ")) - len(self.encode("a"))
+        self.before: dict[str, int] = {}
 
     def counts(self, texts: list[str | None]) -> list[int]:
-        """Tokens of each text; the library is asked once for all words that are new."""
+        """Tokens of each text; the library is asked once for all words that are new.
+
+        Words that no text has held since the table last filled up are forgotten.
+        """
         parts = [self._words(t) if t else () for t in texts]
-        new = set().union(*parts).difference(self)
-        if len(self) + len(new) > MEMO:
+        if len(self) > MEMO:
+            self.before = dict(self)
             self.clear()
-            new = set().union(*parts)
-        words = list(new)
+        wanted = set().union(*parts).difference(self)
+        old = self.before.keys() & wanted
+        self.update((w, self.before[w]) for w in old)
+        words = list(wanted.difference(old))
         self.update(zip(words, map(len, self.encode(words, num_threads=1)), strict=True))
         self[""] = self.space
         get = self.__getitem__
         return [sum(map(get, p)) for p in parts]
 
+    def forget(self) -> None:
+        self.before = {}
+        self.clear()
+
     @staticmethod
     def _words(text: str) -> list[str]:
         return _WORDS.split(text) if "  " in text or text[0] == " " or _SPACE in text else text.split(" ")
@@ -80,8 +90,9 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
         own = _lengths(path)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.counts(batch.column(1).to_pylist()), pa.int64())], names=["doc_id", "n_tokens"])
+        own.forget()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n_tokens bigint")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), "doc_id bigint, n_tokens bigint")
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm._bytes import mix
-from quarry.llm._shared import buffers, saved, split_join
+from quarry.llm._shared import buffers, released, saved, split_join
 from quarry.llm.toxicity import tokens
 
 KINDS = ("email", "ip", "card", "phone")
@@ -253,7 +253,7 @@ def found_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int =
     """
     spark = docs.sparkSession
     digest = F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")
-    found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text").mapInArrow(_find, _FOUND), "pii")
+    found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest, "text").mapInArrow(released(_find), _FOUND), "pii")
     row = found.where("size(entities) > 0").select("text_md5", "entities", "terms")
     near = row.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p")).select("p.entity", "p.term").distinct()
     entity = row.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs")).where(F.col("entity_docs") >= support)
@@ -283,7 +283,7 @@ def found_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int =
         return bitmap(slot.selectExpr("shiftright(s, 6) as word", "shiftleft(1L, cast(s & 63 as int)) as bit"))
 
     send = spark.sparkContext.broadcast
-    words = docs.select("text").where("text is not null").mapInArrow(_words(send(of_terms(both))), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("term_docs"))
+    words = docs.select("text").where("text is not null").mapInArrow(released(_words(send(of_terms(both)))), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("term_docs"))
     pairs = split_join(both, words, ["term"], "left").withColumn("term_docs", F.greatest(F.coalesce("term_docs", F.lit(0)), "beside_docs"))
     pairs = saved(pairs.where((F.col("term_docs") >= support) & most("term_docs")).select("entity", "term", "entity_docs", "term_docs"), "pairs")
     if pairs.isEmpty():
@@ -293,7 +293,7 @@ def found_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int =
     texts = docs.where("text is not null").select(digest, "text")
     texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "text_md5", "left_semi")
     bits = bitmap(pairs.select("entity", "term").mapInArrow(_pair_bits, "word bigint, bit bigint"))
-    seen = saved(texts.mapInArrow(_together(send(of_terms(pairs)), send(bits)), _TOGETHER), "together")
+    seen = saved(texts.mapInArrow(released(_together(send(of_terms(pairs)), send(bits))), _TOGETHER), "together")
     told = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support)
     told = split_join(told, pairs, ["entity", "term"]).where(share(F.col("both"), "term_docs") >= disclosure).select("entity", "term")
     each = split_join(seen, told, ["entity", "term"]).select("text_md5", F.explode("spans").alias("s"))
