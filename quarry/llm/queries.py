@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, exact_dedup, langid, minhash, packing, pii, token_counts, toxicity, url_filters, warc
+from quarry.llm import bpe, decontam, exact_dedup, langid, minhash, packing, pii, spelling, token_counts, toxicity, url_filters, vector_codes, warc
 from quarry.llm._shared import table
 
 #: The vocabulary of op2 and op4; its place comes from the tokenizers' package unless ``quarry.tokenizer.path`` is set.
 TOKENIZER = "piece_bpe_32k.model"
+#: The vocabulary of op11; ``quarry.bytes.path`` names another place.
+BYTES = "byte_bpe_50k.json"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,12 +21,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def tokenizer(spark: SparkSession) -> str:
-    path = spark.conf.get("quarry.tokenizer.path", None)
+def tokenizer(spark: SparkSession, name: str = TOKENIZER, setting: str = "quarry.tokenizer.path") -> str:
+    path = spark.conf.get(setting, None)
     if not path:
         import public_tokenizers
 
-        path = str(public_tokenizers.path(TOKENIZER))
+        path = str(public_tokenizers.path(name))
     return path
 
 
@@ -70,13 +72,81 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe.encode(table(spark, sf_dir, "documents"), tokenizer(spark, BYTES, "quarry.bytes.path"), decoded=True)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, book = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(book)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_toxicity, op2_token_counts, op3_url_filters, op4_packing, op5_decontamination, op6_warc, op7_language, op8_minhash, op9_pii, op10_exact_dedup)
+    own = (op1_toxicity, op2_token_counts, op3_url_filters, op4_packing, op5_decontamination, op6_warc, op7_language, op8_minhash, op9_pii, op10_exact_dedup, op11_bpe, op12_spelling, op13_vector_codes)
     return {f.__name__: f for f in own}
 
 
+def _spelling_sql() -> str:
+    """Checksums bit by bit, near words by edit distance over all pairs of words, whose letters stand as single bytes."""
+    letters = "".join(map(chr, range(0xC0, 0x100)))
+    bytes_ = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).islower() and chr(c) != "'")[: len(letters)].replace("'", "''")
+    return rf"""
+            WITH RECURSIVE runs AS (
+              SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+            d AS (SELECT doc_id, w, count(*) AS n, hex(coalesce(doc_id::VARCHAR, '') || ':' || w) AS x FROM runs WHERE length(w) >= 6 GROUP BY 1, 2),
+            c AS (
+              SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i+1])::BIGINT)),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda y, k: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)), 4294967295) AS h FROM d),
+            v AS MATERIALIZED (
+              SELECT word, sum(n)::BIGINT AS n, translate(word, '{letters}', '{bytes_}') AS s FROM (
+                SELECT CASE WHEN h % 199 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM c) GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+            near AS MATERIALIZED (
+              SELECT a.word, a.n, b.word AS other, b.n AS m FROM v a JOIN v b ON length(b.s) BETWEEN length(a.s) - 1 AND length(a.s) + 1 AND a.s <> b.s WHERE levenshtein(a.s, b.s) = 1),
+            best AS (SELECT word, count(*) AS n_near, min({{'m': -m, 'o': other}}) AS b FROM near GROUP BY 1),
+            f AS MATERIALIZED (
+              SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 5 * v.n THEN b.o END AS form, CASE WHEN -b.m >= 5 * v.n THEN -b.m END AS form_n FROM v LEFT JOIN best USING (word)),
+            walk AS (SELECT word, word AS node, 0 AS steps FROM f UNION ALL SELECT walk.word, f.form, steps + 1 FROM walk JOIN f ON f.word = walk.node WHERE f.form IS NOT NULL),
+            root AS (SELECT word, arg_max(node, steps) AS root FROM walk GROUP BY 1)
+            SELECT f.word, form, root, n, n_near, form_n FROM f JOIN root USING (word)"""
+
+
+def _vector_sql(rounds: int = 2) -> str:
+    """Every distance to every entry; (distance, entry) as one number, so that ties go to the lower index."""
+    def assign(k: int) -> str:
+        square = "(x[i] - c[i]) * (x[i] - c[i])"
+        return f"""a{k} AS MATERIALIZED (
+              SELECT vec_id, label, part, any_value(x) AS x, min(list_sum(list_transform(range(1, len(x) + 1), lambda i: {square}))::BIGINT * 64 + e) AS m FROM p JOIN b{k} USING (part) GROUP BY ALL)"""
+
+    def update(k: int) -> str:
+        return f"""s{k} AS (
+              SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+                SELECT part, m % 64 AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{k} CROSS JOIN (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM p))) AS i) GROUP BY ALL) GROUP BY ALL),
+            b{k + 1} AS MATERIALIZED (SELECT part, e, coalesce(s{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN s{k} USING (part, e))"""
+
+    steps = ",\n            ".join([x for k in range(rounds) for x in (assign(k), update(k))] + [assign(rounds)])
+    return f"""
+            WITH k AS MATERIALIZED (
+              SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            p AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS x FROM k CROSS JOIN (SELECT unnest(range(16)) AS part)),
+            b0 AS MATERIALIZED (
+              SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x AS c FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)),
+            {steps},
+            o AS (SELECT vec_id, label, string_agg(printf('%02x', m % 64), '' ORDER BY part) AS code, sum(m // 64)::BIGINT AS error FROM a{rounds} GROUP BY ALL)
+            SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+              (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) FROM b{rounds}) AS codebooks_sha256 FROM o"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {
+        "op12_spelling": _spelling_sql(),
+        "op13_vector_codes": _vector_sql(),
         "op6_warc": """
             WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
             g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
