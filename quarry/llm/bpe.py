@@ -3,9 +3,9 @@
 By the locality of BPE a sequence of tokens is an encoding exactly if every adjacent pair is the encoding of its own
 bytes, so each prefix of a word has one last token: the longest vocabulary token that ends there and may follow the last
 token of what comes before it. An automaton with suffix links over the vocabulary lists the tokens that end at a place,
-longest first; pairs are tested once and kept. The back-pointers, a byte for each place, give the ids.
+longest first; pairs are tested once and kept. Following the last tokens back from the end gives the ids.
 
-Scale: one map-side pass, no shuffle. Tables are bounded; a word, however long, takes a byte for each of its bytes.
+Scale: one map-side pass, no shuffle. Tables are bounded; a word, however long, takes a number for each of its bytes.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import itertools
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -28,8 +29,10 @@ from quarry.llm._shared import released
 
 #: Splits a text before the merges (a fixed value of the vocabulary).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for a text of ASCII alone.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 #: Entries that a worker keeps of words, in two generations, and of pairs; a full table is begun anew.
-MEMO = 300_000
+MEMO, PAIRS = 300_000, 1_000_000
 #: Words that are held at once of a long text.
 BLOCK = 1 << 17
 _NEVER = 1 << 62
@@ -67,22 +70,23 @@ class Vocabulary:
 
 
 class Codec(dict):
-    """Words -> ids. A word is looked up, or encoded by the table of last tokens and kept."""
+    """Words -> ids, as the bytes of int32. A word is looked up, or encoded by the table of last tokens and kept."""
 
     def __init__(self, vocabulary: Vocabulary, newer: frozenset[int] = frozenset()):
         super().__init__()
         self.v = vocabulary
         self.tokens = ahocorasick.Automaton()
-        for t in vocabulary.ids:
-            if len(t) > 255:  # lengths are kept as bytes
-                raise ValueError("a token is longer than 255 bytes")
+        self.size: dict[int, int] = {}
+        self.text: dict[int, str] = {}
+        for t, i in vocabulary.ids.items():
             if self.merged(t) == [t]:  # others are never made
-                self.tokens.add_word(t, len(t))
+                self.tokens.add_word(t, i)
+                self.size[i], self.text[i] = len(t), t
         self.tokens.make_automaton()
         self.inside = {t[i : i + 2] for t in vocabulary.ids for i in range(len(t) - 1)}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.split = regex.compile(PATTERN)
+        self.pairs: dict[int, bool] = {}
+        self.older: dict[str, bytes] = {}
+        self.split, self.split_ascii = regex.compile(PATTERN), re.compile(ASCII_PATTERN, re.ASCII)
         self.special = re.compile("|".join(re.escape(t) for t in sorted(vocabulary.added, key=len, reverse=True))) if vocabulary.added else None
         self.newer, self.newer_chars = dict.fromkeys(newer, _SYMBOL), frozenset(map(chr, newer))
 
@@ -100,32 +104,40 @@ class Codec(dict):
                 order[i] = rank((parts[i], parts[i + 1]), _NEVER)
         return parts
 
-    def follows(self, a: str, b: str) -> bool:
-        """Whether token b may stand after token a."""
-        if (ok := self.pairs.get((a, b))) is None:
-            if len(self.pairs) >= MEMO:
-                self.pairs.clear()
-            ok = self.pairs[a, b] = self.merged(a + b) == [a, b]
+    def follows(self, a: int, b: int) -> bool:
+        """Whether token b may stand after token a; kept for the next time."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        x, y = self.text[a], self.text[b]
+        ok = self.pairs[a << 32 | b] = x[-1] + y[0] not in self.inside or self.merged(x + y) == [x, y]
         return ok
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        s = word.encode().decode("latin-1").translate(self.v.of_byte)
-        if s in self.tokens:
-            return (self.v.ids[s],)
-        last, inside, follows = bytearray(len(s) + 1), self.inside, self.follows  # the last token's length of each prefix
-        for end, size in self.tokens.iter(s):  # at each place the longest token first
+    def encode_word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():  # of these only the space stands for another character
+            s = word.replace(" ", self.v.of_byte[32])
+        else:
+            s = word.encode().decode("latin-1").translate(self.v.of_byte)
+        if (whole := self.tokens.get(s, None)) is not None:
+            return whole.to_bytes(4, "little")
+        last, size, known = [-1] * (len(s) + 1), self.size, self.pairs  # the last token of each prefix
+        for end, token in self.tokens.iter(s):  # at each place the longest token first
             end += 1
-            if not last[end]:
-                at = end - size
-                if not at or s[at - 1 : at + 1] not in inside or follows(s[at - last[at] : at], s[at:end]):
-                    last[end] = size
-        out, i, ids = [], len(s), self.v.ids
+            if last[end] < 0:
+                if at := end - size[token]:
+                    before = last[at]
+                    if (ok := known.get(before << 32 | token)) is None:
+                        ok = self.follows(before, token)
+                    if not ok:
+                        continue
+                last[end] = token
+        out, i = [], len(s)
         while i:
-            out.append(ids[s[i - last[i] : i]])
-            i -= last[i]
-        return tuple(reversed(out))
+            out.append(last[i])
+            i -= size[last[i]]
+        out.reverse()
+        return array("i", out).tobytes()
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word) or self.encode_word(word)
         if len(word) <= 64:
             if len(self) >= MEMO:  # what is still in use comes back from here
@@ -134,34 +146,34 @@ class Codec(dict):
             self[word] = ids
         return ids
 
-    def words(self, text: str) -> Iterator[Iterable[str]]:
+    def words(self, text: str) -> Iterator[list[str]]:
         """Blocks of the words of a text without added tokens."""
-        if not text.isascii() and not self.newer_chars.isdisjoint(text):  # spans of the text with stand-ins
+        ascii_only = text.isascii()
+        if not ascii_only and not self.newer_chars.isdisjoint(text):  # spans of the text with stand-ins
             found = (text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.newer)))
-        elif len(text) <= BLOCK:
-            yield self.split.findall(text)
-            return
         else:
-            found = (m.group() for m in self.split.finditer(text))
+            split = self.split_ascii if ascii_only else self.split
+            if len(text) <= BLOCK:
+                yield split.findall(text)
+                return
+            found = (m.group() for m in split.finditer(text))
         while block := list(itertools.islice(found, BLOCK)):
             yield block
 
-    def plain(self, text: str) -> Iterator[int]:
+    def plain(self, text: str) -> bytes:
         get = self.__getitem__
-        for block in self.words(text):
-            yield from itertools.chain.from_iterable(map(get, block))
+        return b"".join(b"".join(map(get, block)) for block in self.words(text))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text; added tokens inside it are their own ids. None: as empty."""
-        if not text:
-            return np.zeros(0, np.int32)
+        text = text or ""
         if not self.special or not self.special.search(text):
-            return np.fromiter(self.plain(text), np.int32)
+            return np.frombuffer(self.plain(text), np.int32)
         parts, at = [], 0
         for m in self.special.finditer(text):
-            parts += [np.fromiter(self.plain(text[at : m.start()]), np.int32), np.array([self.v.added[m.group()]], np.int32)]
+            parts += [self.plain(text[at : m.start()]), self.v.added[m.group()].to_bytes(4, "little")]
             at = m.end()
-        return np.concatenate([*parts, np.fromiter(self.plain(text[at:]), np.int32)])
+        return np.frombuffer(b"".join([*parts, self.plain(text[at:])]), np.int32)
 
     def decode(self, ids: Iterable[int | None]) -> str:
         """The text of ids; unknown ones and nulls give nothing, bytes that are no UTF-8 become U+FFFD."""
