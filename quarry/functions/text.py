@@ -9,12 +9,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
+from quarry.functions import noise
 from quarry.plans.keyword import balanced
 
 # Fixed values that results depend on.
-NO_SKIP = ("caption", "figure", "table", "authorcontribution", "authoraffiliation", "keyword", "disclaimer", "fig", "deleted", "http", "et al", "equation", "â¢", "geofluids", "scientificreports|plosone", "acsomega", "www.intechopen.com", "www.frontiersin.org", "dovepress", "advancesinmeteorology", "frontiersin", "author", "authorsummary", "publicintereststatement", "backclose", "viewarticleonline", "asshownin", "scheme", "box", "reviewer", "continuedfromprevpage", "informedconsentstatement", "references")
+NO_SKIP = ("caption", "figure", "table", "authorcontribution", "authoraffiliation", "keyword", "disclaimer", "fig", "deleted", "http", "et al", "equation", "â¢", "geofluids", "scientificreports|plosone", "acsomega", "www.intechopen.com", "www.frontiersin.org", "dovepress", "advancesinmeteorology", "frontiersin", "author", "authorsummary", "publicintereststatement", "backclose", "viewarticleonline", "asshownin", "scheme", "box", "reviewer", "continuedfromprevpage", "informedconsentstatement", "references")
 SKIP_REMAINING = ("acknowledgment", "acknowledgement", "workscited", "bibliography", "dataavailability", "codeavailability", "funding", "pre-publicationhistory", "ethicstatement", "ethicsstatement", "grantinformation", "competinginterests", "conflictsofinterest", "supplementarymaterial", "disclosurestatement", "abbreviation", "appendix", "howtoreference", "cited", "contributionstatement", "modelavailability", "codeavailability", "supportinginformation", "declarationofinterest", "citationinformation", "orcid", "notesoncontributors", "forpeerreview", "appendice", "nomenclature", "glossary", "openaccess")
 #: Variant of a header -> its canonical form.
 SYNONYMS = {
@@ -396,40 +397,34 @@ def normalize_edges(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-# A URL: a scheme, www or a domain with a path, then runs without white space or brackets and bracketed parts; it ends with
-# one of these or a character that isn't punctuation, and has two of them at least. Every run is possessive or of one
-# class, and bracketed parts are counted, so the matcher neither recurses with the length of a text nor tries it again.
-_RUN, _END = r"[^\s()<>]", r"[^\s`!()\[\]{};:'\".,<>?«»“”‘’]"
-_BRACKETS = rf"\((?:{_RUN}++|\({_RUN}++\)){{0,50}}+\)"
-_PARTS = rf"(?:{_RUN}*+{_BRACKETS})"
-URL = rf"(?i)\b(?:https?://|www\d{{0,3}}\.|[a-z0-9.\-]{{1,253}}\.[a-z]{{2,4}}/)(?:{_PARTS}{{1,50}}+{_RUN}*{_END}|{_RUN}++{_BRACKETS}{_PARTS}{{0,49}}+|{_BRACKETS}{_PARTS}{{1,49}}+|{_RUN}+{_END})"
-PHONE = r"\d{3}[-.]?\d{3}[-.]?\d{4}|\(\d{3}\)\s*\d{3}[-.]?\d{4}|\d{3}[-.]?\d{4}"
+@F.pandas_udf(BooleanType())
+def _dominant(text: pd.Series) -> pd.Series:
+    return text.map(noise.or_none(noise.dominant))
 
 
-def url_dominant(text: Column) -> Column:
-    """Whether URLs make up more than a third of a text."""
-    chars = F.aggregate(F.regexp_extract_all(text, F.lit(URL), F.lit(0)), F.lit(0), lambda n, u: n + F.length(u))
-    return chars > F.length(text) / 3
+@F.pandas_udf(StringType())
+def _stripped(text: pd.Series) -> pd.Series:
+    return text.map(noise.or_none(noise.strip))
 
 
-def replaced(text: Column, pattern: str, by: str) -> Column:
-    """What ``pattern`` finds is replaced wherever it occurs, one find after the other in the order of the text.
+@F.pandas_udf(ArrayType(StringType()))
+def _cleaned(parts: pd.Series) -> pd.Series:
+    return parts.map(noise.or_none(lambda x: noise.cleaned(list(x))))
 
-    A find that comes again is replaced again: it may stand anew where what was around it has gone.
-    """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.aggregate(found, text, lambda s, m: F.replace(s, m, F.lit(by)))
+
+def url_dominant(text: Column) -> Column:
+    """Whether URLs make up more than a third of a text."""
+    return _dominant(text)
 
 
 def strip_noise(text: Column) -> Column:
     """Without URLs and phone numbers, every place where their text occurs; runs of three or more other signs become a space."""
-    return replaced(replaced(replaced(text, URL, ""), PHONE, ""), "[^a-zA-Z0-9]{3,}", " ")
+    return _stripped(text)
 
 
 def clean_subsections(parts: Column) -> Column:
     """Subsections with their lines trimmed and joined; empty ones and those mostly of URLs go, others lose noise."""
-    flat = F.transform(parts, lambda p: F.array_join(F.transform(F.split(p, "\n"), normalize_edges), ""))
-    return F.transform(F.filter(flat, lambda t: (F.length(t) > 0) & ~url_dominant(t)), strip_noise)
+    return _cleaned(F.transform(parts, lambda p: F.array_join(F.transform(F.split(p, "\n"), normalize_edges), "")))
 
 
 def stopword_language(text: Column) -> Column:

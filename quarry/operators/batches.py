@@ -15,13 +15,15 @@ from datetime import UTC, datetime
 from pathlib import Path
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.judge import collect_batch, one_model, parse_reply
+from quarry.sources import files
 
 # Names of a run's files and of states.
-CHUNK, CHUNKS, MANIFEST, CHECKPOINT = "batch_requests.jsonl", "batch_requests_{:03d}.jsonl", "batch_manifest", "batch_submit_checkpoint.json"
+CHUNK, CHUNKS, INDEX, MANIFEST, CHECKPOINT = "batch_requests.jsonl", "batch_requests_{:03d}.jsonl", "batch_chunks.json", "batch_manifest", "batch_submit_checkpoint.json"
 ACTIVE, TERMINAL = ("pending", "running"), ("completed", "failed")
 STATE_OF = {"batch_ongoing": "ongoing", "batch_failed": "failed"}
 #: Bytes of a chunk file, under the service's cap of 10 MB; batches that may be active at once.
@@ -56,39 +58,44 @@ def read_json(path: str | Path, default: object) -> object:
 def write_chunks(packed: DataFrame, folder: str, line: str = "line", order: str = "custom_id") -> list[dict]:
     """Chunk files of request lines that ``pack_chunks`` has numbered; index, path, num_requests and num_bytes of each.
 
-    One chunk alone is batch_requests.jsonl, several are numbered from 000. A chunk is at most CHUNK_BYTES or one line,
-    and is written by the driver as it streams in; the lines of all chunks are never held together.
+    One chunk alone is batch_requests.jsonl, several are numbered from 000, with as many digits as it takes. A chunk is at
+    most CHUNK_BYTES or one line; a task writes it, under a temporary name, into ``folder``, a path or URI that the tasks
+    share. The driver gets a row for each file, and keeps these beside them for :func:`found_chunks`.
     """
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    out: list[dict] = []
-    now = None
-    for r in packed.select("chunk", line).orderBy("chunk", order).toLocalIterator(prefetchPartitions=True):
-        if not out or out[-1]["index"] != r.chunk:
-            if now:
-                now.close()
-            out.append({"index": r.chunk, "path": str(Path(folder) / CHUNKS.format(r.chunk)), "num_requests": 0, "num_bytes": 0})
-            now = open(out[-1]["path"], "wb")  # noqa: SIM115
-        data = (r[line].rstrip("\n") + "\n").encode()
-        now.write(data)
-        out[-1]["num_requests"] += 1
-        out[-1]["num_bytes"] += len(data)
-    if now:
-        now.close()
-    if len(out) == 1:
-        single = str(Path(folder) / CHUNK)
-        os.replace(out[0]["path"], single)
-        out[0] |= {"index": None, "path": single}
+    rows = packed.select(F.col("chunk").cast("long").alias("chunk"), F.col(order).alias("__order"), F.regexp_replace(line, r"\n+$", "").alias("__line"))
+    top = rows.agg(F.max("chunk")).first()[0]
+    if top is None:
+        return []
+    single = top == 0
+
+    def write(key: tuple, table: pa.Table) -> pa.Table:
+        index, lines = key[0].as_py(), table.sort_by("__order").column("__line").to_pylist()
+        data = "".join(f"{x}\n" for x in lines).encode()
+        path = f"{folder.rstrip('/')}/{CHUNK if single else CHUNKS.format(index)}"
+        files.put(path, data)
+        return pa.table({"index": pa.array([None if single else index], pa.int64()), "path": [path], "num_requests": pa.array([len(lines)], pa.int64()), "num_bytes": pa.array([len(data)], pa.int64())})
+
+    made = rows.groupBy("chunk").applyInArrow(write, "index bigint, path string, num_requests bigint, num_bytes bigint")
+    out = sorted((r.asDict() for r in made.collect()), key=lambda c: c["index"] or 0)
+    files.put(f"{folder.rstrip('/')}/{INDEX}", json.dumps(out).encode())
     return out
 
 
 def found_chunks(folder: str) -> list[dict]:
-    """The chunk files of a folder as :func:`write_chunks` describes them; numbered ones win over the single file."""
-    numbered = sorted(p for p in Path(folder).glob("batch_requests_*.jsonl") if re.fullmatch(r"batch_requests_\d{3}", p.stem))
-    files = [(int(p.stem[-3:]), p) for p in numbered] or [(None, p) for p in [Path(folder) / CHUNK] if p.exists()]
+    """The chunk files of a folder as :func:`write_chunks` describes them, by number; numbered ones win over the single file.
+
+    Only files of which the folder's own list doesn't know, or knows another size, are read to count their lines.
+    """
+    folder = folder.rstrip("/")
+    listed = {c["path"].rsplit("/", 1)[-1]: c for c in json.loads(files.get(f"{folder}/{INDEX}") or b"[]")}
+    names = files.names(folder)
+    numbered = sorted((int(m[1]), n) for n in names if (m := re.fullmatch(r"batch_requests_(\d{3,})\.jsonl", n)))
     out = []
-    for index, p in files:
-        with p.open("rb") as f:
-            out.append({"index": index, "path": str(p), "num_requests": sum(1 for x in f if x.strip()), "num_bytes": p.stat().st_size})
+    for index, name in numbered or [(None, n) for n in names if n == CHUNK]:
+        size, known = files.size(f"{folder}/{name}"), listed.get(name)
+        if known is None or known["num_bytes"] != size:
+            known = {"num_requests": sum(1 for x in (files.get(f"{folder}/{name}") or b"").split(b"\n") if x.strip()), "num_bytes": size}
+        out.append({"index": index, "path": f"{folder}/{name}", "num_requests": known["num_requests"], "num_bytes": size})
     return out
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import random
-from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,8 +34,10 @@ Document:
 SYSTEM = "You are a helpful assistant."
 #: Characters beyond its header that must be left for a section that is cut.
 LEAST_ROOM = 20
-#: Bytes of lines that one task packs.
-PACK_BYTES = 32 << 20
+#: Bytes of lines that one task packs; maps of runs that one task combines.
+PACK_BYTES, FAN = 32 << 20, 32
+#: What a run of lines does to the chunk before it, for each number of its lines that may go in there.
+_MAP = "array<struct<bytes: bigint, chunks: bigint, used: bigint>>"
 
 
 def ordered_sections(sections: Column, markers: tuple[str, ...] = PRIORITY) -> Column:
@@ -179,17 +179,80 @@ class _Packing:
         return out
 
 
-def pack_chunks(lines: DataFrame, size: str, group: str, order: str, most: int, part_bytes: int = PACK_BYTES) -> DataFrame:
+def _entry(runs: list[dict], used: int, most: int) -> dict:
+    """What a map says of a chunk that holds ``used`` bytes: its entry for the most lines that still fit."""
+    return runs[max((k for k, x in enumerate(runs) if used + x["bytes"] <= most), default=0) if used else 0]
+
+
+def _after(runs: list[dict], chunk: int, used: int, most: int) -> tuple[int, int]:
+    """Number of the chunk that is open after a run, and its bytes, from those before it; (0, 0) is a group's start."""
+    x = _entry(runs, used, most)
+    if x["used"] < 0:  # all lines go into the chunk before
+        return chunk, used + x["bytes"]
+    return chunk + x["chunks"] - (not used), x["used"]
+
+
+def _composed(first: list[dict], then: list[dict], most: int) -> list[dict]:
+    """The map of two neighbouring runs. It has an entry for each number of lines that may go into the chunk before, as they have."""
+    out = []
+    for x in first:
+        if x["used"] >= 0:
+            y = _entry(then, x["used"], most)
+            more = y["used"] < 0
+            out.append({"bytes": x["bytes"], "chunks": x["chunks"] + (0 if more else y["chunks"]), "used": x["used"] + y["bytes"] if more else y["used"]})
+        else:  # the first run goes into the chunk before as a whole, and maybe lines of the next
+            out += [{"bytes": x["bytes"] + y["bytes"], "chunks": y["chunks"], "used": y["used"]} for y in then if x["bytes"] + y["bytes"] <= most or not y["bytes"]]
+    return out
+
+
+def _levels(maps: DataFrame, kind: str, most: int, fan: int) -> list[DataFrame]:
+    """Tables (g, node, map) from the runs up to one map a group; each is made of at most ``fan`` maps of the one below."""
+    shape, levels, top = f"g {kind}, node bigint, map {_MAP}", [maps], maps.agg(F.max("node")).first()[0] or 0
+
+    def fold(key: tuple, table: pa.Table) -> pa.Table:
+        every = table.sort_by("node").column("map").to_pylist()
+        for runs in every[1:]:
+            every[0] = _composed(every[0], runs, most)
+        return pa.table({"g": pa.array([key[0].as_py()], table.schema.field("g").type), "node": pa.array([key[1].as_py()], pa.int64()), "map": pa.array([every[0]], table.schema.field("map").type)})
+
+    while top:
+        above = levels[-1].select("g", F.expr(f"node div {fan}").alias("parent"), "node", "map").groupBy("g", "parent").applyInArrow(fold, shape)
+        levels.append(saved(above, "chunk-maps"))
+        top //= fan
+    return levels
+
+
+def _begins(levels: list[DataFrame], kind: str, most: int, fan: int) -> DataFrame:
+    """g, node, chunk, used: what each run of lines finds, handed down from the groups' starts through the levels."""
+    def spread(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        chunk, used, out = table.column("chunk")[0].as_py(), table.column("used")[0].as_py(), []
+        for runs in table.column("map").to_pylist():
+            out.append((chunk, used))
+            chunk, used = _after(runs, chunk, used, most)
+        return table.select(["g", "node"]).append_column("chunk", pa.array([c for c, _ in out], pa.int64())).append_column("used", pa.array([u for _, u in out], pa.int64()))
+
+    start = levels[-1].select("g", "node", F.lit(0).cast("bigint").alias("chunk"), F.lit(0).cast("bigint").alias("used"))
+    for below in reversed(levels[:-1]):
+        parent = start.select(F.col("g").alias("__g"), F.col("node").alias("parent"), "chunk", "used")
+        own = below.withColumn("parent", F.expr(f"node div {fan}"))
+        both = own.join(parent, own["g"].eqNullSafe(parent["__g"]) & (own["parent"] == parent["parent"])).select("g", own["parent"], "node", "map", "chunk", "used")
+        start = saved(both.groupBy("g", "parent").applyInArrow(spread, f"g {kind}, node bigint, chunk bigint, used bigint"), "chunk-begins")
+    return start
+
+
+def pack_chunks(lines: DataFrame, size: str, group: str, order: str, most: int, part_bytes: int = PACK_BYTES, fan: int = FAN) -> DataFrame:
     """Adds chunk: greedy packing within a group, a new chunk when a line doesn't fit a chunk that holds something.
 
     Lines are range-partitioned by group and order, so a large group is packed by many tasks: each describes what its
-    run of lines does to a chunk with any number of bytes in it, the runs of a group are composed in order, and then each
-    task numbers its lines. What is gathered for a group is a few numbers for each line of a chunk and run.
+    run of lines does to a chunk with any number of bytes in it. These maps compose associatively and are combined by a
+    prefix scan of logarithmic depth, ``fan`` to one on the way up, and on the way down each run learns the chunk that it
+    finds; then each task numbers its lines. A task has ``fan`` maps at most, each of a few numbers for a line of a chunk.
     """
     names = lines.columns
     total = lines.agg(F.coalesce(F.sum(F.col(size).cast("long")), F.lit(0))).first()[0]
     parts = max(1, -(-total // part_bytes))
-    placed = lines.repartitionByRange(parts, group, order).withColumn("__part", F.spark_partition_id())
+    placed = lines.repartitionByRange(parts, group, order).withColumn("__part", F.spark_partition_id().cast("long"))
     placed = saved(placed.withColumn("__size", F.col(size).cast("long")), "lines")
 
     def sizes(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
@@ -198,30 +261,20 @@ def pack_chunks(lines: DataFrame, size: str, group: str, order: str, most: int,
 
     def describe(key: tuple, table: pa.Table) -> pa.Table:
         runs = _Packing(sizes(table)[1], most).summary()
-        return pa.table({"g": pa.array([key[0].as_py()], table.schema.field("g").type), "__part": pa.array([key[1].as_py()], pa.int32()), "map": pa.array([runs], pa.list_(pa.struct([("bytes", pa.int64()), ("chunks", pa.int64()), ("used", pa.int64())])))})
-
-    def compose(table: pa.Table) -> pa.Table:
-        table, chunk, used, begins = table.sort_by("__part"), 0, 0, []
-        for runs in table.column("map").to_pylist():
-            begins.append((chunk, used))
-            i = max((k for k, x in enumerate(runs) if used + x["bytes"] <= most), default=0) if used else 0
-            if runs[i]["used"] < 0:  # all of them go into the chunk before
-                used += runs[i]["bytes"]
-            else:
-                chunk, used = chunk + runs[i]["chunks"] - (not used), runs[i]["used"]
-        return pa.table({"g": table.column("g"), "__part": table.column("__part"), "__chunk": pa.array([c for c, _ in begins], pa.int64()), "__used": pa.array([u for _, u in begins], pa.int64())})
+        return pa.table({"g": pa.array([key[0].as_py()], table.schema.field("g").type), "node": pa.array([key[1].as_py()], pa.int64()), "map": pa.array([runs], pa.list_(pa.struct([("bytes", pa.int64()), ("chunks", pa.int64()), ("used", pa.int64())])))})
 
     kind = lines.schema[group].dataType.simpleString()
-    light = placed.select(F.col(group).alias("g"), "__part", F.col(order).alias(order), "__size")
-    maps = light.groupBy("g", "__part").applyInArrow(describe, f"g {kind}, __part int, map array<struct<bytes: bigint, chunks: bigint, used: bigint>>")
-    begins = maps.groupBy("g").applyInArrow(compose, f"g {kind}, __part int, __chunk bigint, __used bigint").withColumnRenamed("g", "__g")
+    light = placed.select(F.col(group).alias("g"), F.col("__part").alias("node"), F.col(order).alias(order), "__size")
+    maps = light.groupBy("g", "node").applyInArrow(describe, f"g {kind}, node bigint, map {_MAP}")
+    begins = _begins(_levels(saved(maps, "chunk-maps"), kind, most, fan), kind, most, fan)
+    begins = begins.select(F.col("g").alias("__g"), F.col("node").alias("__node"), F.col("chunk").alias("__chunk"), F.col("used").alias("__used"))
 
     def number(table: pa.Table) -> pa.Table:
         table, own = sizes(table)
         chunk, used = table.column("__chunk")[0].as_py(), table.column("__used")[0].as_py()
         return table.select(names).append_column("chunk", pa.array(_Packing(own, most).numbers(chunk, used), pa.int32()))
 
-    both = placed.join(begins, (placed[group].eqNullSafe(begins["__g"])) & (placed["__part"] == begins["__part"])).drop(begins["__part"])
+    both = placed.join(begins, placed[group].eqNullSafe(begins["__g"]) & (placed["__part"] == begins["__node"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema)
     return both.groupBy("__g", "__part").applyInArrow(number, f"{schema}, chunk int")
 
@@ -234,36 +287,6 @@ def collect_batch(output: DataFrame, manifest: DataFrame) -> DataFrame:
     return both.withColumn("status", status).drop("__o", "__m")
 
 
-def transient(error: Exception) -> bool:
-    """Whether to try again: the error has no status (a broken connection), 429, or one of 500 and more."""
-    status = getattr(error, "status_code", None)
-    status = getattr(getattr(error, "response", None), "status_code", None) if status is None else status
-    return status is None or status == 429 or status >= 500
-
-
-def run_requests(jobs: DataFrame, client: Callable[[str], str], retries: int = 4, pause: Callable[[float], None] = lambda s: None) -> DataFrame:
-    """jobs (key, prompt) with the client's reply; transient errors are tried again after 2^k seconds and up to half of one more, then recorded."""
-    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, errors = [], []
-            for prompt in batch.column(1).to_pylist():
-                reply = error = None
-                for k in range(retries + 1):
-                    try:
-                        reply, error = client(prompt), None
-                        break
-                    except Exception as e:
-                        error = str(e)
-                        if k == retries or not transient(e):
-                            break
-                        pause(2.0**k + random.uniform(0, 0.5))
-                out.append(reply)
-                errors.append(error)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(errors, pa.string())], names=["key", "reply", "error"])
-
-    return jobs.select("key", "prompt").mapInArrow(call, "key string, reply string, error string")
-
-
 def request_line(model: str, key: Column, prompt: Column, max_tokens: int = 512, temperature: float = 0.0) -> Column:
     """A line of a batch request file."""
     messages = F.array(*(F.struct(F.lit(role).alias("role"), text.alias("content")) for role, text in (("system", F.lit(SYSTEM)), ("user", prompt))))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry import section_queries, source_queries
+from quarry import section_queries, service_queries, source_queries
+from quarry.functions import noise
 from quarry.functions import text as T
 from quarry.operators import convert, judge, references, search, sections
 from quarry.sources import documents as sources
@@ -168,7 +169,7 @@ def id_buckets(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, stopword_language, judge_parse, judge_summary, chunk_packing, metadata_left_join, html_sections)
-    return {f.__name__: f for f in own} | section_queries.queries() | source_queries.queries()
+    return {f.__name__: f for f in own} | section_queries.queries() | source_queries.queries() | service_queries.queries()
 
 
 #: The URL pattern in the dialect of DuckDB's matcher, which needs no possessive runs.
@@ -244,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
         "url_phone_clean": """
             WITH a AS (SELECT doc_id, list_reduce(list_prepend(coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '{U}')), lambda acc, m: replace(acc, m, '')) AS t FROM documents),
             b AS (SELECT doc_id, list_reduce(list_prepend(t, regexp_extract_all(t, '{P}')), lambda acc, m: replace(acc, m, '')) AS t FROM a)
-            SELECT doc_id, md5(list_reduce(list_prepend(t, regexp_extract_all(t, '[^a-zA-Z0-9]{{3,}}')), lambda acc, m: replace(acc, m, ' '))) AS cleaned FROM b""".format(U=_URL.replace("'", "''"), P=T.PHONE),
+            SELECT doc_id, md5(list_reduce(list_prepend(t, regexp_extract_all(t, '[^a-zA-Z0-9]{{3,}}')), lambda acc, m: replace(acc, m, ' '))) AS cleaned FROM b""".format(U=_URL.replace("'", "''"), P=noise.PHONE.pattern),
         "reference_split": rf"""
             WITH a AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), chr(10), chr(10) || chr(10), 'g'), '\n\n+'), lambda x: trim(x) <> '') AS ls FROM documents),
             x AS (SELECT doc_id, len(ls) AS n, unnest(ls) AS t, unnest(range(len(ls), 0, -1)) AS back FROM a),
@@ -273,4 +274,4 @@ def oracle_sql() -> dict[str, str]:
         "metadata_left_join": """
             SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN (
               SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality DESC, toxic DESC) AS r FROM labels) l ON l.doc_id = d.doc_id AND r = 1""",
-    } | section_queries.oracle_sql() | source_queries.oracle_sql()
+    } | section_queries.oracle_sql() | source_queries.oracle_sql() | service_queries.oracle_sql()

@@ -7,10 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.requests import send_all
 from quarry.operators.search import matched_patterns
+from quarry.scratch import saved, split_join
+
+#: Requests a second that an id service takes (a fixed value of the service).
+FETCH_RATE = 180.0
+#: Blocks of files whose offsets are broadcast (some 200 bytes each).
+MOST_BLOCKS = 200_000
 
 
 def listed(spark: SparkSession, folder: str, depth: int | None = None) -> list[str]:
@@ -64,14 +71,15 @@ def apart(source: str, output: str) -> None:
 def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, line_number, value) of the lines of text files, numbered from 1 within a file; blank lines are numbered but left out.
 
-    A file is read as one row of its lines, so this suits shards, not single files larger than a task's memory.
+    A file that can be split is read in blocks, a gzip file as a whole; :func:`quarry.sources.members.gzip_lines` splits those too.
     """
     files = spark.read.text(paths, lineSep="\n").select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
     # lines of a block have consecutive ids; the counts of the blocks before give the rest
     count = files.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
-    before = count.alias("a").join(count.alias("b"), (F.col("a.path") == F.col("b.path")) & (F.col("b.block") < F.col("a.block")), "left")
-    offset = before.groupBy(F.col("a.path").alias("path"), F.col("a.block").alias("block"), F.col("a.first").alias("first")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    rows = files.join(F.broadcast(offset), ["path", "block"])  # a row per block of a file
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offset = saved(count.select("path", "block", "first", before.alias("before")), "block-offsets")
+    small = offset.count() <= MOST_BLOCKS  # a row per block of a file
+    rows = files.join(F.broadcast(offset), ["path", "block"]) if small else split_join(files, offset, ["path", "block"])
     return rows.where("trim(value) <> ''").select("path", (F.col("at") - F.col("first") + F.col("before") + 1).alias("line_number"), "value")
 
 
@@ -121,53 +129,16 @@ def filter_dataset(spark: SparkSession, source: str, output: str, patterns: list
     return report | {"matched_counts": dict(sorted(counts.items(), key=lambda x: (-x[1], x[0])))}
 
 
+def fetched(ids: DataFrame, client: Callable[[str], str | None], id_col: str = "doc_id", rate: float | None = FETCH_RATE, ledger: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(id, response) of the ids that the client knows, and (id, error) of those that it failed on; each id is asked for once.
 
-
-def read_cursor(spark: SparkSession, fetch: Callable[[str], tuple[list[dict], str]], target: str, schema: str, key: str, flush: int = 50, start: str = "*") -> DataFrame:
-    """Rows of a cursor service, once per ``key``, written to ``target`` every ``flush`` pages; a run that stops goes on at the last cursor written.
-
-    Pages come one after the other, as the cursor demands; each flush is a table of ``flush`` pages with the cursor that
-    follows them, so at most so many pages are held.
+    At most ``rate`` requests a second are sent by all tasks together; with ``ledger`` an interrupted run goes on where it was.
+    ``options`` are those of :func:`quarry.operators.requests.send_all`.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        done = spark.read.parquet(target).agg(F.max_by("__cursor", "__page"), F.max("__page")).first()
-        start, page = done[0], done[1]
-    else:
-        page = 0
-    names = [f.split()[0] for f in schema.split(", ")]
-    held: list[tuple] = []
-
-    def write(after: str, n: int) -> None:
-        spark.createDataFrame(held, schema).withColumns({"__cursor": F.lit(after), "__page": F.lit(n)}).write.mode("append").parquet(target)
-        held.clear()
-
-    cursor, waiting = start, 0
-    while True:
-        rows, after = fetch(cursor)
-        held += [tuple(r.get(c) for c in names) for r in rows]
-        page, waiting = page + 1, waiting + 1
-        end = after == cursor or not rows
-        if held and (end or waiting >= flush):
-            write(after, page)
-            waiting = 0
-        if end:
-            break
-        cursor = after
-    return spark.read.schema(f"{schema}, __cursor string, __page int").parquet(target).drop("__cursor", "__page").dropDuplicates([key])
-
-
-def fetched(ids: DataFrame, client: Callable[[str], str | None], id_col: str = "doc_id") -> DataFrame:
-    """(id, response) of the ids that the client knows; it is called once per id, in the tasks."""
-    import pyarrow as pa
-
-    def run(batches):
-        for batch in batches:
-            got = [(x, client(x)) for x in batch.column(0).to_pylist()]
-            got = [(x, r) for x, r in got if r is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.string()), pa.array([r for _, r in got], pa.string())], names=[id_col, "response"])
-
-    return ids.select(F.col(id_col).cast("string").alias(id_col)).distinct().mapInArrow(run, f"{id_col} string, response string")
+    keys = ids.select(F.trim(F.col(id_col).cast("string")).alias("key")).where("key <> ''")
+    got = send_all(keys.withColumn("prompt", F.col("key")), client, ledger, rate, **options)
+    got = saved(got, "fetched")
+    return got.where("reply is not null").select(F.col("key").alias(id_col), F.col("reply").alias("response")), got.where("error is not null").select(F.col("key").alias(id_col), "error")
 
 
 def counted(counts: DataFrame, name: str, number: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import normalize_edges
 from quarry.sources.discovery import listed
+from quarry.sources.members import gzip_lines
 
 #: Names that hold a run's own records, not documents.
 ARTIFACTS = ("batch_checkpoint.json", "duckdb_checkpoint.json", "failures.json", "filter_report.json", "judge_checkpoint.json", "judge_summary.json", "sectionization_report.json")
@@ -23,9 +24,16 @@ def bucket(doc_id: Column) -> Column:
     return F.when(F.length(doc_id) >= 2, F.right(doc_id, F.lit(2))).otherwise(doc_id)
 
 
-def read_shards(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Documents of (gzip) NDJSON shards in either layout, and the lines that don't parse. A gzip shard is one task: repartition after."""
-    lines = spark.read.text(paths).where("trim(value) <> ''").select(F.col("_metadata.file_path").alias("shard"), "value")
+def read_shards(spark: SparkSession, paths: str | list[str], by_member: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Documents of (gzip) NDJSON shards in either layout, and the lines that don't parse.
+
+    A gzip shard is one task: repartition after. ``by_member`` reads a list of gzip files by the members that they are made
+    of, in as many tasks as they have ranges.
+    """
+    if by_member:
+        lines = gzip_lines(spark, paths).select(F.col("path").alias("shard"), "value")
+    else:
+        lines = spark.read.text(paths).where("trim(value) <> ''").select(F.col("_metadata.file_path").alias("shard"), "value")
     rows = lines.select("shard", "value", F.from_json("value", RAW, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
     good = rows.where("d._corrupt is null").select("d.*", "shard").drop("_corrupt")
     return good, rows.where("d._corrupt is not null").select("shard", F.col("value").alias("line"))
