@@ -230,8 +230,8 @@ def _normalize_any(text: pd.Series) -> pd.Series:
 
 def normalize_text(text: Column) -> Column:
     """Canonical decomposition, entities, then :func:`normalize_ws`; null becomes empty. ASCII without & stays in the JVM."""
-    text = F.coalesce(text, F.lit(""))
-    return F.when(text.rlike(r"[^\x00-\x7f]|&"), _normalize_any(text)).otherwise(normalize_ws(text))
+    some = F.coalesce(text, F.lit(""))
+    return F.when(some.rlike(r"[^\x00-\x7f]|&"), _normalize_any(text)).otherwise(normalize_ws(some))
 
 
 def string_valid(text: Column) -> Column:
@@ -434,6 +434,6 @@ def stopword_language(text: Column) -> Column:
     def found(own: tuple[str, ...]) -> Column:
         return F.regexp_count(low, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(sorted(own, key=len, reverse=True))})(?!\p{{L}})"))
 
-    count = [F.struct(found(own).alias("n"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang")) for i, (lang, own) in enumerate(FREQUENT.items())]
-    best = F.array_max(F.array(*count))
-    return F.when(best["n"] > 0, best["lang"])
+    counts = F.array(*(found(own) for own in FREQUENT.values()))
+    most = F.array_max(counts)
+    return F.when(most > 0, F.element_at(F.array(*map(F.lit, FREQUENT)), F.array_position(counts, most).cast("int")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import section_queries, service_queries, source_queries
-from quarry.functions import noise
+from quarry.functions import noise, registry
 from quarry.functions import text as T
 from quarry.operators import convert, judge, references, search, sections
 from quarry.sources import documents as sources
@@ -163,12 +163,22 @@ def merged_tags(spark: SparkSession, d: str) -> DataFrame:
     return search.merge_tags(runs[0].unionByName(runs[1])).select("doc_id", F.array_join("groups", ";").alias("groups"))
 
 
+def sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    """Functions of the engine and a keyword search, each by its SQL name, over all documents."""
+    registry.register(spark)
+    registry.define_search(spark, "quarry_legal", GROUPS["legal"])
+    docs(spark, d).createOrReplaceTempView("quarry_documents")
+    return spark.sql("""
+        SELECT doc_id, quarry_string_valid(text) AS valid, quarry_substantive(quarry_normalize_ws(text)) AS substantive, quarry_stopword_language(text) AS lang_pred,
+          md5(quarry_strip_noise(text)) AS cleaned, quarry_legal(text) AS legal FROM quarry_documents""")
+
+
 def id_buckets(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).groupBy(sources.bucket(F.col("doc_id").cast("string")).alias("bucket")).agg(F.count(F.lit(1)).alias("docs"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, stopword_language, judge_parse, judge_summary, chunk_packing, metadata_left_join, html_sections)
+    own = (sql_functions, pending_anti_join, best_effort_title, batch_collect_status, job_keys, seeded_sample, merged_tags, id_buckets, keyword_search_and_or_not, keyword_search_factored, query_group_tags, query_group_incremental_counts, exclude_filter_kept, exclude_pattern_hits, substring_terms, id_lookup_semi, id_lookup_missing, first_wins_dedup, union_distinct_subqueries, string_valid, content_substantive, reference_score, url_phone_clean, reference_split, span_assign_headers, stopword_language, judge_parse, judge_summary, chunk_packing, metadata_left_join, html_sections)
     return {f.__name__: f for f in own} | section_queries.queries() | source_queries.queries() | service_queries.queries()
 
 
@@ -203,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
     final = f"""(a - CASE WHEN {words} > 15 AND ends_with({bare}, '.') AND a < 2 THEN 2 ELSE 0 END
               + CASE WHEN len(list_filter(string_split(t, ' '), lambda w: length(w) = 1 OR (length(w) = 2 AND ends_with(w, '.')))) / len(string_split(t, ' ')) > 0.10 THEN 3 ELSE 0 END)"""
     lang = " ".join(f"WHEN {c} > 0 AND {c} >= greatest({', '.join(count.values())}) THEN '{k}'" for k, c in count.items())
-    return {
+    out = {
         "keyword_search_and_or_not": f"SELECT doc_id, lang FROM documents WHERE {_has('license', 'und', 'la')} AND NOT {_has('the')}",
         "keyword_search_factored": f"SELECT doc_id FROM documents WHERE {_has(*(w.strip(chr(34)) for w in FACTORED.split(' OR ')))}",
         "query_group_tags": f"SELECT doc_id, string_agg(g, ';' ORDER BY g) AS groups FROM ({tags}) GROUP BY doc_id",
@@ -274,4 +284,7 @@ def oracle_sql() -> dict[str, str]:
         "metadata_left_join": """
             SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN (
               SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality DESC, toxic DESC) AS r FROM labels) l ON l.doc_id = d.doc_id AND r = 1""",
-    } | section_queries.oracle_sql() | source_queries.oracle_sql() | service_queries.oracle_sql()
+    }
+    parts = ("string_valid", "content_substantive", "stopword_language", "url_phone_clean")
+    out["sql_functions"] = "SELECT doc_id, valid, substantive, lang_pred, cleaned, legal FROM " + " JOIN ".join(f"({out[x]}) AS {x}{' USING (doc_id)' * (i > 0)}" for i, x in enumerate(parts)) + f" JOIN (SELECT doc_id, {group['legal']} AS legal FROM documents) AS g USING (doc_id)"
+    return out | section_queries.oracle_sql() | source_queries.oracle_sql() | service_queries.oracle_sql()

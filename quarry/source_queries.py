@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import registry
 from quarry.operators import batches, convert, judge, metadata, search, sections
 from quarry.plans import keyword
 from quarry.scratch import shared_dir
@@ -170,17 +171,29 @@ def group_file_tags(spark: SparkSession, d: str) -> DataFrame:
     return search.tag_groups(docs(spark, d), groups).select("doc_id", F.array_join("groups", ";").alias("groups"))
 
 
-def tei_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as TEI: an abstract, and a div for each line, whose head is missing, listed or plain."""
+def _tei_files(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as TEI: an abstract, and a div for each line, whose head is missing, listed or plain; a comment in each, and in every sixth a div with CDATA."""
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x != "")
     safe = lambda x: F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     head = lambda i: F.when(i % 3 == 0, F.concat(F.lit("<head n='1'>Part "), i, F.lit("</head>"))).when(i % 3 == 1, F.lit("<head>List of References</head>")).otherwise(F.lit(""))
-    div = lambda x, i: F.concat(F.lit("<div>"), head(i), F.lit("<p>It is the end of it. "), safe(x), F.lit("</p><p>References the of the and of</p></div>"))
-    xml = F.concat(F.lit("<TEI><teiHeader><abstract><div><p>About "), F.col("doc_id"), F.lit("</p></div></abstract></teiHeader><text><body>"), F.array_join(F.transform(lines, div), ""), F.lit("</body></text></TEI>"))
-    found = convert.tei_sections(docs(spark, d).select(F.col("doc_id").cast("string").alias("path"), xml.alias("value")))
+    inner = lambda i: F.when(i % 6 == 0, F.concat(F.lit("<div><head>Within "), i, F.lit("</head><p><![CDATA[The end of the < and of & it.]]></p></div>"))).otherwise(F.lit(""))
+    div = lambda x, i: F.concat(F.lit("<div>"), head(i), F.lit("<!-- <p>no text</p> --><p>It is the end of it. "), safe(x), F.lit("</p><p>References the of the and of</p>"), inner(i), F.lit("</div>"))
+    xml = F.concat(F.lit("<TEI xmlns='http://www.tei-c.org/ns/1.0'><teiHeader><abstract><div><p>About "), F.col("doc_id"), F.lit("</p></div></abstract></teiHeader><text><body>"), F.array_join(F.transform(lines, div), ""), F.lit("</body></text></TEI>"))
+    return docs(spark, d).select(F.col("doc_id").cast("string").alias("path"), xml.alias("value"))
+
+
+def tei_documents(spark: SparkSession, d: str) -> DataFrame:
+    found = convert.tei_sections(_tei_files(spark, d))
     return found.select(F.col("path").cast("long").alias("doc_id"), F.col("idx").cast("long").alias("idx"), "header", F.md5("text").alias("text_md5"))
 
 
+def tei_table_function(spark: SparkSession, d: str) -> DataFrame:
+    """The blocks of TEI documents by a table function over a table argument, in SQL alone."""
+    registry.register(spark)
+    _tei_files(spark, d).createOrReplaceTempView("quarry_tei_files")
+    return spark.sql("SELECT CAST(path AS BIGINT) AS doc_id, count(*) AS blocks, sum(size(paragraphs)) AS paragraphs, max(idx) AS last FROM quarry_tei_sections(TABLE(SELECT path, value FROM quarry_tei_files)) GROUP BY path")
+
+
 def recognised_documents(spark: SparkSession, d: str) -> DataFrame:
     """Recognised text with its tags; every seventh document lacks one."""
     tags = F.concat(F.when(F.col("doc_id") % 7 == 0, "").otherwise("<title>T</title>"), F.lit("<pubnumber>N"), F.col("doc_id"), F.lit("</pubnumber><author>A</author><author>B</author><abstract>Ab</abstract><publisher>P</publisher><pubyear>1999</pubyear>"))
@@ -247,7 +260,7 @@ def legacy_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (read_shards, shard_quarantine, failure_records, line_numbers, external_ids, exports_read, ids_source, first_write_wins, filter_dataset_report, filter_dataset_kept, metadata_csv, metadata_from_sections, group_file_tags, tei_documents, recognised_documents, batch_collect, judge_run_summary, kept_documents, request_lines, slugs_and_times, counts_with_total, legacy_outcomes)
+    own = (read_shards, shard_quarantine, failure_records, line_numbers, external_ids, exports_read, ids_source, first_write_wins, filter_dataset_report, filter_dataset_kept, metadata_csv, metadata_from_sections, group_file_tags, tei_documents, tei_table_function, recognised_documents, batch_collect, judge_run_summary, kept_documents, request_lines, slugs_and_times, counts_with_total, legacy_outcomes)
     return {f.__name__: f for f in own}
 
 
@@ -282,8 +295,13 @@ def oracle_sql() -> dict[str, str]:
             WITH l0 AS (SELECT doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: x <> '') AS ls FROM documents),
             l AS (SELECT doc_id, unnest(ls) AS t, unnest(range(len(ls))) AS i FROM l0),
             p AS (SELECT doc_id, i, CASE WHEN i % 3 = 0 THEN 'Part ' || i ELSE 'It is the end of it.' END AS header, CASE WHEN i % 3 = 0 THEN {normal("'It is the end of it. ' || t")} ELSE {normal('t')} END AS x FROM l WHERE i % 3 <> 1),
-            w AS (SELECT *, regexp_split_to_array(lower(x), '[^\p{{L}}]+') AS w FROM p)
-            SELECT doc_id, i AS idx, header, md5(CASE WHEN {english()} THEN x ELSE '' END) AS text_md5 FROM w UNION ALL SELECT doc_id, -1, 'abstract', md5('About ' || doc_id) FROM documents""",
+            w AS (SELECT *, regexp_split_to_array(lower(x), '[^\p{{L}}]+') AS w FROM p),
+            e AS (SELECT *, CASE WHEN {english()} THEN x ELSE '' END AS y, 'The end of the < and of & it.' AS z FROM w)
+            SELECT doc_id, i + (i + 5) // 6 AS idx, header, md5(CASE WHEN i % 6 <> 0 THEN y WHEN y = '' THEN z WHEN regexp_matches(y, '[.!?]$') THEN y || chr(10) || chr(10) || z ELSE y || ' ' || z END) AS text_md5 FROM e
+            UNION ALL SELECT doc_id, i + (i + 5) // 6 + 1, 'Within ' || i, md5(z) FROM e WHERE i % 6 = 0 UNION ALL SELECT doc_id, -1, 'abstract', md5('About ' || doc_id) FROM documents""",
+        "tei_table_function": """
+            WITH n AS (SELECT doc_id, len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: x <> '')) AS n FROM documents)
+            SELECT doc_id, 1 + n + (n + 5) // 6 AS blocks, 1 + 2 * n + 2 * ((n + 5) // 6) AS paragraphs, n + (n + 5) // 6 - 1 AS last FROM n""",
         "recognised_documents": "SELECT doc_id, 'N' || doc_id AS unique_id, '1999' AS date, 'A;B' AS authors, 'TABAbP1999 Alpha beta  N' || doc_id || ' ' || lang || ' endnext' AS body FROM documents WHERE doc_id % 7 <> 0",
         "batch_collect": """
             WITH l AS (SELECT doc_id, max(quality) AS q FROM labels GROUP BY 1), k AS (SELECT *, CASE WHEN doc_id % 11 = 0 THEN 'late' WHEN doc_id % 13 = 0 THEN 'no custom_id or no JSON' WHEN q = 1 THEN 'relevant' ELSE 'invalid decision' END AS what FROM l)

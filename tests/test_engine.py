@@ -322,6 +322,31 @@ def test_convert(spark):
     assert got.t == "One.\n\nTwo goes on."
 
 
+def test_tei_keeps_nesting_and_order(spark):
+    english = "It is the end of the story that was told."
+    good = f"""<?xml version="1.0"?><TEI xmlns="http://www.tei-c.org/ns/1.0" xmlns:t="u"><teiHeader><abstract/><abstract><p>Not this</p></abstract></teiHeader><text><body>
+        <div><head>One &amp; <hi>only</hi></head><p>{english}</p><div><head>Inner</head><p>In <![CDATA[<the> middle]]> of the text &eacute; and &nosuch;so on.</p></div><p>And of the end.</p></div>
+        <t:div><!-- <head>No</head> --><p>First sentence of it. {english}</p></t:div><div/><div><p>no sentence</p></div><div><head>Table 1</head><p>{english}</p></div></body>
+        <back><div><head>Back</head><p>{english}</p></div></back></text></TEI>"""
+    cut = f"<TEI><abstract><p> Short <b>one</b> </p><p>two</p></abstract><body><div><head>Kept</head><p>{english}</p></div><div><head>Cut</head><p>The start of the"
+    files = spark.createDataFrame([("a", good), ("b", cut), ("c", "no markup"), ("d", ""), ("e", None)], "path string, value string")
+    got = {(r.path, r.idx): (r.header, r.text) for r in convert.tei_sections(files).collect()}
+    assert got == {
+        ("a", 0): ("One & only", f"{english}\n\nIn <the> middle of the text e\u0301 and so on.\n\nAnd of the end."),
+        ("a", 1): ("Inner", "In <the> middle of the text e\u0301 and so on."),
+        ("a", 2): ("First sentence of it.", english),
+        ("b", -1): ("abstract", "Short one"),
+        ("b", 0): ("Kept", english),
+        ("b", 1): ("Cut", "The start of the"),
+    }
+    from quarry.functions import registry
+
+    registry.register(spark)
+    files.createOrReplaceTempView("tei_files")
+    rows = spark.sql("SELECT path, idx, head, size(paragraphs) AS n FROM quarry_tei_sections(TABLE(SELECT path, value FROM tei_files)) ORDER BY path, idx").collect()
+    assert [tuple(r) for r in rows] == [("a", 0, "One & only", 3), ("a", 1, "Inner", 1), ("a", 2, "", 1), ("a", 3, "", 0), ("a", 4, "", 1), ("a", 5, "Table 1", 1), ("b", -1, "abstract", 1), ("b", 0, "Kept", 1), ("b", 1, "Cut", 1)]
+
+
 def test_streaming_each_file_once(spark, tmp_path):
     from quarry.streaming.incremental import process_new
 
@@ -447,7 +472,16 @@ def test_registered_functions(spark):
     from quarry.functions import registry
 
     names = registry.register(spark)
-    assert spark.sql(f"SELECT {names[0]}('a &amp;  b') AS x").first().x == "a & b"
+    assert spark.sql("SELECT quarry_normalize_text('a &amp;  b') AS x").first().x == "a & b"
+    texts = ["1. Results  and Discussion", "see http://a.b/cd, 555-1234 now", "Smith, J. (2001). Nature 12: 3-4. doi 10.1000/x", None, "", "the cat and the dog of it's", "IV. M\u00e9thodes \\ 'q' & x", "le chat et la der die das und"]
+    some = spark.createDataFrame([(t,) for t in texts], "t string")
+    some.createOrReplaceTempView("some_texts")
+    for name, f in registry.COLUMNS.items():  # in SQL as in Python
+        assert f"quarry_{name}" in names and [r.x for r in spark.sql(f"SELECT quarry_{name}(t) AS x FROM some_texts").collect()] == [r.x for r in some.select(f(F.col("t")).alias("x")).collect()]
+    registry.define_search(spark, "wet", '(flood* OR "the dog") AND NOT nature')
+    assert [r.x for r in spark.sql("SELECT coalesce(wet(t), false) AS x FROM some_texts").collect()].count(True) == 1
+    plan = spark.sql("SELECT quarry_string_valid(t) FROM some_texts")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "regexp_extract_all" in plan  # inlined, no call is left
     rows = spark.createDataFrame([("  3. Results  of\u00a0it ",), (None,)], "t string")
     got = registry.add_columns(rows, "t", h="normalize_header", ok="string_valid").collect()
     assert got[0].h == "3. results of it" and got[1].h == ""
@@ -536,6 +570,31 @@ def test_new_ids_stream(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
 
 
+def test_first_wins_over_runs(spark, tmp_path):
+    import json
+    import time
+
+    from quarry.streaming import first_wins as W
+
+    src, target, schema = tmp_path / "in", str(tmp_path / "out"), "id string, shard string, line int, title string, score double, tags array<string>"
+    src.mkdir()
+
+    def run(name, rows, **options):
+        (src / name).write_text("".join(json.dumps(dict(zip(("id", "shard", "line", "title", "score", "tags"), r, strict=True))) + "\n" for r in rows))
+        W.collect(spark, str(src), schema, "id", ["shard", "line"], str(tmp_path / options.pop("cp", "cp")), target, **options)
+        return {r.id: (r.title, r.score, r.tags) for r in W.current(spark, target, "id").collect()}
+
+    assert run("1.json", [("a", "s2", 1, "later", 1.0, ["x"]), ("a", "s1", 9, "first", None, ["y", None]), (None, "s", 1, "none", 1.0, ["x"]), ("b", "s1", 2, "b", 2.0, None)]) == {"a": ("first", None, ["x", "y"]), "b": ("b", 2.0, [])}
+    assert run("2.json", [("a", "s0", 1, "late shard", 3.0, ["z"]), ("b", "s0", 1, "again", 3.0, []), ("c", "s1", 1, None, 4.0, ["x"])]) == {"a": ("first", None, ["x", "y", "z"]), "b": ("b", 2.0, []), "c": (None, 4.0, ["x"])}
+    files = len(list((tmp_path / "out").iterdir()))
+    assert run("3.json", [("a", "s0", 2, "a third time", 3.0, ["x"])])["a"] == ("first", None, ["x", "y", "z"])
+    assert spark.read.parquet(f"{target}/batch={files}").count() == 0  # nothing new: no update
+    target = str(tmp_path / "out2")
+    run("4.json", [], cp="cp2", ttl=1000)
+    time.sleep(1.5)  # what is forgotten is new again
+    assert run("5.json", [("a", "s9", 1, "new", 5.0, ["q"])], cp="cp2", ttl=1000)["a"] == ("new", 5.0, ["q"])
+
+
 def test_exclusion_patterns():
     assert search.compile_patterns("a.b, c ", ["# no", "", " d{1} "]) == ["a.b", "c", "d{1}"]
     with pytest.raises(re.error):
