@@ -15,9 +15,31 @@ from quarry.functions.text import evaluated_once
 
 BUCKETS, SIZES, TABLE_ROWS = 32_768, (3, 4, 5), 10_000
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: Names of sites by common words, none of them from a table that is judged; the labelled table holds some addresses of each.
-BLOCKED = "big-casino casino-royal grand-casino slots-casino casino-bonus bets-online sport-bets bets-live betting-tips free-slots jackpot-slots mega-jackpot poker-win poker-night lotto-win win-prize adult-pics adult-video adult-chat adult-cams sexy-girls sex-cams hot-girls porn-tube free-porn xxx-video xxx-cams escort-girls nude-pics spam-mail link-spam bulk-spam spam-bot seo-spam link-farm click-farm free-pills diet-pills pills-shop buy-pills cheap-viagra viagra-online cheap-meds cheap-replica replica-watches payday-loans fast-cash easy-money warez-crack keygen-crack serial-keygen torrent-warez ads-server popup-ads banner-ads ads-click track-pixel track-click web-tracker user-track ad-track free-iphone free-gift free-coins phish-login login-verify malware-kit trojan-kit fake-bank fake-login crypto-doubler"
-ALLOWED = "mountain library news river garden physics docs kernel school weather museum city-hall market-square farm-shop open-data free-software online-library night-sky video-archive bank-holiday mail-archive anders chemie lingua recetas cuisine voyage reise garten musik biblioteca noticias ciencia historia the this that with there their other mother father brother northern southern thinking theatre theory thesis thought through health earth month tenth worth north south truth youth growth length strength nation station fiction action section motion question education information tradition foundation translation edition collection direction population generation table stable cable possible readable notable vegetable double morning evening reading writing building painting cooking running hiking fishing spring string engine inner winter water letter paper summer dinner member number order border under winner singer teacher farmer baker hand land sand island england ireland finland window wonder thunder kingdom friend legend second weekend house home street road bridge village town county country world forest field valley harbour coast beach ocean lake stone tree flower apple orange bread cheese coffee kitchen recipe restaurant hotel travel train railway airport bicycle car engineering science chemistry biology astronomy geology mathematics statistics history geography philosophy language grammar dictionary music concert orchestra guitar piano opera dance film cinema photo camera art gallery sculpture poetry novel story book books author journal magazine newspaper radio letters doctor hospital clinic nurse dental law court council parliament government minister president election vote party union company office business trade industry factory finance insurance bank tax budget computer software hardware network server database code program developer linux python compiler open-source data cloud robot sensor energy solar wind power climate nature animal birds horse cat dog football tennis cricket swimming cycling chess puzzle games toys children family parents student college university research lab institute academy project community forum wiki help support contact about store market shop schule kirche strasse stadt wasser arbeit zeitung wetter freiheit wissenschaft geschichte sprache verein bahnhof rathaus kinder freunde bauern berge wandern kochen lesen heimat ecole eglise mairie maison jardin musee histoire sciences sante marche boulangerie fromage bonjour lumiere montagne riviere ville enfants escuela iglesia ciudad mercado museo teatro musica salud cocina viaje montana playa familia trabajo deporte periodico gobierno camino book-shop farm-house green-farm fish-market track-record race-track music-track free-press free-speech free-time winter-sports win-win online-course online-shop video-lessons photo-club night-train royal-society cash-book adult-education link-list click-here bonus-track login-help bank-statement gift-shop live-music cheap-flights hot-springs diet-advice fast-train easy-reader"
+#: Words of the labelled table by kinds of sites. They were written down from what such sites are about, without the tables that are judged.
+BLOCKED = {
+    "gambling": "poker roulette jackpot lottery blackjack betting wager bingo slots dice baccarat sportsbook",
+    "medicine": "viagra cialis steroid opioid painkiller slimming tramadol botox pharmacy",
+    "sex": "porn sex nude escort erotic webcam fetish hentai milf",
+    "malware": "trojan malware keylogger phishing exploit ransomware botnet rootkit",
+    "piracy": "warez torrent crack keygen serial cheats",
+    "fraud": "payday loan doubler giveaway prize pyramid scam inheritance",
+    "counterfeit": "replica knockoff fake passport diploma",
+    "advertising": "banner popup pixel beacon affiliate adserver telemetry retarget",
+    "mass mail": "mailer backlinks clickbait bulkmail harvester linkexchange",
+}
+ALLOWED = {
+    "nature": "mountain river garden forest valley coast ocean lake stone tree flower weather island desert",
+    "town": "museum market school station harbour village bridge street library hospital church theatre parish",
+    "learning": "physics history science grammar algebra lecture thesis dictionary archive essay lesson",
+    "home": "kitchen recipe bread supper window cottage knitting furniture painting bicycle family children",
+    "state": "council parliament ministry census statute court treaty election passports embassy",
+    "software": "kernel compiler editor manual forum patch source package browser database",
+    "arts": "poem novel orchestra sculpture gallery opera sonata cinema festival ballet",
+    "work": "carpenter bakery nursery dairy mill shipyard union factory office workshop",
+    "german": "garten wetter schule kirche stadt wasser zeitung verein bahnhof rathaus wandern sprache",
+    "french": "jardin ecole eglise mairie musee cuisine voyage marche boulangerie lumiere riviere",
+    "spanish": "biblioteca noticias ciencia escuela iglesia mercado salud montana playa periodico camino",
+}
 
 
 def host(url: Column) -> Column:
@@ -50,12 +72,21 @@ def with_grams(rows: DataFrame, text: Column) -> DataFrame:
     return rows.withColumn("__chars", evaluated_once(characters(text))).withColumn("__grams", evaluated_once(grams(F.col("__chars")))).drop("__chars")
 
 
+def names(kinds: dict[str, str]) -> list[list[str]]:
+    """The words of each site's name: every word alone, and with the next and the next but one of its kind."""
+    out = []
+    for words in map(str.split, kinds.values()):
+        for i, w in enumerate(words):
+            out += [[w], [w, words[(i + 1) % len(words)]], [words[(i + 2) % len(words)], w]]
+    return out
+
+
 def seed_table(spark: SparkSession) -> DataFrame:
-    """The built-in labelled table: url, blocked."""
+    """The built-in labelled table: url, blocked, words (of the site's name)."""
     # hosts, paths and numbers of any length come with both labels alike, so that only the names tell
-    forms = ("http://{}.test/en/{}", "https://www.{}.com/de/{}.html", "https://blog.{}.org/fr/{}/", "http://m.{}.net/es/{}")
-    rows = [(f.format(name, i * i * 7919 % 10 ** (1 + i % 4)), y) for y, names in ((1, BLOCKED), (0, ALLOWED)) for i, name in enumerate(names.split()) for f in forms]
-    return spark.createDataFrame(rows, "url string, blocked int")
+    forms = ("http://{}.com/", "https://www.{}.net/index.html", "https://{}.org/a/{}", "http://shop.{}.info/items/{}.html", "https://{}.co/p?id={}")
+    rows = [(f.format("-".join(ws), i * i * 7919 % 10 ** (1 + i % 4)), y, ws) for y, kinds in ((1, BLOCKED), (0, ALLOWED)) for i, ws in enumerate(names(kinds)) for f in forms]
+    return spark.createDataFrame(rows, "url string, blocked int, words array<string>")
 
 
 def train(labelled: DataFrame, rounds: int = 250, rate: float = 20.0, decay: float = 1e-5) -> tuple[list[float], float]:
