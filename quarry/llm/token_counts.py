@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 CHUNK = 1 << 16
-#: Entries that a worker keeps of words and of transitions; a full table is begun anew.
+#: Entries that a worker keeps of words, and of transitions and of pairs of tokens each; a full table is begun anew.
 MEMO, TRANSITIONS = 1_000_000, 1_000_000
 LIMIT = 4096
 _NEVER = 1 << 62
@@ -76,6 +76,8 @@ class Transducer:
         if not ok or a is None or a[-1] + b[0] not in self.inside:
             return ok
         if (ok := self.pairs.get((a, b))) is None:
+            if len(self.pairs) >= TRANSITIONS:
+                self.pairs.clear()
             ok = self.pairs[a, b] = self.merged(a + b) == [a, b]
         return ok
 
