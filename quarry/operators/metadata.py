@@ -29,9 +29,15 @@ def read_csv_ids(spark: SparkSession, path: str, position: int = 6) -> DataFrame
     return rows.select(F.trim(F.col(f"`{rows.columns[position]}`")).alias("doc_id")).where("doc_id <> ''").distinct()
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, key: str = "corpus_id", **options: str) -> DataFrame:
-    """A metadata table of a database, one row per key; read once and in parallel where ``options`` partition it."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().dropDuplicates([key])
+def read_jdbc(spark: SparkSession, url: str, table: str, key: str = "corpus_id", order: tuple[str, ...] = (), **options: str) -> DataFrame:
+    """A metadata table of a database, one row per key; read once and in parallel where ``options`` partition it.
+
+    Of rows with one key the least by ``order``, then by all columns in their order, nulls first, so every run gives the same.
+    """
+    rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    every = F.struct(*rows.columns)
+    one = rows.groupBy(key).agg(F.min_by(every, F.struct(*order, every)).alias("__m"))
+    return one.select(*(F.col(f"__m.{c}").alias(c) for c in rows.columns))
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -54,8 +60,8 @@ def _taken(sections: Column, name: str) -> Column:
 def packaged(docs: DataFrame, source: str, meta: DataFrame | None = None, key: str = "corpus_id", titled: bool = False) -> DataFrame:
     """Documents (``key``, sections: map of header to text) in the form of ``FIELDS``.
 
-    Without ``meta`` title, abstract and references are taken out of the sections (lower-case headers). With it the first
-    row's title, author, publisher, date and doi count, documents without a row are left out, and with ``titled`` the
+    Without ``meta`` title, abstract and references are taken out of the sections (lower-case headers). With it the
+    title, author, publisher, date and doi of the least row of a key count, documents without a row are left out, and with ``titled`` the
     capitalised Abstract and References are taken out of the sections; otherwise those keep everything and the abstract
     and authors come from ``meta`` as well.
     """
@@ -68,7 +74,7 @@ def packaged(docs: DataFrame, source: str, meta: DataFrame | None = None, key: s
     else:
         have = set(meta.columns)
         get = lambda c, default="": F.coalesce(F.col(f"__m.{c}").cast("string"), F.lit(default)) if c in have else F.lit(default)
-        one = meta.groupBy(F.col(key).cast("string").alias(key)).agg(F.first(F.struct(*meta.columns)).alias("__m"))
+        one = meta.groupBy(F.col(key).cast("string").alias(key)).agg(F.min(F.struct(*meta.columns)).alias("__m"))
         rows = docs.withColumn(key, F.col(key).cast("string")).join(one, key)
         kept = F.map_filter(sections, lambda k, v: ~k.isin("Abstract", "References") | (v == "")) if titled else sections
         people = authors(F.col("__m.authors")) if "authors" in have else F.when(get("author") != "", F.array(get("author"))).otherwise(F.array().cast("array<string>"))

@@ -321,11 +321,13 @@ def audit(docs: DataFrame, done: DataFrame, sample: int = 0, seed: int = 0, engl
     """
     if sample:
         docs = sampled(docs, "corpusid", sample, seed)
-    truth = docs.select("corpusid", _true_sections("text", "headers", "paragraphs").alias("truth"))
-    written = done.where("size(sections) > 0").select("corpusid", T.normalize_text(F.array_join(F.transform("sections", lambda s: s["text"]), " ")).alias("written"))
+    # joined before Python sees a row, so that tables bucketed by corpusid are joined as they lie
+    both = docs.select("corpusid", "text", "headers", "paragraphs").join(done.where("size(sections) > 0").select("corpusid", "sections"), "corpusid")
+    written = T.normalize_text(F.array_join(F.transform("sections", lambda s: s["text"]), " "))
+    both = both.select("corpusid", _true_sections("text", "headers", "paragraphs").alias("truth"), written.alias("written"))
     # the written text meets the probes of a document in one row, and only the verdicts are unfolded
     judged = F.transform("truth", lambda s: F.struct(*(s[c].alias(c) for c in ("idx", "raw", "chars", "words")), F.array_join(s["paras"], " ").alias("content"), ((s["probe"] != "") & F.contains(F.col("written"), s["probe"])).alias("present")))
-    rows = truth.join(written, "corpusid").select("corpusid", F.inline(judged))
+    rows = both.select("corpusid", F.inline(judged))
     rows = rows.withColumn("present", F.coalesce("present", F.lit(False)))
     rows = T.with_canonical_header(rows, "raw")
     reason = F.when(~F.col("present"), missing_reason(F.col("raw"), F.col("header"), F.col("content"), english))

@@ -63,12 +63,12 @@ def raw_documents(spark: SparkSession, d: str) -> DataFrame:
     return made.select(F.col("doc_id").alias("corpusid"), F.concat(F.lit("Title "), F.col("doc_id")).alias("title"), body.alias("body"))
 
 
-def _normal(spark: SparkSession, d: str) -> DataFrame:
+def normal(spark: SparkSession, d: str) -> DataFrame:
     return sections.normalise_schema(raw_documents(spark, d))
 
 
 def _done(spark: SparkSession, d: str) -> DataFrame:
-    return sections.sectionize(_normal(spark, d))
+    return sections.sectionize(normal(spark, d))
 
 
 def sectionize(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +77,7 @@ def sectionize(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sectionize_excluding(spark: SparkSession, d: str) -> DataFrame:
-    return sections.sectionize(_normal(spark, d), ["license", r"tion\b.*scum"]).groupBy("outcome").agg(F.count(F.lit(1)).alias("docs"))
+    return sections.sectionize(normal(spark, d), ["license", r"tion\b.*scum"]).groupBy("outcome").agg(F.count(F.lit(1)).alias("docs"))
 
 
 def section_rules_report(spark: SparkSession, d: str) -> DataFrame:
@@ -100,26 +100,27 @@ def corpus_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def header_cases(spark: SparkSession, d: str) -> DataFrame:
-    """What the header functions say of each header."""
-    rows = spark.createDataFrame([(i, h) for i, (h, _, _) in enumerate(HEADERS)], "k long, raw string")
-    canon = T.apply_synonyms(T.normalize_header(F.col("raw")))
+    """What the header functions say of a header of each document, and of the sign of torn bullets in place of every ninth."""
+    heads = F.array(*(F.lit(h) for h, _, _ in HEADERS))
+    rows = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.element_at(heads, (F.col("doc_id") * 7 % len(HEADERS) + 1).cast("int")).alias("raw"))
+    canon = F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit("part \u00e2\u0080\u00a2 "), F.col("doc_id"))).otherwise(T.apply_synonyms(T.normalize_header(F.col("raw"))))
     rows = rows.withColumn("canon", canon)
-    return rows.select("k", "canon", T.structural_noise(F.col("canon")).alias("markup"), T.header_noise(F.col("canon")).alias("noise"))
+    return rows.select("doc_id", "canon", T.structural_noise(F.col("canon")).alias("markup"), T.header_noise(F.col("canon")).alias("noise"))
 
 
 def ground_truth_sections(spark: SparkSession, d: str) -> DataFrame:
-    rows = sections.ground_truth(_normal(spark, d))
+    rows = sections.ground_truth(normal(spark, d))
     return rows.select(F.col("corpusid").cast("long").alias("doc_id"), F.col("idx").cast("long").alias("idx"), F.size("paras").cast("long").alias("paragraphs"), F.md5(F.array_join("paras", "|")).alias("paras_md5"))
 
 
 def audit_presence(spark: SparkSession, d: str) -> DataFrame:
-    raw = _normal(spark, d)
+    raw = normal(spark, d)
     rows = sections.audit(raw, sections.sectionize(raw))
     return rows.select(F.col("corpusid").cast("long").alias("doc_id"), F.col("idx").cast("long").alias("idx"), F.col("chars").cast("long").alias("chars"), F.col("words").cast("long").alias("words"), "present", "reason")
 
 
 def audit_totals(spark: SparkSession, d: str) -> DataFrame:
-    raw = _normal(spark, d)
+    raw = normal(spark, d)
     one = sections.audit_summary(sections.audit(raw, sections.sectionize(raw)))
     return one.select("audited", "sections", "missing", "chars", "missing_chars", "words", "missing_words", *(F.round(c, 6).alias(c) for c in ("loss_pct", "word_loss_pct", "section_loss_pct")), "missing_noise_header", "missing_non_english_or_invalid")
 
@@ -199,7 +200,7 @@ def oracle_sql() -> dict[str, str]:
         "corpus_summary": f"""SELECT count(*) AS docs, {', '.join(f"count(*) FILTER (outcome = '{x}') AS n_{x}" for x in sections.OUTCOMES)}, round({pct('sum(kept_chars)', 'sum(kept_chars + dropped_chars)')}, 6) AS kept_chars_pct, round({pct('sum(dropped_sections)', 'sum(kept_sections + dropped_sections)')}, 6) AS dropped_sections_pct,
             round(sum(kept_chars + dropped_chars) / sum(kept_sections + dropped_sections - empty_parent_sections), 6) AS before_chars_per_section, round(sum(kept_words) / sum(kept_sections - empty_parent_sections), 6) AS after_words_per_section, round(sum(kept_paragraphs) / sum(kept_sections - empty_parent_sections), 6) AS after_paragraphs_per_section,
             round(100.0 * count(*) FILTER (outcome = 'unfiltered') / count(*), 6) AS pct_unfiltered FROM rep""",
-        "header_cases": "SELECT k::BIGINT AS k, canon, cls = 'markup' AS markup, cls IN ('markup', 'noise') AS noise FROM h",
+        "header_cases": f"SELECT d.doc_id, CASE WHEN torn THEN 'part ' || chr(226) || chr(128) || chr(162) || ' ' || d.doc_id ELSE canon END AS canon, NOT torn AND cls = 'markup' AS markup, torn OR cls IN ('markup', 'noise') AS noise FROM (SELECT doc_id, doc_id % 9 = 0 AS torn FROM documents) d JOIN h ON h.k = d.doc_id * 7 % {len(HEADERS)}",
         "ground_truth_sections": "SELECT doc_id, idx, m AS paragraphs, md5(bar) AS paras_md5 FROM truth",
         "audit_presence": "SELECT doc_id, idx, chars, words, present, reason FROM aud",
         "audit_totals": f"SELECT count(DISTINCT doc_id) AS audited, count(*) AS sections, count(*) FILTER (NOT present) AS missing, sum(chars)::BIGINT AS chars, (sum(chars) FILTER (NOT present))::BIGINT AS missing_chars, sum(words)::BIGINT AS words, (sum(words) FILTER (NOT present))::BIGINT AS missing_words, round({pct('sum(chars) FILTER (NOT present)', 'sum(chars)')}, 6) AS loss_pct, round({pct('sum(words) FILTER (NOT present)', 'sum(words)')}, 6) AS word_loss_pct, round({pct('count(*) FILTER (NOT present)', 'count(*)')}, 6) AS section_loss_pct, count(*) FILTER (reason = 'noise_header') AS missing_noise_header, count(*) FILTER (reason = 'non_english_or_invalid') AS missing_non_english_or_invalid FROM aud",

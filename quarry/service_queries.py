@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import section_queries
-from quarry.operators import batches, judge, sampling, workflow
+from quarry.operators import batches, judge, sampling, sections, workflow
 from quarry.operators.requests import send_all
 from quarry.scratch import shared_dir
-from quarry.sources import cursor, files, members
+from quarry.sources import bucketed, cursor, files, members
 
 #: Rows of a page of the paging service; bytes of a chunk file, and of a gzip member before compression.
 PAGE, CHUNK, MEMBER = 60, 4000, 2000
@@ -142,8 +142,26 @@ def gzip_members(spark: SparkSession, d: str) -> DataFrame:
     return found.select(file.alias("file"), "line_number", F.get_json_object("value", "$.corpusid").cast("long").alias("doc_id"), F.md5(F.get_json_object("value", "$.title")).alias("text_md5"))
 
 
+def bucketed_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The audit of all documents from bucketed tables of raw and written ones."""
+    name = f"quarry_{uuid.uuid4().hex}"
+    raw = bucketed.save(section_queries.normal(spark, d), f"{name}_raw", 16, path=_place(spark, "bucketed-raw"))
+    bucketed.save(sections.sectionize(raw), f"{name}_written", 16, path=_place(spark, "bucketed-written"))
+    rows = bucketed.audit(spark, f"{name}_raw", f"{name}_written")
+    return rows.select(F.col("corpusid").cast("long").alias("doc_id"), F.col("idx").cast("long").alias("idx"), F.col("chars").cast("long").alias("chars"), F.col("words").cast("long").alias("words"), "present", "reason")
+
+
+def bucketed_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of a bucketed table by the ids of the labels and others, and the ids without a document."""
+    name = f"quarry_{uuid.uuid4().hex}"
+    bucketed.save(spark.read.parquet(f"{d}/documents.parquet"), name, 16, "doc_id", _place(spark, "bucketed"))
+    ids = spark.read.parquet(f"{d}/labels.parquet").select("doc_id").unionByName(spark.read.parquet(f"{d}/embeddings.parquet").select((F.col("vec_id") * 3).alias("doc_id")))
+    found, missing = bucketed.lookup(spark, name, ids, "doc_id")
+    return found.select("doc_id", F.md5("text").alias("text_md5")).unionByName(missing.select("doc_id", F.lit(None).cast("string").alias("text_md5")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (cursor_pages, sample_by_source, request_replies, chunk_files, committed_runs, gzip_members)}
+    return {f.__name__: f for f in (cursor_pages, sample_by_source, request_replies, chunk_files, committed_runs, gzip_members, bucketed_audit, bucketed_lookup)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -152,6 +170,9 @@ def oracle_sql() -> dict[str, str]:
         "sample_by_source": """
             SELECT source, doc_id, rank, seen, text_md5 FROM (
               SELECT source, doc_id, md5(text) AS text_md5, count(*) OVER (PARTITION BY source) AS seen, row_number() OVER (PARTITION BY source ORDER BY md5(concat(7, ':', doc_id)), doc_id) AS rank FROM documents) WHERE rank <= 5""",
+        "bucketed_audit": section_queries.oracle_sql()["audit_presence"],
+        "bucketed_lookup": """
+            SELECT i.doc_id::VARCHAR AS doc_id, md5(d.text) AS text_md5 FROM (SELECT doc_id FROM labels UNION SELECT vec_id * 3 FROM embeddings) i LEFT JOIN documents d USING (doc_id)""",
         "gzip_members": """
             SELECT doc_id // 500 AS file, doc_id, md5(coalesce(text, '')) AS text_md5, row_number() OVER w + (count(*) FILTER (doc_id % 9 = 0) OVER w) - CASE WHEN doc_id % 9 = 0 THEN 1 ELSE 0 END AS line_number
             FROM documents WINDOW w AS (PARTITION BY doc_id // 500 ORDER BY doc_id)""",

@@ -153,7 +153,7 @@ def metadata_csv(spark: SparkSession, d: str) -> DataFrame:
     meta = spark.read.parquet(f"{d}/labels.parquet").groupBy("doc_id").agg(F.max("quality").alias("q"), F.max("toxic").alias("t"))
     named = F.concat(F.lit("[{'first': 'A', 'last': 'L"), F.col("doc_id"), F.lit("'}, {'last': 'Only'}]"))
     rows = meta.select(F.explode(F.array(F.struct(F.lit(0).alias("k"), F.lit("old, \"title\"").alias("title")), F.struct(F.lit(1).alias("k"), F.concat(F.lit('T, "'), F.col("doc_id"), F.lit('"')).alias("title")))).alias("v"), F.col("doc_id").alias("paper_id"), F.col("q").alias("abstract"), F.when(F.col("t") == 1, "2001").alias("year"), F.when(F.col("doc_id") % 3 == 0, "oops").otherwise(named).alias("authors"))
-    rows.coalesce(1).sortWithinPartitions("paper_id", "v.k").select("paper_id", "v.title", "abstract", "year", "authors").write.option("header", True).option("escape", '"').csv(target)
+    rows.repartition("paper_id").sortWithinPartitions("paper_id", "v.k").select("paper_id", "v.title", "abstract", "year", "authors").write.option("header", True).option("escape", '"').csv(target)
     found = metadata.read_csv(spark, target).withColumnRenamed("paper_id", "corpus_id")
     sectioned = docs(spark, d).select(F.col("doc_id").alias("corpus_id"), F.create_map(F.lit("body"), F.col("lang")).alias("sections"))
     packed = metadata.packaged(sectioned, "csv", found)
@@ -242,7 +242,7 @@ def request_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def slugs_and_times(spark: SparkSession, d: str) -> DataFrame:
     rows = docs(spark, d)
-    return rows.select("doc_id", batches.slug(F.substring(F.coalesce("text", F.lit("")), 1, 90)).alias("slug"), batches.duration(F.col("doc_id") * 997).alias("age"))
+    return rows.select("doc_id", batches.slug(F.coalesce("text", F.lit(""))).alias("slug"), batches.duration(F.col("doc_id") * 997).alias("age"))
 
 
 def counts_with_total(spark: SparkSession, d: str) -> DataFrame:
@@ -318,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
             g AS (SELECT r, 0 AS chunk, n AS used FROM o WHERE r = 1 UNION ALL SELECT o.r, CASE WHEN g.used + o.n > 60000 THEN g.chunk + 1 ELSE g.chunk END, CASE WHEN g.used + o.n > 60000 THEN o.n ELSE g.used + o.n END FROM g JOIN o ON o.r = g.r + 1)
             SELECT doc_id, prompt_md5, chunk::BIGINT AS chunk FROM o JOIN g USING (r)""",
         "slugs_and_times": rf"""
-            WITH a AS (SELECT doc_id, {slug("regexp_replace(left(coalesce(text, ''), 90), '[^A-Za-z0-9._-]+', '-', 'g')")} AS s, doc_id * 997 AS t FROM documents),
+            WITH a AS (SELECT doc_id, {slug("regexp_replace(coalesce(text, ''), '[^A-Za-z0-9._-]+', '-', 'g')")} AS s, doc_id * 997 AS t FROM documents),
             b AS (SELECT doc_id, t, {slug("left(CASE WHEN s = '' THEN 'run' ELSE s END, 64)")} AS s FROM a)
             SELECT doc_id, CASE WHEN s = '' THEN 'run' ELSE s END AS slug, CASE WHEN t >= 86400 THEN (t // 86400) || 'd ' ELSE '' END || printf('%02d:%02d:%02d', t % 86400 // 3600, t % 3600 // 60, t % 60) AS age FROM b""",
         "counts_with_total": "SELECT source, count(*) AS n FROM documents GROUP BY 1 UNION ALL SELECT 'Total', count(*) FROM documents",

@@ -5,6 +5,7 @@ Listings go through Hadoop's file systems, so any store that Spark reads will do
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,11 +37,15 @@ def listed(spark: SparkSession, folder: str, depth: int | None = None) -> list[s
     return sorted(out)
 
 
+def _root(spark: SparkSession, folder: str) -> str:
+    """The path of a folder in its file system, with a slash at its end."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toUri().getPath().rstrip("/") + "/"
+
+
 def _within(spark: SparkSession, folder: str, path: str) -> list[str]:
     """Names of the folders and the file on the way from ``folder`` to ``path``."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    whole = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toUri().getPath().rstrip("/")
-    return path.split(whole + "/", 1)[-1].split("/")
+    return path.split(_root(spark, folder), 1)[-1].split("/")
 
 
 def document_files(spark: SparkSession, folder: str) -> list[str]:
@@ -97,7 +102,7 @@ def _matched(value: Column, patterns: list[str]) -> tuple[Column, Column]:
 def filter_dataset(spark: SparkSession, source: str, output: str, patterns: list[str]) -> dict:
     """Copy a dataset without the documents that a pattern matches; returns the report.
 
-    Files of JSON lines become text files under the same relative name; lines that don't parse are kept as they are and
+    Files of JSON lines become folders of text files, each named by its file's path below ``source``; lines that don't parse are kept as they are and
     counted as kept and as failed. Files of one document are kept byte for byte as rows of ``documents`` (path, value); one
     that doesn't parse is counted as failed alone. ``output`` is written anew, so a document that is excluded now is gone.
     """
@@ -108,8 +113,8 @@ def filter_dataset(spark: SparkSession, source: str, output: str, patterns: list
     if lines:
         rows = spark.read.text(lines).where("trim(value) <> ''").select(F.col("_metadata.file_path").alias("path"), "value")
         good, found = _matched(F.col("value"), patterns)
-        marked = rows.withColumn("ok", good).withColumn("found", F.when(F.col("ok"), found).otherwise(F.array().cast("array<string>")))
-        name = F.regexp_replace(F.col("path"), r"^.*/", "")
+        marked = saved(rows.withColumn("ok", good).withColumn("found", F.when(F.col("ok"), found).otherwise(F.array().cast("array<string>"))), "filtered-lines")
+        name = F.regexp_replace(F.col("path"), "^.*?" + re.escape(_root(spark, source)), "")
         marked.where("size(found) = 0").select(name.alias("file"), "value").write.mode("overwrite").partitionBy("file").option("compression", "gzip").text(f"{output}/lines")
         n = marked.agg(F.count(F.when(F.size("found") == 0, 1)), F.count(F.when(F.size("found") > 0, 1)), F.count(F.when(~F.col("ok"), 1))).first()
         report |= dict(zip(("documents_kept", "documents_excluded", "documents_failed_parse"), n, strict=True))
@@ -117,7 +122,7 @@ def filter_dataset(spark: SparkSession, source: str, output: str, patterns: list
     if single:
         rows = spark.read.text(single, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
         good, found = _matched(F.col("value"), patterns)
-        marked = rows.withColumn("ok", good).withColumn("found", found)
+        marked = saved(rows.withColumn("ok", good).withColumn("found", found), "filtered-files")
         marked.where("ok and size(found) = 0").select("path", "value").write.mode("overwrite").parquet(f"{output}/documents")
         n = marked.agg(F.count(F.when(F.col("ok") & (F.size("found") == 0), 1)), F.count(F.when(F.col("ok") & (F.size("found") > 0), 1)), F.count(F.when(~F.col("ok"), 1))).first()
         report |= {"files_copied": n[0], "files_excluded": n[1], "documents_failed_parse": report["documents_failed_parse"] + n[2]}

@@ -357,3 +357,36 @@ def test_gzip_by_members(spark, tmp_path, range_bytes):
     own.write_bytes(own.read_bytes()[:-9])
     with pytest.raises(Exception, match="within a member"):
         members.gzip_lines(spark, paths[:1], range_bytes).collect()
+
+
+def test_bucketed_tables_move_no_text(spark, tmp_path):
+    from quarry.operators import sections
+    from quarry.sources import bucketed
+
+    docs = spark.createDataFrame([(i, f"Methods of it\n{BODY} {i}\nshort\n{BODY}") for i in range(40)], "doc_id int, text string")
+    raw = sections.from_lines(docs)
+    names = [f"bucketed_{x}_{time.time_ns()}" for x in ("raw", "written", "other")]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        table = bucketed.save(raw, names[0], 4, path=str(tmp_path / "raw"))
+        bucketed.save(sections.sectionize(table), names[1], 4, path=str(tmp_path / "written"))
+        rows = bucketed.audit(spark, *names[:2])
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        want = sections.audit(raw, sections.sectionize(raw))
+        assert sorted(map(str, rows.collect())) == sorted(map(str, want.collect()))
+        assert bucketed.verify(spark, *names[:2]) == sections.verify(raw, sections.sectionize(raw))
+        found, missing = bucketed.lookup(spark, names[0], spark.createDataFrame([(1,), (1,), (7,), (99,), (None,)], "corpusid int"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan  # that of the ids
+        assert sorted(r.corpusid for r in found.collect()) == ["1", "7"] and [r.corpusid for r in missing.collect()] == ["99"]
+        bucketed.save(raw, names[2], 8, path=str(tmp_path / "other"))
+        with pytest.raises(ValueError, match="same number"):
+            bucketed.audit(spark, names[0], names[2])
+        docs.write.option("path", str(tmp_path / "plain")).saveAsTable(f"{names[2]}_plain")
+        with pytest.raises(ValueError, match="bucketed"):
+            bucketed.buckets_of(spark, f"{names[2]}_plain")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for n in (*names, f"{names[2]}_plain"):
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
