@@ -49,6 +49,7 @@ def stratified(docs: DataFrame, stratum: str, id_col: str, n: int, seed: int) ->
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            table = table.cast(pa.schema([f.with_nullable(True) for f in table.schema]))  # as what is held
             held = merged(table if held is None else pa.concat_tables([held, table]), n)
         if held is not None:
             yield from held.combine_chunks().to_batches()

@@ -330,6 +330,12 @@ def test_stratified_sample(spark, monkeypatch, most_ids):
     texts = sampling.rows_of(docs, got, "doc_id").where("stratum = 'twice'").collect()
     assert sorted((r.text, r.rank) for r in texts if r.source == "twice") == [("one", 1), ("one", 2), ("two", 1), ("two", 2)]
     assert sampling.stratified(docs.limit(0), "source", "doc_id", 3, 1).collect() == []
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # a task has many batches
+    try:
+        assert sorted(map(str, sampling.stratified(docs, "source", "doc_id", 10, 7).collect())) == sorted(map(str, got.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
 @pytest.mark.parametrize("range_bytes", [64 << 20, 3000])
