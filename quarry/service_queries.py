@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import contextlib
 import gzip
 import json
@@ -21,6 +22,8 @@ from quarry.sources import bucketed, cursor, files, members
 
 #: Rows of a page of the paging service; bytes of a chunk file, and of a gzip member before compression.
 PAGE, CHUNK, MEMBER = 60, 4000, 2000
+#: Pages in a file of the paging service.
+FILE = 100
 
 
 def _place(spark: SparkSession, name: str) -> str:
@@ -28,21 +31,39 @@ def _place(spark: SparkSession, name: str) -> str:
 
 
 class PageFiles:
-    """A paging client over a folder of JSON lines, a file for each query and page; raises at the page ``broken``."""
+    """A paging client over folders of JSON lines, one for each query and ``FILE`` pages, a file each; raises at the page ``broken``.
+
+    A line has its page's number and row. A task's copy of the client lists a query's files once and keeps the pages of the last file.
+    """
 
     def __init__(self, folder: str, broken: tuple[str, int] | None = None):
         self.folder, self.broken = folder, broken
+        self.files: dict[str, list[int]] = {}
+        self.last: tuple[str, dict[int, list[dict]]] = ("", {})
+
+    def pages(self, query: str, file: int) -> dict[int, list[dict]]:
+        found = f"{self.folder}/query={query}/file={file}"
+        if self.last[0] != found:
+            pages: dict[int, list[dict]] = {}
+            for name in files.names(found):
+                for line in (files.get(f"{found}/{name}") or b"").splitlines():
+                    x = json.loads(line)
+                    pages.setdefault(x["page"], []).append(x["row"])
+            self.last = found, pages
+        return self.last[1]
 
     def __call__(self, query: str, at: str, rows: int, fields: list[str]) -> tuple[list[dict], str]:
-        pages = sorted(int(n.split("=")[1]) for n in files.names(f"{self.folder}/query={query}"))
-        later = [p for p in pages if at == cursor.START or p > int(at)]
-        if not later:
-            return [], at
-        if (query, later[0]) == self.broken:
-            raise ConnectionError("the service is gone")
-        found = f"{self.folder}/query={query}/page={later[0]}"
-        lines = [x for n in files.names(found) for x in (files.get(f"{found}/{n}") or b"").splitlines()]
-        return [{k: v for k, v in json.loads(x).items() if k in fields} for x in lines], str(later[0])
+        if query not in self.files:
+            self.files[query] = sorted(int(n.split("=")[1]) for n in files.names(f"{self.folder}/query={query}"))
+        own, first = self.files[query], at == cursor.START
+        for file in own if first else own[bisect.bisect_left(own, int(at) // FILE) :]:
+            later = [p for p in self.pages(query, file) if first or p > int(at)]
+            if later:
+                page = min(later)
+                if (query, page) == self.broken:
+                    raise ConnectionError("the service is gone")
+                return [{k: v for k, v in x.items() if k in fields} for x in self.pages(query, file)[page]], str(page)
+        return [], at
 
 
 def cursor_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -53,12 +74,13 @@ def cursor_pages(spark: SparkSession, d: str) -> DataFrame:
     pages = spark.read.parquet(f"{d}/pages.parquet")
     service, target, checkpoint = _place(spark, "service"), _place(spark, "cursor"), _place(spark, "cursor-checkpoint")
     own = F.array_compact(F.array((F.col("page_id") % 2).cast("string"), F.when(F.col("page_id") % 2 == 0, F.lit("even"))))
-    rows = pages.select(F.explode(own).alias("query"), F.floor(F.col("page_id") / PAGE).alias("page"), "page_id", "url", F.md5("html").alias("html_md5"))
-    rows.repartition("query", "page").write.partitionBy("query", "page").json(service)
+    row = F.struct("page_id", "url", F.md5("html").alias("html_md5"))
+    rows = pages.select(F.explode(own).alias("query"), F.floor(F.col("page_id") / PAGE).alias("page"), row.alias("row"))
+    rows.withColumn("file", F.floor(F.col("page") / FILE)).repartition("query", "file").write.partitionBy("query", "file").json(service)
     name, settings = "quarry_pages", {"rows": PAGE, "flush": 2, "attempts": 1, "ledger": _place(spark, "cursor-ledger")}
     for broken in (("1", 2), None):
         cursor.register(spark, name, PageFiles(service, broken), ["0", "1", "even"], "page_id long, url string, html_md5 string", **settings)
-        with contextlib.suppress(StreamingQueryException):
+        with contextlib.suppress(StreamingQueryException) if broken else contextlib.nullcontext():
             got = cursor.collect(spark, name, target, checkpoint, "page_id")
     return got
 

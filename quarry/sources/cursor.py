@@ -2,7 +2,9 @@
 
 A search is cut into queries (term chunks); each is a partition, as its pages come one after the other while those of others
 don't wait. Rows go from the service to the tasks, never through the driver. As a stream, a micro-batch is one epoch:
-every query that isn't at its end is read on by ``flush`` pages. An offset is the number of an epoch; where a query stood
+every query that isn't at its end is read on by ``flush`` pages; once there have been more epochs than a few, it is as many as make
+a quarter of those before, so the number of micro-batches grows with the logarithm of the pages, and what one that breaks off
+repeats is at most a fifth of all. An offset is the number of an epoch; where a query stood
 after it is a small file of the ledger, written by the task that read it. A micro-batch that is run again, after a lost task
 or a restart, begins at the ledger's file of the epoch before and ends where its own file says, so its rows are the same.
 """
@@ -24,6 +26,8 @@ from quarry.sources import files
 START = "*"
 #: Rows of a page, pages of an epoch, and attempts for a page.
 ROWS, FLUSH, ATTEMPTS = 500, 50, 10
+#: A micro-batch has one epoch for so many epochs before it, at least one.
+GROWTH = 4
 
 #: client(query, cursor, rows, fields) -> (rows as dicts, next cursor); the same cursor or no rows: the end.
 Client = Callable[[str, str, int, list[str]], tuple[list[dict], str]]
@@ -103,12 +107,13 @@ class _Epochs(DataSourceStreamReader):
         return {"epoch": 0}
 
     def latestOffset(self) -> dict:
-        """The epoch after the last that all queries have read; that one itself if all are at their end."""
+        """The end of the micro-batch after the last epoch that all queries have read; that epoch itself if all are at their end."""
         every = range(len(self.own.queries))
         for name in reversed(files.names(self.own.ledger)):
             found = [self.entry(int(name), i) for i in every]
             if None not in found:
-                return {"epoch": int(name) + (not all(x["done"] for x in found))}
+                last = int(name)
+                return {"epoch": last if all(x["done"] for x in found) else last + max(1, last // GROWTH)}
         return {"epoch": 1 if self.own.queries else 0}
 
     def partitions(self, start: dict, end: dict) -> list[Chunk]:

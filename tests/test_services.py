@@ -396,3 +396,14 @@ def test_bucketed_tables_move_no_text(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for n in (*names, f"{names[2]}_plain"):
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_cursor_batches_grow_with_what_has_been_read(tmp_path):
+    own = cursor.Settings(Pages(str(tmp_path / "log")), ["0-4000"], ["id"], rows=10, flush=2, ledger=str(tmp_path / "ledger"))
+    reader, got, at, ends = cursor._Epochs(own), [], {"epoch": 0}, []
+    while (after := reader.latestOffset()) != at:
+        got += [x for p in reader.partitions(at, after) for x, in reader.read(p)]
+        reader.commit(at)
+        at = after
+        ends.append(at["epoch"])
+    assert got == [f"id{i}" for i in range(4000)] and ends[:9] == [1, 2, 3, 4, 5, 6, 7, 8, 10] and len(ends) < 25  # 200 epochs
