@@ -620,6 +620,43 @@ def test_exclusion_patterns_match_as_sql_does(spark):
     assert [r.i for r in kept.orderBy("i").collect()] == [4, 5, 9, 10] and hits.first().hits == 7
 
 
+def test_counts_without_lists_of_matches(spark):
+    texts = ["the cat in the hat", "der die das the", "que de la", "la de", "xyz", "", None, "a  b ", " a", "12 34", "n\u00e9 1", "x" * 39, "x" * 40, "\u00e9" * 30 + "y" * 19, "\u00e9" * 30 + "y z" * 10, "\U0001d7d9 ab", "1" * 30 + "a" * 70, "1" * 31 + "a" * 69]
+
+    def language(t):
+        ws = re.findall(r"[^\W\d_]+", t.lower())
+        n = {k: sum(w in v for w in ws) for k, v in T.FREQUENT.items()}
+        return max(n, key=n.get) if any(n.values()) else None
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    c = F.col("t")
+    columns = [T.stopword_language(c).alias("a"), T.word_count(c).alias("b"), T.substantive(c).alias("c"), T.string_valid(c).alias("d")]
+    plan = rows.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("regexp_extract_all") == len(T.FREQUENT)  # each language's list once, no list of characters
+    for r in rows.select("i", *columns).collect():
+        t = texts[r.i]
+        if t is None:
+            assert tuple(r)[1:] == (None,) * 4
+            continue
+        digits = sum(x.isdecimal() for x in t)
+        special = sum(not (x.isascii() and x.isalnum()) for x in t)
+        assert tuple(r)[1:] == (language(t), len([w for w in t.split(" ") if w]), len(t) >= 40 and sum(x.isascii() and x.isalpha() for x in t) >= 20, not digits or (digits <= 0.3 * len(t) and special <= 0.3 * len(t))), t
+
+
+def test_python_gets_texts_in_bounded_batches(spark, tmp_path):
+    from quarry import queries as engine
+    from quarry.scratch import BATCHES
+
+    spark.range(3).selectExpr("id AS doc_id", "'The end of the way.' AS text", "'en' AS lang", "'s' AS source").write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("sectionize", "ground_truth_sections", "tei_documents", "legacy_outcomes", "slugs_and_times", "sql_functions", "reference_split"):
+        for k in BATCHES:
+            spark.conf.unset(k)
+        engine.queries()[name](spark, str(tmp_path))
+        assert {k: spark.conf.get(k) for k in BATCHES} == BATCHES, name
+    for k in BATCHES:
+        spark.conf.unset(k)
+
+
 #: Queries of the engine that SQL can't say, each with the test that holds it.
 WITHOUT_SQL: set[str] = set()
 
