@@ -236,14 +236,20 @@ def normalize_text(text: Column) -> Column:
 
 def string_valid(text: Column) -> Column:
     """True without digits; else at most 30 % digits and at most 30 % characters that aren't ASCII letters or digits."""
-    n, digits = F.length(text), F.regexp_count(text, F.lit(r"\p{Nd}"))
-    special = F.regexp_count(text, F.lit("[^a-zA-Z0-9]"))
-    return F.when(digits == 0, True).otherwise((digits <= n * MOST_SPECIAL) & (special <= n * MOST_SPECIAL))
+    n = F.length(text)
+    digits, special = n - F.length(F.regexp_replace(text, r"\p{Nd}+", "")), F.length(F.regexp_replace(text, "[a-zA-Z0-9]+", ""))
+    return F.when(~text.rlike(r"\p{Nd}"), True).otherwise((digits <= n * MOST_SPECIAL) & (special <= n * MOST_SPECIAL))
 
 
 def substantive(normal: Column) -> Column:
     """Of a normalised text: at least 40 characters, 20 of them ASCII letters."""
-    return (F.length(normal) >= SUBSTANTIVE_CHARS) & (F.regexp_count(normal, F.lit("[A-Za-z]")) >= SUBSTANTIVE_LETTERS)
+    return (F.length(normal) >= SUBSTANTIVE_CHARS) & normal.rlike(rf"^[^A-Za-z]*+(?:[A-Za-z][^A-Za-z]*+){{{SUBSTANTIVE_LETTERS}}}")
+
+
+def word_count(text: Column) -> Column:
+    """How many runs of characters other than spaces a text has; no list of them is made."""
+    tidy = F.trim(F.regexp_replace(text, "  +", " "))
+    return F.when(tidy == "", 0).otherwise(F.length(tidy) - F.length(F.replace(tidy, F.lit(" "))) + 1)
 
 
 def strip_enumeration(header: Column) -> Column:
@@ -374,9 +380,9 @@ def _points(t: Column, low: Column, bare: Column, low_bare: Column) -> Column:
 
 
 def _final(t: Column, bare: Column, points: Column) -> Column:
-    long = F.regexp_count(t, F.lit(r"\S+")) > 15
+    long = t.rlike(r"\S++(?:\s++\S++){15}")
     lone = F.regexp_count(t, F.lit(r"(?<![^ ])[^ ]\.?(?![^ ])"))
-    return points + F.when((points < 2) & bare.endswith(".") & long, -2).otherwise(0) + F.when(lone / (F.regexp_count(t, F.lit(" ")) + 1) > 0.10, 3).otherwise(0)
+    return points + F.when((points < 2) & bare.endswith(".") & long, -2).otherwise(0) + F.when(lone / (F.length(t) - F.length(F.replace(t, F.lit(" "))) + 1) > 0.10, 3).otherwise(0)
 
 
 def reference_score(text: Column) -> Column:
@@ -434,6 +440,7 @@ def stopword_language(text: Column) -> Column:
     def found(own: tuple[str, ...]) -> Column:
         return F.regexp_count(low, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(sorted(own, key=len, reverse=True))})(?!\p{{L}})"))
 
-    counts = F.array(*(found(own) for own in FREQUENT.values()))
-    most = F.array_max(counts)
-    return F.when(most > 0, F.element_at(F.array(*map(F.lit, FREQUENT)), F.array_position(counts, most).cast("int")))
+    # each count is named once: within conditions, what is named several times is computed as often
+    one = lambda n, place, lang: F.named_struct(F.lit("n"), n, F.lit("place"), F.lit(place), F.lit("lang"), F.lit(lang).cast("string"))
+    each = [one(found(own), -i, lang) for i, (lang, own) in enumerate(FREQUENT.items())]
+    return F.array_max(F.array(one(F.lit(0), 1, None), *each))["lang"]

@@ -154,7 +154,7 @@ def ruled(rows: DataFrame, conclusion_breaks: bool = True, english=_is_english)
     )
     ends = F.contains("cmp", F.lit("conclusion"))
     stop = F.when(F.col("kind") == "noise_header", False).when(F.col("kind") == "unneeded_skip_remaining", True).when((F.col("kind") == "unneeded_no_skip") & F.lit(not conclusion_breaks), False).otherwise(ends)
-    words = F.regexp_count("text", F.lit("[^ ]+"))
+    words = T.word_count(F.col("text"))
     return rows.withColumn("kind", T.evaluated_once(kind)).select("*", stop.alias("stop"), F.size("paras").alias("paragraphs"), words.alias("words"), F.length("text").alias("chars"))
 
 
