@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from quarry.scratch import saved
 from quarry.sources import files
 
-#: Compressed bytes of a range, and bytes that are read or inflated at once.
-RANGE, BLOCK = 64 << 20, 1 << 20
+#: Compressed bytes of a range, bytes that are read or inflated at once, and those that a member's first step takes, as most may be short.
+RANGE, BLOCK, STEP = 64 << 20, 1 << 20, 4 << 10
+#: Tasks for each core, if there are so many ranges.
+TASKS = 4
 _MAGIC = b"\x1f\x8b\x08"
 #: The end of a range that is a whole file; in place of the next member after something that isn't one.
 WHOLE, BROKEN = 1 << 62, -2
@@ -32,27 +34,34 @@ class Shard:
     def __init__(self, path: str):
         store, at = files.located(path)
         self.file, self.size = store.open_input_file(at), store.get_file_info(at).size
+        self.start, self.held = 0, b""
 
     def read(self, at: int, n: int) -> bytes:
-        self.file.seek(at)
-        return self.file.read(min(n, self.size - at)) if at < self.size else b""
+        """Bytes of the file, out of the block that is held if they are all there."""
+        end = min(at + n, self.size)
+        if at >= end:
+            return b""
+        if at < self.start or end > self.start + len(self.held):
+            self.file.seek(at)
+            self.start, self.held = at, self.file.read(min(max(n, BLOCK), self.size - at))
+        return self.held[at - self.start : end - self.start]
 
     def member(self, at: int) -> Iterator[tuple[bytes, int]]:
         """(inflated bytes, 0) again and again, last (b"", where the next member begins); zlib.error if it is none.
 
         Zeros after a member are padding. A file that ends within a member is an error.
         """
-        inflater = zlib.decompressobj(31)
+        inflater, step = zlib.decompressobj(31), STEP
         while not inflater.eof:
-            if not (block := self.read(at, BLOCK)):
+            if not (block := self.read(at, step)):
                 raise zlib.error("the file ends within a member")
-            at += len(block)
+            at, step = at + len(block), min(2 * step, BLOCK)
             while block and not inflater.eof:
                 if data := inflater.decompress(block, BLOCK):
                     yield data, 0
                 block = inflater.unconsumed_tail
         at -= len(inflater.unused_data)
-        while (block := self.read(at, BLOCK)) and not block.strip(b"\0"):
+        while (block := self.read(at, STEP)) and not block.strip(b"\0"):
             at += len(block)
         yield b"", at + len(block) - len(block.lstrip(b"\0"))
 
@@ -71,10 +80,10 @@ class Shard:
             return 0 if self.size and end else None
         at = start
         while at < end:
-            block = self.read(at, BLOCK + len(_MAGIC))
-            found = block.find(_MAGIC)
-            if found < 0 or found >= BLOCK:
-                at += BLOCK
+            step = min(BLOCK, end - at)
+            found = self.read(at, step + len(_MAGIC)).find(_MAGIC)
+            if found < 0 or found >= step:
+                at += step
             elif at + found < end and self.begins(at + found):
                 return at + found
             else:
@@ -173,7 +182,9 @@ def gzip_lines(spark: SparkSession, paths: list[str], range_bytes: int = RANGE)
     shape = "path string, k bigint, number bigint, value string, first bigint, after bigint"
 
     def read(rows: list[tuple]) -> DataFrame:
-        table = spark.createDataFrame(rows, "path string, k bigint, start bigint, `end` bigint").repartition(max(1, len(rows)), "path", "k")
+        # short ranges share tasks, as many as there would be of ranges of RANGE bytes, but enough for every core
+        tasks = max(1, min(len(rows), max(TASKS * spark.sparkContext.defaultParallelism, sum(min(e - s, RANGE) for _, _, s, e in rows) // RANGE)))
+        table = spark.createDataFrame(rows, "path string, k bigint, start bigint, `end` bigint").repartition(tasks, "path", "k")
         return saved(table.mapInArrow(run, shape), "gzip-lines")
 
     found = read(ranges)

@@ -407,3 +407,29 @@ def test_cursor_batches_grow_with_what_has_been_read(tmp_path):
         at = after
         ends.append(at["epoch"])
     assert got == [f"id{i}" for i in range(4000)] and ends[:9] == [1, 2, 3, 4, 5, 6, 7, 8, 10] and len(ends) < 25  # 200 epochs
+
+
+def test_short_members_are_read_once(tmp_path):
+    import gzip
+
+    from quarry.sources import members
+
+    lines = [random.Random(i).randbytes(300).hex() for i in range(4000)]
+    data = "\n".join(lines).encode()
+    path = str(tmp_path / "a.gz")
+    files.put(path, b"".join(gzip.compress(data[k : k + 2000]) for k in range(0, len(data), 2000)))
+    shard, taken = members.Shard(path), 0
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.seek = inner, inner.seek
+
+        def read(self, n):
+            nonlocal taken
+            block = self.inner.read(n)
+            taken += len(block)
+            return block
+
+    shard.file = Counting(shard.file)
+    got = [x[1].decode() for x in members._lines(shard, 0, shard.size) if x[0] is not None]
+    assert got == lines and taken < 2 * shard.size
