@@ -239,10 +239,11 @@ def collect(lines: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame
 
 def slug(value: Column | str, default: str = "run", most: int = 64) -> Column:
     """A name for files: other characters than letters, digits, dot, underscore and dash become dashes."""
-    edges = r"^[._-]+|[._-]+$"
-    s = F.regexp_replace(F.regexp_replace(F.lit(value) if isinstance(value, str) else value, r"[^A-Za-z0-9._-]+", "-"), edges, "")
-    s = F.regexp_replace(F.substring(F.when(s != "", s).otherwise(F.lit(default)), 1, most), edges, "")
-    return F.when(s != "", s).otherwise(F.lit(default))
+    value = F.lit(value) if isinstance(value, str) else value
+    # what can become the first characters of the name; the rest of a long text isn't looked at
+    head = F.regexp_extract(value, rf"^[^A-Za-z0-9]*+((?:[A-Za-z0-9._-]|[^A-Za-z0-9._-]++){{0,{most}}}+)", 1)
+    s = F.regexp_replace(F.regexp_replace(head, r"[^A-Za-z0-9._-]+", "-"), r"[._-]+$", "")
+    return F.when(s != "", s).otherwise(F.lit(default[:most].strip("._-") or default))
 
 
 def duration(seconds: Column) -> Column:

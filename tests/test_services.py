@@ -433,3 +433,17 @@ def test_short_members_are_read_once(tmp_path):
     shard.file = Counting(shard.file)
     got = [x[1].decode() for x in members._lines(shard, 0, shard.size) if x[0] is not None]
     assert got == lines and taken < 2 * shard.size
+
+
+def test_slug_looks_at_the_beginning_alone(spark):
+    import re
+
+    texts = ["", None, "...", "a b", " -a.b_c- ", "x" * 70, "x" * 63 + "  \n y", "x" * 62 + " \u00e9 - z", "\u00e9\U0001d7d9" * 40 + "ok" + "\u00e9" * 100 + "z", "a" + "-" * 100 + "b", "a. b" * 40, "a" + " " * 200_000]
+
+    def whole(t):
+        s = re.sub(r"[^A-Za-z0-9._-]+", "-", t or "").strip("._-") or "run"
+        return s[:64].strip("._-") or "run"
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", batches.slug(F.col("t")).alias("s"))
+    assert {r.i: r.s for r in rows.collect()} == {i: whole(t) for i, t in enumerate(texts)}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(t#") == 0
